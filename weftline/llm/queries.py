@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import exact_dedup, sharding, simhash
+from weftline.llm import exact_dedup, mixing, quality_rules, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.find(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op8_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assign(_table(spark, sf_dir, "documents"), shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
