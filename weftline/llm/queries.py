@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import exact_dedup, mixing, quality_rules, sharding, simhash
+from weftline.llm import cotraining, exact_dedup, mixing, quality_rules, sentencepiece_codec, sharding, simhash, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def model_path() -> str:
+    """The tokenizer of the queries, from the installed package of public ones."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op1_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.find(_table(spark, sf_dir, "documents"))
 
@@ -22,6 +33,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepiece_codec.encode(_table(spark, sf_dir, "documents"), model_path())
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_tokens"), "agree", "round_trip", "decoded_sha256")
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +47,10 @@ def op8_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.sums(token_counts.histogram(_table(spark, sf_dir, "documents"), model_path()))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find(_table(spark, sf_dir, "documents"))
 
