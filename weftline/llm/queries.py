@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import cotraining, exact_dedup, mixing, quality_rules, sentencepiece_codec, sharding, simhash, token_counts
+from weftline.llm import _common, cotraining, exact_dedup, mixing, quality_rules, sentencepiece_codec, sharding, simhash, token_counts, zip_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,12 @@ def op1_cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _common.scratch_path(spark, "warc")
+    zip_warc.write(_table(spark, sf_dir, "pages"), root)
+    return zip_warc.read(spark, root, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.find(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +63,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: DuckDB's `\s` is [\t\n\f\r ]; the class is written out as it also holds \v.
 ORACLES = {
+    "op2_zip_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+            FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM f
+    """,
     "op10_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
