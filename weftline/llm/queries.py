@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import _common, cotraining, exact_dedup, mixing, quality_rules, sentencepiece_codec, sharding, simhash, token_counts, zip_warc
+from weftline.llm import _common, cotraining, exact_dedup, mixing, quality_rules, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, zip_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op2_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zip_warc.read(spark, root, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.find(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.find(_table(spark, sf_dir, "documents"))
 
