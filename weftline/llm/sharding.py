@@ -50,7 +50,8 @@ def _medians(rows: DataFrame, nodes: dict[int, tuple[str, float]]) -> dict[int,
     key = F.coalesce(*[F.when(F.col("node") == n, F.col(f"k_{d}")) for n, (d, _) in nodes.items()])
     keyed = rows.select("node", "size", key.alias("key"))
     low, need = {n: 0 for n in nodes}, {n: need for n, (_, need) in nodes.items()}
-    for step in range(1, (DIM_BITS + TIE_BITS) // RADIX_BITS + 1):
+    steps = (DIM_BITS + TIE_BITS) // RADIX_BITS
+    for step in range(1, steps + 1):
         shift = DIM_BITS + TIE_BITS - RADIX_BITS * step
         inside = F.coalesce(*[F.when(F.col("node") == n, F.shiftright("key", shift + RADIX_BITS) == F.lit(low[n])) for n in nodes])
         bins = keyed.filter(inside).groupBy("node", F.shiftright("key", shift).alias("bin")).agg(F.sum("size").alias("bytes")).collect()
@@ -59,7 +60,8 @@ def _medians(rows: DataFrame, nodes: dict[int, tuple[str, float]]) -> dict[int,
             low[n] = here[-1][0] if here else low[n] << RADIX_BITS
             for b, size in here:
                 if need[n] < size:
-                    low[n] = b
+                    # At full length: the side on which the last document misses the median by less.
+                    low[n] = b + (step == steps and 2 * need[n] > size)
                     break
                 need[n] -= size
     return low

@@ -54,12 +54,13 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found.view(np.int64))], ["doc_id", "t", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (signed 64 bits)."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
+    """doc_id, t (a hash of the text), fp (signed 64 bits)."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint"), text, F.xxhash64(text)).mapInArrow(_fingerprints, "doc_id bigint, t bigint, fp bigint")
 
 
 def _keyed(fps: DataFrame) -> DataFrame:
@@ -93,33 +94,40 @@ def links(fps: DataFrame) -> DataFrame:
     return near.select("a", "b").unionByName(masked).distinct()
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id, links (how many
-    other fingerprints its own was linked to by the search)."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, t, fp, links, first: the component's smallest (no id, doc_id, t)."""
     rows = C.materialize(fingerprints(docs), "fingerprints")
-    total = rows.count()
-    distinct = C.materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "distinct")
+    total = max(rows.count(), 1)
+    least = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "t")).alias("first")
+    distinct = C.materialize(rows.groupBy("fp").agg(least, F.count("*").alias("n")), "distinct")
     found = C.materialize(links(distinct.select("fp")), "near")
     roots = C.components(found)
     degree = found.select(F.col("a").alias("fp")).unionByName(found.select(F.col("b").alias("fp"))).groupBy("fp").agg(F.count("*").alias("links"))
     joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").join(degree, "fp", "left")
     joined = C.materialize(joined.select("fp", "first", "n", F.coalesce("root", "fp").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "roots")
-    smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("members"))
-    groups = C.lookup(joined, smallest, "root", "members", max(total, 1)).select("fp", "n", "component_id", "links")
-    out = C.lookup(rows, groups, "fp", "n", max(total, 1))
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "links")
+    smallest = joined.groupBy("root").agg(F.min("first").alias("first"), F.count("*").alias("members"))
+    groups = C.lookup(joined.drop("first"), smallest, "root", "members", total).select("fp", "n", "first", "links")
+    return C.lookup(rows, groups, "fp", "n", total)
+
+
+def find(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, fingerprint, component_id, links (how many
+    other fingerprints its own was linked to by the search)."""
+    return _grouped(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"), "links")
 
 
 def drop(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest doc_id (of
-    repeated rows with that id, one), with the columns it came with."""
-    found = find(docs)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    ids = C.materialize(gone.distinct(), "gone")
-    n = ids.count()
-    bits = C.bloom_bits(n)
-    bitmaps = C.materialize(C.bloom_build(ids.select("doc_id"), ["doc_id"], bits, least=1), "bloom")
+    several rows with that id, one), with the columns it came with. Only rows
+    that a Bloom filter takes for copies are shuffled."""
+    rows = C.materialize(_grouped(docs).select("doc_id", "t", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("t").eqNullSafe(F.col("first.t"))).alias("stays")), "grouped")
+    pairs = rows.groupBy("doc_id", "t", "stays").agg(F.count("*").alias("n")).filter("NOT stays OR n > 1")
+    pairs = C.materialize(pairs.select(F.col("doc_id").alias("__wl_of"), F.col("t").alias("__wl_ot"), F.col("stays").alias("__wl_stays")), "copies")
+    bits = C.bloom_bits(pairs.count())
+    bitmaps = C.materialize(C.bloom_build(pairs, ["__wl_of", "__wl_ot"], bits, least=1), "bloom")
     columns = C.columns_of(docs)
-    flagged = C.bloom_flag(docs.withColumn("__wl_id", F.col("doc_id").cast("bigint")), ["__wl_id"], bits, bitmaps, "__wl_maybe")
-    rest = flagged.filter("__wl_maybe").join(ids.withColumnRenamed("doc_id", "__wl_gone"), F.expr("__wl_id <=> __wl_gone"), "left_anti")
-    return flagged.filter(~F.col("__wl_maybe")).select(*columns).unionByName(rest.select(*columns))
+    keyed = docs.withColumns({"__wl_id": F.col("doc_id").cast("bigint"), "__wl_t": F.xxhash64(F.col("text").cast("string"))})
+    flagged = C.bloom_flag(keyed, ["__wl_id", "__wl_t"], bits, bitmaps, "__wl_maybe")
+    marked = flagged.filter("__wl_maybe").join(pairs, F.expr("__wl_id <=> __wl_of AND __wl_t = __wl_ot"), "left")
+    several = marked.filter("__wl_stays").groupBy("__wl_id", "__wl_t").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("__wl_one"))
+    return C.union_all([flagged.filter("NOT __wl_maybe").select(*columns), marked.filter("__wl_stays IS NULL").select(*columns), several.select("__wl_one.*")])
