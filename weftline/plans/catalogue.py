@@ -1,6 +1,6 @@
-"""The queries over the driver's tables and their oracles in DuckDB SQL."""
+"""All queries and oracles; importing the modules registers them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from weftline.plans import grids, messages, records, retrieval, scores, texts  # noqa: F401
+from weftline.plans.registry import ORACLES, QUERIES  # noqa: F401
