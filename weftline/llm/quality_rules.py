@@ -113,9 +113,9 @@ def judge(docs: DataFrame) -> DataFrame:
     sketch = C.materialize(sketches(measured).withColumn("lang", _key("lang")).withColumn("source", _key("source")), "sketches")
     names = [f"max_{k}" for k in RATIOS]
     fine, by_lang = limits(sketch), limits(sketch.drop("source"))
-    overall = limits(sketch.drop("source").withColumn("lang", F.lit(0))).drop("lang").withColumn("all", F.lit(0))
-    coarse = by_lang.withColumn("all", F.lit(0)).join(overall.select("all", *[F.col(c).alias(f"all_{c}") for c in names]), "all")
-    coarse = coarse.select("lang", *[F.when(F.col("size") >= MIN_GROUP, F.col(c)).otherwise(F.col(f"all_{c}")).alias(f"lang_{c}") for c in names])
+    # One row: the limits of everything together.
+    overall = limits(sketch.drop("source").withColumn("lang", F.lit(0))).first() or dict.fromkeys(names)
+    coarse = by_lang.select("lang", *[F.when(F.col("size") >= MIN_GROUP, F.col(c)).otherwise(F.lit(overall[c])).alias(f"lang_{c}") for c in names])
     groups = fine.join(coarse, "lang").select("size", F.concat_ws("\x01", "lang", "source").alias("group"), *[F.when(F.col("size") >= MIN_GROUP, F.col(c)).otherwise(F.col(f"lang_{c}")).alias(c) for c in names])
     keyed = measured.withColumn("group", F.concat_ws("\x01", _key("lang"), _key("source")))
     passed = C.lookup(keyed.filter(~F.col("base_failed")), groups, "group", "size", measured.count())
