@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from weftline.functions import structured as S
 from weftline.functions import text as T
@@ -85,7 +85,7 @@ def callback(call: Callable[[str], str], tries: int = 3, base: float = 1.0, cap:
                     batch["_raw"], batch["_error"] = zip(*pool.map(one, batch["prompt"])) if len(batch) else ([], [])
                     yield batch
 
-        schema = StructType(rows.schema.fields).add("_raw", "string").add("_error", "string")
+        schema = StructType([*rows.schema.fields, StructField("_raw", StringType()), StructField("_error", StringType())])
         parts = T.think_and_answer(F.col("_raw"))
         return rows.mapInPandas(run, schema).withColumns({"response": parts["answer"], "reasoning": parts["reasoning"], "error": F.col("_error")}).drop("_raw", "_error")
 
