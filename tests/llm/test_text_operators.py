@@ -78,7 +78,8 @@ def test_mixing(docs, table):
     for s, n, g in zip(sources, sizes, goals):
         own = [r for r in got if r.source == s]
         assert all(r.source_size == n and r.target == pytest.approx(g) for r in own)
-        assert abs(sum(r.taken for r in own) - g) <= 0.05 * g + 30
+        # Whole documents only: the longest one bounds how near a source can come.
+        assert abs(sum(r.taken for r in own) - g) <= max(r.size for r in own) / 2 + 5
     assert all(r.taken in (0, r.size, 2 * r.size) for r in got)
     again = mixing.mix(docs.repartition(3)).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
