@@ -239,14 +239,26 @@ TOKEN = r"(?U)(?:[A-Za-z]\.)+|\d+(?:\.\d+)?%?|\w+(?:[-']\w+)*|(?:[\w\-']@)+\w+"
 _SPECIAL = r"(?U)^(?:(?:[A-Za-z]\.)+|\w+@\w+\.\w+|\d+%$|[一-鿿]+$)"
 
 
+def raw_tokens(s: Column) -> Column:
+    """Abbreviations, numbers and percentages, words with inner - or ', e-mail
+    addresses, in lower case."""
+    return F.regexp_extract_all(strip_space(F.lower(s)), F.lit(TOKEN), F.lit(0))
+
+
+def clean_token(t: Column) -> Column:
+    """A raw token without punctuation around it; special cases stay."""
+    return F.when(t.rlike(_SPECIAL), t).otherwise(F.btrim(t, F.lit(PUNCTUATION)))
+
+
+def is_term(t: Column) -> Column:
+    """Whether a clean token is no stop word and more than punctuation."""
+    return (t != "") & ~t.isin(STOP_WORDS) & (F.btrim(t, F.lit(PUNCTUATION)) != "")
+
+
 def search_tokens(s: Column) -> Column:
-    """Lower-case search terms: abbreviations, numbers and percentages, words
-    with inner - or ', e-mail addresses; stripped of punctuation; without stop
-    words. Repeats stay. Not stemmed."""
-    stop = F.array(*map(F.lit, STOP_WORDS))
-    clean = lambda t: F.when(t.rlike(_SPECIAL), t).otherwise(F.btrim(t, F.lit(PUNCTUATION)))
-    found = F.transform(F.regexp_extract_all(strip_space(F.lower(s)), F.lit(TOKEN), F.lit(0)), clean)
-    return F.filter(found, lambda t: (t != "") & ~F.array_contains(stop, t) & (F.btrim(t, F.lit(PUNCTUATION)) != ""))
+    """Clean search terms in order; repeats stay. Not stemmed. To count terms of
+    many texts, explode `raw_tokens` first: then the rest is compiled."""
+    return F.filter(F.transform(raw_tokens(s), clean_token), is_term)
 
 
 #: The default token counter: runs of letters and digits, single CJK

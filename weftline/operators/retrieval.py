@@ -14,7 +14,8 @@ from weftline.functions import text as T
 
 def terms(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """keys, term, tf"""
-    return df.select(*keys, F.explode(T.search_tokens(F.col(text))).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    raw = df.select(*keys, F.explode(T.raw_tokens(F.col(text))).alias("term")).withColumn("term", T.clean_token(F.col("term")))
+    return raw.filter(T.is_term(F.col("term"))).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
 def corpus_stats(tf: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
