@@ -106,4 +106,6 @@ def merged_results(records: DataFrame, merged: DataFrame) -> DataFrame:
     ok = F.bool_and(F.col("members").isNull() | (F.coalesce("status", F.lit("")) == "passed"))
     entries = F.flatten(F.collect_list(F.transform("members", lambda m: F.struct(m.cast("string").alias("key"), F.col("code").alias("value")))))
     new = found.groupBy("uuid").agg(ok.alias("_ok"), entries.alias("_new")).filter("_ok")
-    return records.join(new, "uuid").select("uuid", F.map_concat("envs", F.map_from_entries("_new")).alias("envs"), "clusters")
+    written = records.join(new.withColumn("_new", F.map_from_entries("_new")), "uuid")
+    kept = F.map_filter("envs", lambda k, _: ~F.array_contains(F.map_keys("_new"), k))
+    return written.select("uuid", F.map_concat(kept, "_new").alias("envs"), "clusters")

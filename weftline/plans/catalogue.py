@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from weftline.plans import grids, messages, records, retrieval, scores, texts  # noqa: F401
+from weftline.plans import grids, messages, more, records, retrieval, scores, texts  # noqa: F401
 from weftline.plans.registry import ORACLES, QUERIES  # noqa: F401
