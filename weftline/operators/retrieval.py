@@ -28,8 +28,10 @@ def corpus_stats(tf: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
 def bm25(chunks: DataFrame, queries: DataFrame, keys: list[str], query: str, text: str = "text", query_text: str = "text") -> DataFrame:
     """query, keys, score of all chunks that share a term with a query. Query
     terms count as often as they occur; a negative idf becomes a quarter of the
-    vocabulary's mean. Only postings of the queries' terms are joined."""
-    tf = terms(chunks, keys, text)
+    vocabulary's mean. Only postings of the queries' terms are joined. The
+    postings are cached, as statistics and scores read them five times: the
+    texts are read and cut into tokens once."""
+    tf = terms(chunks, keys, text).persist()
     lengths = tf.groupBy(*keys).agg(F.sum("tf").alias("dl"))
     df, totals = corpus_stats(tf, keys)
     raw = F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
@@ -124,7 +126,7 @@ def search(chunks: DataFrame, scores: DataFrame | None, doc: str, budget: int) -
 
 def tfidf_vocabulary(tf: DataFrame, doc: str) -> DataFrame:
     """term, weight: smoothed idf, weights of a document scaled to length 1,
-    summed over documents, best first."""
+    summed over documents, best first. `tf` is read three times: cache it."""
     n = F.broadcast(tf.agg(F.count_distinct(doc).alias("n")))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     rows = tf.join(df, "term").join(n).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))

@@ -131,4 +131,4 @@ def vector_knn(t):
     SELECT term, round(sum(w / norm), 6) AS weight FROM w JOIN l USING (id) GROUP BY 1
 """)
 def tfidf_vocab(t):
-    return retrieval.tfidf_vocabulary(retrieval.terms(t("documents"), ["doc_id"], "text"), "doc_id").withColumn("weight", F.round("weight", 6))
+    return retrieval.tfidf_vocabulary(retrieval.terms(t("documents"), ["doc_id"], "text").persist(), "doc_id").withColumn("weight", F.round("weight", 6))
