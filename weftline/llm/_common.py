@@ -30,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         own = jvm_dir.get() if jvm_dir.isDefined() else None
     if not own:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         own = "file://" + tempfile.mkdtemp(prefix="weftline-")
         spark.sparkContext.setCheckpointDir(own)
     return own.rstrip("/")
