@@ -70,6 +70,20 @@ def _at_exit() -> None:
         remove_scratch(spark)
 
 
+#: Rows that Arrow hands to a worker at a time. Spark's default of 10,000 whole
+#: texts does not fit a small executor.
+BATCH_ROWS = 500
+
+
+def text_rows(df: DataFrame) -> DataFrame:
+    """Sets the session's Arrow batches to BATCH_ROWS, for what Python reads of
+    `df`; a smaller setting is left as it is."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def columns_of(df: DataFrame) -> list[Column]:
     """Every column, whatever characters its name holds."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm._common import text_rows
+
 MAX_LABELLED, MAX_POOL, SEED = 10_000, 10_000, 11
 ROUNDS, SURE = 4, 0.97
 #: Least combined score of a document that is kept.
@@ -180,7 +182,7 @@ def _views(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model | None:
     """Trains on the driver; what it collects is the bounded sample's views."""
-    rows = sample(docs, labels, **bounds).mapInPandas(_views, "doc_id bigint, quality int, text_view binary, meta_view binary").toPandas()
+    rows = text_rows(sample(docs, labels, **bounds)).mapInPandas(_views, "doc_id bigint, quality int, text_view binary, meta_view binary").toPandas()
     rows = rows.sort_values("doc_id", key=lambda ids: pd.util.hash_array(ids.to_numpy(np.int64)), kind="stable")
     stack = lambda part, c, width: np.frombuffer(b"".join(part[c]), dtype=np.float32).reshape(-1, width)
     known, free = rows[rows["quality"].notna()], rows[rows["quality"].isna()]
@@ -211,6 +213,6 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score at least THRESHOLD, with the columns they came
     with."""
-    model, columns = fit(docs, labels), docs.columns
+    model, columns = fit(text_rows(docs), labels), docs.columns
     scored = docs.withColumn("__wl_s", _scorer(model))
     return scored.filter(F.col("__wl_s.score") >= THRESHOLD).drop("__wl_s").select(*[F.col(f"`{c}`") for c in columns])

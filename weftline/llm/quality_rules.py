@@ -74,7 +74,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measure(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, COUNTS, base_failed."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), *[F.col(c).cast("string") for c in ("lang", "source", "text")])
+    rows = C.text_rows(docs).select(F.col("doc_id").cast("bigint"), *[F.col(c).cast("string") for c in ("lang", "source", "text")])
     out = rows.mapInArrow(_count, "doc_id bigint, lang string, source string, " + ", ".join(f"{c} bigint" for c in COUNTS))
     return out.withColumn("base_failed", F.expr(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words"))
 

@@ -15,6 +15,7 @@ table gives an empty result; other columns are ignored."""
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from collections.abc import Iterator
@@ -27,12 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm._common import text_rows
+
 MARK = "▁"
 #: Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Chunks in each of the two generations that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+#: Texts encoded at a time, and threads that encode their distinct chunks.
+BATCH, THREADS = 500, 2
 #: Chunks longer than this are encoded but not remembered.
 LONG_CHUNK = 64
 
@@ -225,6 +230,7 @@ class Codec:
 @cache
 def codec(path: str, check: bool) -> Codec:
     """One a worker process and model file."""
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))  # read when the library starts
     with open(path, "rb") as f:
         return Codec(f.read(), check)
 
@@ -237,9 +243,8 @@ def encode(docs: DataFrame, model_path: str, check: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_path, check)
         for batch in batches:
-            # Long texts: by parts of the batch, so that ids stay within memory.
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
                 texts = [t.as_py() for t in part.column(1)]
                 ids, agree = own.encode(texts)
                 back = own.decode(ids)
@@ -250,7 +255,7 @@ def encode(docs: DataFrame, model_path: str, check: bool = True) -> DataFrame:
                 digests = [sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in back]
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(agree), pa.array(same), pa.array(digests)], ["doc_id", "ids", "agree", "round_trip", "decoded_sha256"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    rows = text_rows(docs).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>, agree boolean, round_trip boolean, decoded_sha256 string")
 
 
@@ -260,10 +265,10 @@ def lengths(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_path, False)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
                 found = [len(i) for i in own.encode([t.as_py() for t in part.column(1)])[0]]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64())], ["doc_id", "tokens"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    rows = text_rows(docs).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id bigint, tokens bigint")

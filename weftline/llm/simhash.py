@@ -60,7 +60,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, t (a hash of the text), fp (signed 64 bits)."""
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("bigint"), text, F.xxhash64(text)).mapInArrow(_fingerprints, "doc_id bigint, t bigint, fp bigint")
+    return C.text_rows(docs).select(F.col("doc_id").cast("bigint"), text, F.xxhash64(text)).mapInArrow(_fingerprints, "doc_id bigint, t bigint, fp bigint")
 
 
 def _keyed(fps: DataFrame) -> DataFrame:

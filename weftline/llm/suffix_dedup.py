@@ -312,7 +312,7 @@ def find(docs: DataFrame, texts: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, spans, kept (the bytes that stay,
     with `texts`; else null), kept_sha256."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64("doc_id", text).alias("k"))
+    rows = C.text_rows(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64("doc_id", text).alias("k"))
     lost = C.materialize(runs(rows), "runs")
     some, none = _only(rows, lost.select("k"))
     same = F.encode("text", "UTF-8")

@@ -98,7 +98,7 @@ def plan(pages: DataFrame) -> DataFrame:
     repeat, by a Bloom filter, are grouped by digest; the others stay where
     they are."""
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
-    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    rows = C.text_rows(pages).select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("sha", F.unhex(F.sha2("payload", 256)))
     long = F.octet_length("payload") >= LEAST_REVISIT
     known = C.materialize(rows.filter(long).select("page_id", "sha"), "payloads")
