@@ -17,14 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from weftline.llm import _common as C
 from weftline.llm import sentencepiece_codec
 
 BLOCK = 1024
 
 
 def histogram(docs: DataFrame, model_path: str) -> DataFrame:
-    """tokens (a length), docs (how many have it)."""
-    return sentencepiece_codec.lengths(docs, model_path).groupBy("tokens").agg(F.count("*").alias("docs"))
+    """tokens (a length), docs (how many have it). Written to the shared folder:
+    texts are encoded once, however often the histogram is read."""
+    return C.materialize(sentencepiece_codec.lengths(docs, model_path).groupBy("tokens").agg(F.count("*").alias("docs")), "lengths")
 
 
 def sums(hist: DataFrame) -> DataFrame:
@@ -34,7 +36,7 @@ def sums(hist: DataFrame) -> DataFrame:
     total_tokens."""
     rows = hist.select("tokens", "docs", (F.col("tokens") * F.col("docs")).alias("mass"), F.floor(F.col("tokens") / BLOCK).alias("block"))
     blocks = rows.groupBy("block").agg(F.sum("docs").alias("docs"), F.sum("mass").alias("mass"))
-    # One row a block of lengths: as many as the longest text has thousands of tokens.
+    # One row a block of lengths: one for each BLOCK tokens of the longest text.
     before, all_blocks = W.orderBy("block").rowsBetween(W.unboundedPreceding, -1), W.orderBy("block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     placed = blocks.select("block", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("docs", "mass")], *[F.sum(c).over(all_blocks).alias(f"{c}_all") for c in ("docs", "mass")])
     inside = W.partitionBy("block").orderBy("tokens").rowsBetween(W.unboundedPreceding, 0)
