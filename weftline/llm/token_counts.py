@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from weftline.llm import _common as C
 from weftline.llm import sentencepiece_codec
 
-BLOCK = 1024
+BLOCK = 128
 
 
 def histogram(docs: DataFrame, model_path: str) -> DataFrame:
