@@ -18,7 +18,7 @@ columns are ignored by `find` and carried along by `drop`."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -116,11 +116,12 @@ def find(docs: DataFrame) -> DataFrame:
     return _grouped(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"), "links")
 
 
-def drop(docs: DataFrame) -> DataFrame:
+def drop(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame] = _grouped) -> DataFrame:
     """One document of each component, the one with the smallest doc_id (of
     several rows with that id, one), with the columns it came with. Only rows
-    that a Bloom filter takes for copies are shuffled."""
-    rows = C.materialize(_grouped(docs).select("doc_id", "t", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("t").eqNullSafe(F.col("first.t"))).alias("stays")), "grouped")
+    that a Bloom filter takes for copies are shuffled. `grouped` gives doc_id,
+    t and first of every row."""
+    rows = C.materialize(grouped(docs).select("doc_id", "t", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("t").eqNullSafe(F.col("first.t"))).alias("stays")), "grouped")
     pairs = rows.groupBy("doc_id", "t", "stays").agg(F.count("*").alias("n")).filter("NOT stays OR n > 1")
     pairs = C.materialize(pairs.select(F.col("doc_id").alias("__wl_of"), F.col("t").alias("__wl_ot"), F.col("stays").alias("__wl_stays")), "copies")
     bits = C.bloom_bits(pairs.count())
