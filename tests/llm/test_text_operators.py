@@ -50,6 +50,29 @@ def test_limits_follow_the_group_and_merge(spark):
     assert merged["size"] == 403
 
 
+def test_verdicts_follow_the_spread_of_the_source(spark):
+    """Repeated lines, capitals and word length: what is usual in one source is
+    an outlier in another."""
+    random.seed(8)
+
+    def text(capitals, letters, dup_lines):
+        lines = [" ".join("abcdefghijklmnop"[random.randrange(16)] * (letters + random.randrange(2)) + str(random.randrange(10**4)) for _ in range(10)) for _ in range(20)]
+        lines[20 - dup_lines :] = lines[:1] * dup_lines
+        words = " ".join(["\n".join(lines)]).split(" ")
+        return " ".join(w[:-1] + "Z" if i < capitals else w for i, w in enumerate(words))
+
+    rows = []
+    for i in range(200):
+        rows.append((f"tight{i}", "tight", text(random.choice((4, 5)), 4, 0)))
+        rows.append((f"wide{i}", "wide", text(random.randrange(40), random.choice((3, 4, 5, 6)), random.choice((0, 0, 3, 5)))))
+    tests = {"capitals": text(40, 4, 0), "word_length": text(5, 6, 0), "dup_lines": text(5, 4, 5), "plain": text(5, 4, 0)}
+    rows += [(name, source, t) for name, t in tests.items() for source in ("tight", "wide")]
+    docs = spark.createDataFrame([(i, t, "en", s) for i, (_, s, t) in enumerate(rows)], "doc_id bigint, text string, lang string, source string")
+    kept = {rows[r.doc_id][:2]: r.kept for r in quality_rules.judge(docs).collect()}
+    for name in tests:
+        assert kept[name, "wide"] and kept[name, "tight"] == (name == "plain"), name
+
+
 def test_targets():
     got = mixing.targets([100, 1000, 10], [3, 1, 2], 1110 * 1.5)
     assert got[0] == 200 and got[2] == 20 and abs(sum(got) - 1665) < 1e-9

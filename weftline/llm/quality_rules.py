@@ -1,10 +1,12 @@
 """Quality rules whose thresholds adapt to language and source.
 
-Each document is reduced to counts. Four ratios per 1000 get a quantile sketch
-per (language, source): a histogram over integer values kept to six leading
-bits, so a quantile is exact to 1/32 of itself, sketches merge by adding
+Each document is reduced to counts. Five ratios per 1000 get a quantile sketch
+per (language, source): a histogram over integer values kept to ten leading
+bits, so a quantile is exact to 1/512 of itself, sketches merge by adding
 counts, and reruns agree. A group's upper limit for a ratio is its third
-quartile plus REACH times its upper half-spread (at least a floor). Groups
+quartile plus REACH times its upper half-spread. Where that spread is next to
+nothing (most documents have no symbol and no repeat at all), a small guard
+takes its place: about what one event makes in a short document. Groups
 under MIN_GROUP documents merge with their language, and languages under it
 with everything. The limits are then joined to the documents.
 
@@ -29,16 +31,19 @@ from weftline.llm import _common as C
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: Documents a group needs for limits of its own; half-spreads above the third quartile.
 MIN_GROUP, REACH = 100, 3
+#: Leading bits that a sketch keeps of a value.
+SKETCH_BITS = 10
 #: Ratio -> (numerator, denominator, least half-spread per 1000).
 RATIOS = {
-    "symbols": ("n_symbols", "n_words", 100),
-    "capitals": ("n_capitals", "word_chars", 60),
-    "repeats": ("n_repeat_words", "n_words", 130),
-    "word_length": ("word_chars", "n_words", 1500),
+    "symbols": ("n_symbols", "n_words", 20),
+    "capitals": ("n_capitals", "word_chars", 2),
+    "repeats": ("n_repeat_words", "n_words", 40),
+    "word_length": ("word_chars", "n_words", 20),
+    "dup_lines": ("n_dup_lines", "n_lines", 40),
 }
 
 _SPACE, _SYMBOLS, _CAPITALS = b" \t\n\x0b\x0c\r", b"#*$%&|<>", bytes(range(65, 91))
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_lines")
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -63,7 +68,7 @@ def counts(text: str | None) -> tuple[int, ...]:
     without = lambda chars: len(raw) - len(raw.translate(None, chars))
     words = raw.split()
     lines = [line for line in raw.split(b"\n") if line.strip()]
-    return (len(words), len(text) - without(_SPACE), without(_SYMBOLS), len(lines) - len(set(lines)), repeat_words(words), without(_CAPITALS))
+    return (len(words), len(text) - without(_SPACE), without(_SYMBOLS), len(lines) - len(set(lines)), repeat_words(words), without(_CAPITALS), len(lines))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +89,7 @@ def sketches(measured: DataFrame) -> DataFrame:
     passed = measured.filter(~F.col("base_failed"))
     values = F.array(*[F.struct(F.lit(k).alias("ratio"), F.expr(f"1000 * {a} div greatest({b}, 1)").alias("v")) for k, (a, b, _) in RATIOS.items()])
     rows = passed.select("lang", "source", F.inline(values))
-    drop = F.greatest(F.length(F.bin("v")) - 6, F.lit(0))
+    drop = F.greatest(F.length(F.bin("v")) - SKETCH_BITS, F.lit(0))
     return rows.groupBy("lang", "source", "ratio", F.expr("v").alias("v")).agg(F.count("*").alias("n")).select("lang", "source", "ratio", "n", drop.alias("drop"), "v").select("lang", "source", "ratio", F.expr("shiftleft(shiftright(v, drop), drop)").alias("value"), "n").groupBy("lang", "source", "ratio", "value").agg(F.sum("n").alias("n"))
 
 
