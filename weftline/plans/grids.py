@@ -63,7 +63,18 @@ def taxonomy_leaves(t):
         SELECT l_orderkey, unnest(list(l_linestatus ORDER BY l_linenumber, l_partkey, l_linestatus)) AS fn, unnest(range(0, count(*))) AS pos FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY 1)
 """)
 def explode_with_ids(t):
-    rows = t("lineitem").filter("l_orderkey % 10 = 0").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_linestatus"))), lambda x: x["l_linestatus"]).alias("items"))
+    """The orders that the oracle covers; `explode_all_with_ids` has all."""
+    return _exploded(t("lineitem").filter("l_orderkey % 10 = 0"))
+
+
+@query()
+def explode_all_with_ids(t):
+    """Every order; tested by brute force."""
+    return _exploded(t("lineitem"))
+
+
+def _exploded(lines):
+    rows = lines.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_linestatus"))), lambda x: x["l_linestatus"]).alias("items"))
     return generators.explode_items(rows, "items", "fn", ["l_orderkey"]).select("l_orderkey", "position", "fn", "item_id")
 
 
