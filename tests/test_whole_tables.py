@@ -21,3 +21,13 @@ def test_explode_all_with_ids(spark):
     assert any(k % 10 for k in lines)
     got = catalogue.QUERIES["explode_all_with_ids"](spark, DATA)
     assert sorted(tuple(r) for r in got.select("l_orderkey", "position", "fn", "item_id").collect()) == want
+
+
+def test_step_rendering_all(spark):
+    lines = orders(spark, "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus")
+    step = lambda n, _, q, a: f"id={n} | hop=1 | parallel=false | dep=[{n - 1}] | q={q} | a={a}"
+    part = lambda n, _, q, a: f'{{"_uuid":{n},"sub_question":"{q}","sub_answer":"{a}"}}'
+    want = sorted((k, "\n".join(step(*x) for x in v), "[" + ",".join(part(*x) for x in v) + "]") for k, v in lines.items())
+    assert any(k % 5 for k in lines)
+    got = catalogue.QUERIES["step_rendering_all"](spark, DATA)
+    assert sorted(tuple(r) for r in got.select("l_orderkey", "compact", "json").collect()) == want
