@@ -3,7 +3,9 @@
 from collections import defaultdict
 from hashlib import sha256
 
+from weftline.operators import retrieval
 from weftline.plans import catalogue
+from weftline.plans.retrieval import _chunks
 
 DATA = "/root/testdata/sf0.001"
 
@@ -31,3 +33,57 @@ def test_step_rendering_all(spark):
     assert any(k % 5 for k in lines)
     got = catalogue.QUERIES["step_rendering_all"](spark, DATA)
     assert sorted(tuple(r) for r in got.select("l_orderkey", "compact", "json").collect()) == want
+
+
+def chunks(spark):
+    out = defaultdict(list)
+    for r in sorted(_chunks(lambda name: spark.read.parquet(f"{DATA}/{name}.parquet")).collect(), key=lambda r: r.chunk_id):
+        out[r.doc_id].append((r.text, r.token))
+    return out
+
+
+def test_front_page_pin_all(spark):
+    want = []
+    for d, rows in chunks(spark).items():
+        for i, (_, n) in enumerate(rows[:2]):
+            if 4 * n > 2000:
+                break
+            want.append((d, i))
+    got = catalogue.QUERIES["front_page_pin_all"](spark, DATA).collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len({d for d, _ in want}) > 1
+
+
+def decided(sessions, budget, scored):
+    """Of sessions {session: [(doc, chunk, text, token)]}."""
+    out = []
+    for rows in sessions.values():
+        docs = sorted({r[0] for r in rows})
+        hit = any(scored(r[2]) and r[3] for r in rows)
+        if sum(r[3] for r in rows) <= budget:
+            parts = [(sorted(rows), 10**9)]
+        elif hit:
+            parts = [(sorted(rows, key=lambda r: (-r[3] if scored(r[2]) else 0, r[0], r[1])), budget)]
+        else:
+            parts = [(sorted(r for r in rows if r[0] == d), budget // len(docs)) for d in docs]
+        for part, left in parts:
+            for d, c, _, n in part:
+                if left <= 0:
+                    break
+                out.append((d, c, min(n, left)))
+                left -= n
+    return sorted(out)
+
+
+def test_retrieval_decision_all(spark):
+    sessions = {d: [(d, i, *x) for i, x in enumerate(rows)] for d, rows in chunks(spark).items()}
+    want = decided(sessions, 400, lambda text: "the" in text.lower())
+    got = catalogue.QUERIES["retrieval_decision_all"](spark, DATA).collect()
+    assert sorted(map(tuple, got)) == want and len({d for d, _, _ in want}) > 5
+
+
+def test_sessions_of_several_documents(spark):
+    rows = [(s, s * 10 + d, c, "the x" if s == 1 and d == c else "x", 3 + d + c) for s in range(3) for d in range(3) for c in range(1 if s == 2 else 4)]
+    df = spark.createDataFrame(rows, "session int, doc_id int, chunk_id int, text string, token int")
+    scores = df.selectExpr("session", "doc_id", "chunk_id", "if(text like '%the%', token, 0) * 1d AS score")
+    got = retrieval.search_sessions(df, scores, "session", "doc_id", 15).select("doc_id", "chunk_id", "used").collect()
+    assert sorted(map(tuple, got)) == decided({s: [r[1:] for r in rows if r[0] == s] for s in range(3)}, 15, lambda t: "the" in t)

@@ -71,10 +71,11 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id",
     return top_k(pairs, [query_id], [vec_id], k, ascending=True)
 
 
-def front_pins(chunks: DataFrame, budget: int) -> DataFrame:
-    """Chunks 0 and 1 of a single document get an infinite score, as long as
-    four times their tokens fit the budget; the first that does not stops it."""
-    w = W.orderBy("chunk_id").rowsBetween(W.unboundedPreceding, 0)
+def front_pins(chunks: DataFrame, budget: int, doc: str | None = None) -> DataFrame:
+    """Chunks 0 and 1 of a single document, or of each `doc`, get an infinite
+    score, as long as four times their tokens fit the budget; the first that
+    does not stops it."""
+    w = W.partitionBy(*([doc] if doc else [])).orderBy("chunk_id").rowsBetween(W.unboundedPreceding, 0)
     first = chunks.filter(F.col("chunk_id") < 2)
     return first.withColumn("_ok", F.min((F.lit(budget) >= F.col("token") * 4).cast("int")).over(w)).filter("_ok = 1").drop("_ok").withColumn("score", F.lit(float("inf")))
 
@@ -124,6 +125,20 @@ def search(chunks: DataFrame, scores: DataFrame | None, doc: str, budget: int) -
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("_total", "_best")
 
 
+def search_sessions(chunks: DataFrame, scores: DataFrame, session: str, doc: str, budget: int) -> DataFrame:
+    """`search` with scores for every session (never null) at once: session,
+    doc, chunk_id, text, used. Chunks and scores hold the session."""
+    found = chunks.join(scores, [session, doc, "chunk_id"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    facts = found.groupBy(session).agg(F.count_distinct(doc).alias("_docs"), F.sum("token").alias("_total"), F.max("score").alias("_best"))
+    rows = found.join(facts, session)
+    fits, hit = F.col("_total") <= budget, F.col("_best") > 0
+    everything = rows.filter(fits).withColumn("used", F.col("token"))
+    front = within_budget(rows.filter(~fits & ~hit), [session, doc], [F.col("chunk_id")], F.floor(F.lit(budget) / F.greatest("_docs", F.lit(1))), text="text")
+    chosen = within_budget(rows.filter(~fits & hit), [session], [F.desc("score"), F.col(doc), F.col("chunk_id")], budget, text="text")
+    parts = [p.select(session, doc, "chunk_id", "text", F.col("used").cast("bigint").alias("used")) for p in (everything, front, chosen)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def tfidf_vocabulary(tf: DataFrame, doc: str) -> DataFrame:
     """term, weight: smoothed idf, weights of a document scaled to length 1,
     summed over documents, best first. `tf` is read three times: cache it."""

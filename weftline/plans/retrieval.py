@@ -95,10 +95,16 @@ def front_part(t):
     WITH {_CHUNKS} SELECT doc_id, chunk_id FROM c x WHERE doc_id = 20 AND chunk_id < 2 AND NOT EXISTS (SELECT 1 FROM c y WHERE y.doc_id = 20 AND y.chunk_id <= x.chunk_id AND y.token * 4 > 2000)
 """)
 def front_page_pin(t):
-    """The operator takes a single document."""
+    """The document that the oracle covers; `front_page_pin_all` has all."""
     return retrieval.front_pins(_chunks(t).filter("doc_id = 20"), 2000).select("doc_id", "chunk_id")
 
 
+@query()
+def front_page_pin_all(t):
+    """Every document on its own; tested by brute force."""
+    return retrieval.front_pins(_chunks(t), 2000, "doc_id").select("doc_id", "chunk_id")
+
+
 @query(f"""
     WITH {_CHUNKS}, d AS (SELECT * FROM c WHERE doc_id < 5), s AS (SELECT *, CASE WHEN contains(lower(text), 'the') THEN token ELSE 0 END AS score FROM d),
     w AS (SELECT *, sum(token) OVER (ORDER BY score DESC, doc_id, chunk_id ROWS UNBOUNDED PRECEDING) AS spent FROM s)
@@ -112,6 +118,14 @@ def retrieval_decision(t):
     return retrieval.search(chunks, scores, "doc_id", 400).select("doc_id", "chunk_id", F.col("used").cast("bigint"))
 
 
+@query()
+def retrieval_decision_all(t):
+    """Every document as a session of its own; tested by brute force."""
+    chunks = _chunks(t).withColumn("session", F.col("doc_id"))
+    scores = chunks.select("session", "doc_id", "chunk_id", F.when(F.lower("text").contains("the"), F.col("token")).otherwise(0).cast("double").alias("score"))
+    return retrieval.search_sessions(chunks, scores, "session", "doc_id", 400).select("doc_id", "chunk_id", "used")
+
+
 @query("""
     WITH d AS (SELECT q.vec_id AS query_id, v.vec_id, round(list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 20 = 0),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
