@@ -87,3 +87,10 @@ def test_sessions_of_several_documents(spark):
     scores = df.selectExpr("session", "doc_id", "chunk_id", "if(text like '%the%', token, 0) * 1d AS score")
     got = retrieval.search_sessions(df, scores, "session", "doc_id", 15).select("doc_id", "chunk_id", "used").collect()
     assert sorted(map(tuple, got)) == decided({s: [r[1:] for r in rows if r[0] == s] for s in range(3)}, 15, lambda t: "the" in t)
+
+
+def test_regrouped_chunks_all(spark):
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
+    want = sorted((r.doc_id, r.text.replace("\n", "|")) for r in rows if r.text is not None)
+    got = catalogue.QUERIES["regrouped_chunks_all"](spark, DATA).collect()
+    assert sorted(map(tuple, got)) == want and any(t.count("|") > 2 for _, t in want)
