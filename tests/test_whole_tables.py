@@ -94,3 +94,24 @@ def test_regrouped_chunks_all(spark):
     want = sorted((r.doc_id, r.text.replace("\n", "|")) for r in rows if r.text is not None)
     got = catalogue.QUERIES["regrouped_chunks_all"](spark, DATA).collect()
     assert sorted(map(tuple, got)) == want and any(t.count("|") > 2 for _, t in want)
+
+
+def texts(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet").collect()
+
+
+def test_whole_replies(spark):
+    docs = [r for r in texts(spark) if r.text is not None]
+    assert any(len(r.text) > 1000 for r in docs)
+    got = catalogue.QUERIES["think_and_fence_strip_all"](spark, DATA).collect()
+    bodies = {r.doc_id: (r.body, r.reasoning, r.score) for r in got}
+    for r in docs:
+        assert bodies[r.doc_id] == (f'{{"doc_id":{r.doc_id},"score":{r.n_chars}}}', r.text.strip(), float(r.n_chars))
+    parsed = {r.doc_id: (r.action, r.input, r.agent) for r in catalogue.QUERIES["agent_reply_parsing_all"](spark, DATA).collect()}
+    assert all(parsed[r.doc_id] == ("en", r.text.strip(), "en" if r.doc_id % 2 else r.lang) for r in docs)
+
+
+def test_union_with_variations_all(spark):
+    want = sorted((r.doc_id, v, q) for r in texts(spark) for v, q in enumerate((r.text, f"en {r.lang}", f"src {r.source}")))
+    got = catalogue.QUERIES["union_with_variations_all"](spark, DATA).collect()
+    assert sorted(map(tuple, got)) == want

@@ -36,8 +36,19 @@ def augmentation_grid(t):
     SELECT doc_id, v::INT AS variant, CASE v WHEN 0 THEN substr(text, 1, 50) WHEN 1 THEN 'en ' || lang ELSE 'src ' || source END AS question FROM documents, range(0, 3) r(v)
 """)
 def union_with_variations(t):
+    """The heads of texts, as in the oracle; `union_with_variations_all` has whole ones."""
+    return _varied(t, F.substring("text", 1, 50))
+
+
+@query()
+def union_with_variations_all(t):
+    """Whole texts; tested by brute force."""
+    return _varied(t, F.col("text"))
+
+
+def _varied(t, text):
     reply = F.concat(F.lit("<response><VARIATION_1 id='1'><question><!-- note -->en "), "lang", F.lit("</question></VARIATION_1><variation_2><question>src "), "source", F.lit("</question></variation_2></response>"))
-    rows = t("documents").select("doc_id", F.substring("text", 1, 50).alias("q"), reply.alias("reply"))
+    rows = t("documents").select("doc_id", text.alias("q"), reply.alias("reply"))
     return generators.with_variations(rows, F.col("q"), generators.variations(F.col("reply"))).select("doc_id", "variant", "question")
 
 

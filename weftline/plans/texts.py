@@ -11,9 +11,9 @@ from weftline.plans.registry import query
 from weftline.sources import documents
 
 
-def _replies(t):
+def _replies(t, text=None):
     """A reply made of each document: think block, fenced JSON, tags."""
-    text = F.substring("text", 1, 200)
+    text = F.substring("text", 1, 200) if text is None else text
     reply = F.concat(F.lit("<think>"), text, F.lit("</think>"), F.lit("\n```json\n"), F.to_json(F.struct("doc_id", F.col("n_chars").alias("score"))), F.lit("\n```"))
     return t("documents").select("doc_id", "n_chars", text.alias("head"), reply.alias("reply"))
 
@@ -24,7 +24,17 @@ def _replies(t):
     FROM documents
 """)
 def think_and_fence_strip(t):
-    rows = _replies(t)
+    """The heads of texts, as in the oracle; `think_and_fence_strip_all` has whole ones."""
+    return _stripped(_replies(t))
+
+
+@query()
+def think_and_fence_strip_all(t):
+    """Whole texts; tested by brute force."""
+    return _stripped(_replies(t, F.col("text")))
+
+
+def _stripped(rows):
     v = S.model_json(F.col("reply"))
     return rows.select("doc_id", T.strip_fences(T.after_last_think(F.col("reply"))).alias("body"), F.trim(T.strip_space(T.think_and_answer(F.col("reply"))["reasoning"])).alias("reasoning"), S.score(v)["score"].alias("score"), S.score(v)["is_safe"].alias("is_safe"))
 
@@ -107,10 +117,22 @@ def token_counts_regex(t):
 
 @query("SELECT doc_id, 'en' AS action, substr(text, 1, 20) AS input, CASE WHEN doc_id % 2 = 0 THEN lang ELSE 'en' END AS agent FROM documents")
 def agent_reply_parsing(t):
-    reply = F.concat(F.lit("Thought: x\nAction: old\nAction Input: y\nThought: z\nAction: en\nAction Input: "), F.substring("text", 1, 20), F.lit("\nObservation: w"))
+    """The heads of texts, as in the oracle; `agent_reply_parsing_all` has whole ones."""
+    text = F.substring("text", 1, 20)
+    return _agent_replies(t, text, text)
+
+
+@query()
+def agent_reply_parsing_all(t):
+    """Whole texts and the input as parsed; tested by brute force."""
+    return _agent_replies(t, F.col("text"), F.col("a.action_input"))
+
+
+def _agent_replies(t, text, shown):
+    reply = F.concat(F.lit("Thought: x\nAction: old\nAction Input: y\nThought: z\nAction: en\nAction Input: "), text, F.lit("\nObservation: w"))
     call = F.concat(F.lit("I pick Call: "), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise("nobody"), F.lit("\nbecause"))
     rows = t("documents").withColumn("a", T.react_action(reply))
-    return rows.select("doc_id", "a.action", F.substring("text", 1, 20).alias("input"), T.routed_agent(call, ["en", "fr", "de", "es"]).alias("agent"))
+    return rows.select("doc_id", "a.action", shown.alias("input"), T.routed_agent(call, ["en", "fr", "de", "es"]).alias("agent"))
 
 
 @query("SELECT event_id, event_type AS name, props AS arguments FROM events")
