@@ -56,6 +56,7 @@ def test_bloom_never_misses(spark):
     assert flagged.filter("k < 100 AND NOT maybe").count() == 0
     assert counts[True] < 200 + 2800 * 0.1
     assert _common.bloom_bits(10**12) == _common.BLOOM_MAX_BITS
+    assert _common.bloom_ranges(10**9) * _common.BLOOM_MAX_BITS >= 10**9 * _common.BLOOM_CELLS
 
 
 def test_full_bloom_changes_nothing(docs, monkeypatch):
@@ -167,17 +168,30 @@ def passages(table, length=400):
     return out
 
 
-@pytest.mark.parametrize("crowded", [0, 2000])
-def test_passages(docs, table, monkeypatch, crowded):
-    short = [r for r in table if len(r[1] or "") < 20_000]
-    monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
+@pytest.mark.parametrize("bucket_bytes", [0, 1200, 2 << 20])
+def test_passages(docs, table, monkeypatch, bucket_bytes):
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", bucket_bytes)
     monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 3000)
-    got = suffix_dedup.find(docs.filter("text IS NULL OR length(text) < 20000")).collect()
-    want = Counter((r[0], *p) for r, p in zip(short, passages(short)))
+    got = suffix_dedup.find(docs).collect()
+    want = Counter((r[0], *p) for r, p in zip(table, passages(table)))
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
     assert sum(r.n_removed for r in got) > 1000
 
 
+@pytest.mark.parametrize("bucket_bytes", [3000, 2 << 20])
+def test_a_passage_in_many_documents(spark, monkeypatch, bucket_bytes):
+    import random
+
+    random.seed(6)
+    shared = "".join(random.choice("abcd ") for _ in range(700))
+    body = lambda n: "".join(random.choice("efgh ") for _ in range(n))
+    table = [(i % 70, body(random.randint(0, 300)) + shared[: random.randint(380, 700)] + body(random.randint(0, 300))) for i in range(80)]
+    table += [(100 + i, shared) for i in range(40)] + [(200, "ab" * 900), (201, "ab" * 230), (None, shared), (0, shared)]
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", bucket_bytes)
+    got = suffix_dedup.find(spark.createDataFrame(table, "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter((r[0], *p) for r, p in zip(table, passages(table)))
+
+
 def test_passages_across_blocks(spark, monkeypatch):
     import random
 
@@ -191,15 +205,18 @@ def test_passages_across_blocks(spark, monkeypatch):
     assert all(sha256(r.kept).hexdigest() == r.kept_sha256 and sum(s.end - s.start for s in r.spans) == r.n_removed for r in got)
 
 
-def test_refinement_by_brute_force():
+@pytest.mark.parametrize("group", [1, 64, 1 << 15])
+def test_refinement_by_brute_force(monkeypatch, group):
     import random
 
     import numpy as np
 
     random.seed(4)
-    for _ in range(5):
-        base = bytes(random.choice(b"ab") for _ in range(700))
-        texts = [base, base[100:] + b"x", bytes(random.choice(b"ab") for _ in range(600)), b"a" * 450, b"short"]
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    for round_ in range(8):
+        base = bytes(random.choice(b"ab" if round_ % 2 else b"abcdefgh") for _ in range(900))
+        texts = [base, base[100:] + b"x", base[:500] + b"y" + base[500:], bytes(random.choice(b"ab") for _ in range(600)), b"a" * 450, b"short", base[31:431], b"", b"a" * 401, base[-410:], b"ab" * 300]
+        random.shuffle(texts)
         mask = suffix_dedup.repeated(b"".join(texts), np.cumsum([len(t) for t in texts]))
         seen = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
         want = [seen[t[i : i + 400]] > 1 if i + 400 <= len(t) else False for t in texts for i in range(len(t))]

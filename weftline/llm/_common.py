@@ -16,8 +16,9 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
 
 #: A key counts as hot above this share of all rows, so at most this many keys
-#: are hot: the proven bound of every broadcast of hot keys.
-HOT_SHARE = 256
+#: are hot: the proven bound of every broadcast of hot keys. Nor has a key that
+#: is not hot more than HOT_ROWS rows, whatever the total is.
+HOT_SHARE, HOT_ROWS = 256, 1_000_000
 
 _scratch: list[str] = []
 
@@ -70,20 +71,6 @@ def _at_exit() -> None:
         remove_scratch(spark)
 
 
-#: Rows that Arrow hands to a worker at a time. Spark's default of 10,000 whole
-#: texts does not fit a small executor.
-BATCH_ROWS = 500
-
-
-def text_rows(df: DataFrame) -> DataFrame:
-    """Sets the session's Arrow batches to BATCH_ROWS, for what Python reads of
-    `df`; a smaller setting is left as it is."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH_ROWS:
-        df.sparkSession.conf.set(name, str(BATCH_ROWS))
-    return df
-
-
 def columns_of(df: DataFrame) -> list[Column]:
     """Every column, whatever characters its name holds."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
@@ -93,14 +80,28 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, n: str, total: int) -> DataFrame:
-    """Inner join of `left` with `right`, which has one row per `key` and the
-    key's row count in `n`. Keys with over 1/HOT_SHARE of `total` rows are at
-    most HOT_SHARE: those are broadcast, so that no task gets all rows of one."""
-    hot_above = max(total // HOT_SHARE, 1000 // HOT_SHARE)
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no
+    column of `df`."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def lookup(left: DataFrame, right: DataFrame, keys: str | list[str], n: str, total: int) -> DataFrame:
+    """Inner join of `left` with `right`, which has one row per key and the
+    key's row count in `n`. Keys with over 1/HOT_SHARE of `total` rows, or over
+    HOT_ROWS, are broadcast, so that no task gets all rows of one. They are
+    HOT_SHARE or total / HOT_ROWS keys at most."""
+    on = [keys] if isinstance(keys, str) else keys
+    hot_above = min(max(total // HOT_SHARE, 1000 // HOT_SHARE), HOT_ROWS)
     hot = F.broadcast(right.filter(F.col(n) > hot_above))
-    cold = left.join(hot.select(key), key, "left_anti").join(right.filter(F.col(n) <= hot_above), key)
-    return left.join(hot, key).unionByName(cold)
+    cold = left.join(hot.select(*on), on, "left_anti").join(right.filter(F.col(n) <= hot_above), on)
+    return left.join(hot, on).unionByName(cold)
 
 
 # -- Bloom filter over repeated keys ----------------------------------------
@@ -115,37 +116,44 @@ def _cells(keys: list[str], bits: int) -> list[Column]:
 
 def bloom_bits(n: int) -> int:
     """Power of two near BLOOM_CELLS bits a key. Beyond the bound the filter
-    fills up and lets more rows through; results stay the same."""
+    fills up and lets more rows through; results stay the same. Callers that
+    must not come to that deal their keys out by `bloom_ranges` first."""
     return min(BLOOM_MAX_BITS, max(1 << 15, 1 << (max(n, 1) * BLOOM_CELLS - 1).bit_length()))
 
 
+def bloom_ranges(n: int) -> int:
+    """How many filters of the largest size n keys need."""
+    return max(1, -(-n * BLOOM_CELLS // BLOOM_MAX_BITS))
+
+
 def bloom_build(rows: DataFrame, keys: list[str], bits: int, least: int) -> DataFrame:
-    """Bitmaps of 32768 cells each, at most bits / 32768 rows: a cell is set
-    when `least` or more rows hit it (1: seen, 2: seen again)."""
+    """Bitmaps of 32768 cells each, as 512 words, at most bits / 32768 rows: a
+    cell is set when `least` or more rows hit it (1: seen, 2: seen again)."""
     cells = F.array(*[cell + 1 for cell in _cells(keys, bits)])
     hits = rows.select(F.explode(cells).alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
-    return (
+    bitmaps = (
         hits.filter(F.col("n") >= least)
         .select(F.expr("bitmap_bucket_number(cell)").alias("bucket"), F.expr("bitmap_bit_position(cell)").alias("bit"))
         .groupBy("bucket")
         .agg(F.expr("bitmap_construct_agg(bit)").alias("bitmap"))
     )
+    return bitmaps.select("bucket", F.expr("transform(sequence(0, 511), i -> cast(conv(hex(substring(bitmap, i * 8 + 1, 8)), 16, -10) as bigint))").alias("words"))
 
 
 def bloom_flag(rows: DataFrame, keys: list[str], bits: int, bitmaps: DataFrame, flag: str) -> DataFrame:
     """Adds boolean `flag`: false only if the filter surely lacks the key. The
     bitmaps are broadcast: at most BLOOM_MAX_BITS / 8 bytes."""
-    out, tests = rows, []
+    out, tests, extra = rows, [], []
     for i, cell in enumerate(_cells(keys, bits)):
-        c, b, m = f"__wl_c{i}", f"__wl_b{i}", f"__wl_m{i}"
-        side = F.broadcast(bitmaps.select(F.col("bucket").alias(b), F.col("bitmap").alias(m)))
+        c, b, w = fresh(rows, f"cell{i}", f"bucket{i}", f"words{i}")
+        side = F.broadcast(bitmaps.select(F.col("bucket").alias(b), F.col("words").alias(w)))
         out = out.withColumn(c, cell + 1)
         out = out.join(side, F.expr(f"bitmap_bucket_number({c})") == F.col(b), "left")
-        bit = f"bitmap_bit_position({c})"
-        byte = f"cast(conv(hex(substring({m}, cast({bit} div 8 as int) + 1, 1)), 16, 10) as int)"
-        tests.append(F.expr(f"coalesce(shiftright({byte}, cast({bit} % 8 as int)) & 1, 0) = 1"))
-    out = out.withColumn(flag, reduce(Column.__and__, tests))
-    return out.drop(*[f"__wl_{x}{i}" for i in range(BLOOM_HASHES) for x in "cbm"])
+        # Bytes of a word are in order, their bits from the right.
+        bit = f"cast(bitmap_bit_position({c}) as int)"
+        tests.append(F.expr(f"coalesce(shiftright({w}[{bit} div 64], (7 - {bit} div 8 % 8) * 8 + {bit} % 8) & 1, 0) = 1"))
+        extra += [c, b, w]
+    return out.withColumn(flag, reduce(Column.__and__, tests)).drop(*extra)
 
 
 # -- connected components ----------------------------------------------------

@@ -1,28 +1,33 @@
 """Removal of repeated passages by bucket-pointer refinement.
 
 Every byte goes that lies in a LENGTH-byte string which starts anywhere else.
-Suffixes of a whole corpus are too many to sort, so three steps narrow them
-down, none of which loses a match:
-
-1. Anchors. Each window of LENGTH bytes has an anchor: the GRAM-byte gram of
-   least hash in it (the leftmost of equals). Equal windows have equal anchors
-   at equal places, so windows are the same only within one gram's bucket. An
-   anchor stands for a run of windows; its signature is a hash of all bytes
-   that they span. Grams that occur once are done with.
-2. Signatures that occur twice repeat as a whole. Of the rest, one example of
-   each signature stays, if its gram has others to be compared with.
-3. The examples of a gram meet in one task, where their suffixes are sorted as
-   in bucket-pointer refinement: initial buckets by q-grams of 8 bytes; then
-   each bucket is sorted by the bucket pointers of the suffixes 8, 16, ... 128
-   bytes later, which doubles the depth each time; suffixes alone in their
-   bucket keep their pointer and are sorted no more; at last depth LENGTH is
-   reached through the pointers 400 - 256 bytes on. Grams with more than
-   CROWDED examples are not gathered: their windows are refined as rows, by
-   128-bit hashes counted with partial aggregation.
-
-Defined cases: a null text is empty; texts under LENGTH bytes lose nothing;
-rows with equal doc_id and text get equal results and count as repeats of each
-other; an empty table gives an empty result; other columns are ignored."""
+
+1. Initial buckets. Each window of LENGTH bytes falls into the bucket of one
+   GRAM-byte gram inside it, the one of least hash (the leftmost of equals).
+   Equal windows have equal grams at equal places, so a window can be equal only
+   to others of its bucket. Neighbouring windows with the same gram are one run;
+   grams that occur once are done with.
+2. Equal runs (128-bit digests of all their bytes) become one example with a
+   count, so that a passage that a third of all documents hold is refined once.
+3. Buckets whose examples exceed BUCKET_BYTES are refined by rows: a run is cut
+   in two by the place of its gram, each half gets the identifier of the longer
+   string that all its windows share as its new bucket, equal halves merge, and
+   so on until a bucket fits or its windows are down to one string.
+4. The suffixes of a bucket's examples are sorted in one task. They start in
+   buckets of q-grams; a bucket of common depth d is sorted by the pointers, d
+   bytes later, to those suffixes' buckets, which adds the depth of these. Its
+   parts are refined recursively at once, and each new pointer is used by every
+   refinement after it. An example that stands for several rows is there twice.
+   Windows in a bucket of two or more repeat; suffixes that a jump beyond LENGTH
+   has separated are compared with their neighbours byte by byte.
+
+All removed bytes come from step 4. Rows are told apart by doc_id and a 128-bit
+hash of doc_id and text.
+
+Defined cases: a null text is empty; a null doc_id is a value like others; texts
+under LENGTH bytes lose nothing; a very long text is read in blocks of BLOCK
+bytes; rows with equal doc_id and text get equal results and count as repeats of
+each other; an empty table gives an empty result; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -31,43 +36,29 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import _common as C
 
 LENGTH, GRAM = 400, 128
-#: Bytes hashed at a time; examples of one gram that a task may gather; bytes
-#: that one sort takes, at least.
-BLOCK, CROWDED, SORT_BYTES = 1 << 20, 2000, 2 << 20
-#: Odd multipliers of the rolling hashes, and of the finishing steps.
-_BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
-_MIX = np.uint64(0xFF51AFD7ED558CCD)
-
-
-class _Rolling:
-    """Polynomial hashes modulo 2^64 of any span of a block, vectorised."""
-
-    def __init__(self, base: int, n: int = BLOCK + 2 * LENGTH):
-        inverse = pow(base, -1, 1 << 64)
-        self.power, self.back = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, b, dtype=np.uint64)])) for b in (base, inverse))
-
-    def sums(self, data: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.power[: len(data)], out=out[1:])
-        return out
-
-    def spans(self, sums: np.ndarray, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
-        return (sums[end] - sums[start]) * self.back[start]
+#: Bytes hashed at a time; bytes of a bucket's examples that one sort may hold;
+#: bytes that one sort takes of several buckets, at least.
+BLOCK, BUCKET_BYTES, SORT_BYTES = 1 << 18, 2 << 20, 1 << 20
+#: Bytes of the first buckets' codes; suffixes refined together.
+Q, GROUP = 7, 1 << 15
+_BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD)
 
+_powers: list[np.ndarray] = []
 
-_rolling: list[_Rolling] = []
 
-
-def _tables() -> list[_Rolling]:
-    if not _rolling:
-        _rolling.extend(map(_Rolling, _BASES))
-    return _rolling
+def _tables() -> list[np.ndarray]:
+    """Powers of the rolling hash's base and of its inverse, modulo 2^64."""
+    if not _powers or len(_powers[0]) <= BLOCK + LENGTH:
+        bases = (_BASE, pow(_BASE, -1, 1 << 64))
+        _powers[:] = [np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(BLOCK + LENGTH, b, dtype=np.uint64)])) for b in bases]
+    return _powers
 
 
 def _finish(x: np.ndarray) -> np.ndarray:
@@ -77,90 +68,79 @@ def _finish(x: np.ndarray) -> np.ndarray:
 
 def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """data: joined texts, at most BLOCK bytes and one LENGTH; ends: where each
-    ends. Runs of windows as (text, first start, end of starts, gram, signature)."""
-    none = tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
-    n = len(data)
+    ends. Runs of windows as (text, first start, end of starts, place of the
+    gram behind the first start, gram)."""
+    n, width = len(data), LENGTH - GRAM + 1
     if n < LENGTH:
-        return none
-    one, _ = _tables()
-    sums, width = one.sums(data), LENGTH - GRAM + 1
-    grams = _finish(one.spans(sums, slice(0, n - GRAM + 1), slice(GRAM, n + 1)))
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
+    power, back = _tables()
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
+    grams = _finish((sums[GRAM:] - sums[: n - GRAM + 1]) * back[: n - GRAM + 1])
+    del sums
     least = (grams >> np.uint64(24) << np.uint64(24)) | np.arange(len(grams), dtype=np.uint64)
     step = 1
     while 2 * step <= width:  # least[i]: the least of `step` grams from i on
         least, step = np.minimum(least[:-step], least[step:]), 2 * step
     if step < width:
         least = np.minimum(least[: len(least) - (width - step)], least[width - step :])
-    place = (least & np.uint64((1 << 24) - 1)).astype(np.int64)  # of each window's anchor
-    text = np.searchsorted(ends, np.arange(n - LENGTH + 1), side="right")
-    inside = np.arange(n - LENGTH + 1) + LENGTH <= ends[text]
+    place = (least & np.uint64((1 << 24) - 1)).astype(np.int32)  # of each window's gram
+    del least
+    ends = np.minimum(ends, n)
+    text = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))[: len(place)]
     new = np.ones(len(place), dtype=bool)
     new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(place))
     # Windows that leave their text are the last of it, so a run loses its end.
-    good = np.add.reduceat(inside.astype(np.int64), first)
-    first, last = first[good > 0], (first + good)[good > 0]
-    at, number = place[first], text[first]
-    whole = one.spans(sums, first, last + LENGTH - 1)
-    signature = _finish(whole ^ _finish(((last - first) << 20 | (at - first)).astype(np.uint64)))
-    return number, first, last, grams[at].view(np.int64), signature.view(np.int64)
+    last = np.minimum(np.append(first[1:], len(place)), ends[text[first]] - LENGTH + 1)
+    good = last > first
+    first, last = first[good], last[good]
+    at = place[first]
+    return text[first], first, last, at - first, grams[at].view(np.int64)
 
 
-def _packed(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes]]:
-    """Blocks of joined texts: numbers, offsets within the text, bytes. A text
-    over BLOCK is cut with LENGTH - 1 bytes of overlap."""
-    numbers, offsets, parts, size = [], [], [], 0
-    for i, t in enumerate(texts):
-        if len(t) < LENGTH:
-            continue
-        for at in range(0, max(1, len(t) - LENGTH + 1), BLOCK):
-            part = t[at : at + BLOCK + LENGTH - 1]
-            if size + len(part) > BLOCK + LENGTH - 1 and parts:
-                yield numbers, offsets, parts
-                numbers, offsets, parts, size = [], [], [], 0
-            numbers.append(i), offsets.append(at), parts.append(part)
-            size += len(part)
-    if parts:
-        yield numbers, offsets, parts
+def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A binary column as one array of bytes, without a copy, and where each
+    value ends in it; nulls are empty."""
+    wide = pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type)
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, dtype=np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    if data is None:
+        return np.zeros(0, dtype=np.uint8), edges[1:] - edges[0]
+    return np.frombuffer(data, dtype=np.uint8)[edges[0] : edges[-1]], edges[1:] - edges[0]
 
 
-def _bytes(column: pa.Array) -> list[bytes]:
-    return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
+def _digests(data: memoryview, starts: list[int], ends: list[int], seeds: list[int]) -> np.ndarray:
+    """128-bit digests of spans of `data`, as rows of two signed numbers."""
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(data[a:b], s) for a, b, s in zip(starts, ends, seeds)), dtype=np.int64).reshape(-1, 2)
 
 
-_ANCHORS = "k bigint, lo bigint, hi bigint, q bigint, sig bigint"
+#: A row of a text; a run of windows from lo to hi with its gram `a` bytes behind
+#: lo; the bucket q; the digest of the run's bytes.
+_KEY, _CLASS = ["d", "h1", "h2"], ["q", "s1", "s2"]
+_MARKS = "d bigint, h1 bigint, h2 bigint, lo int, hi int, a int, q bigint, s1 bigint, s2 bigint"
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        for numbers, offsets, parts in _packed(_bytes(batch.column(1))):
-            ends = np.cumsum([len(p) for p in parts])
-            text, lo, hi, q, sig = anchors(np.frombuffer(b"".join(parts), dtype=np.uint8), ends)
-            shift = (np.array(offsets) - ends + np.array([len(p) for p in parts]))[text]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[np.array(numbers)[text]]), *map(pa.array, (lo + shift, hi + shift, q, sig))], ["k", "lo", "hi", "q", "sig"])
-
-
-# -- refinement ---------------------------------------------------------------
-
-
-def _split(pointer: np.ndarray, active: np.ndarray, later: np.ndarray) -> np.ndarray:
-    """Sorts the suffixes `active`, which lie in buckets of two or more, by the
-    pointers `later` of suffixes behind them; sets their new pointers; returns
-    those that are not alone."""
-    order = np.lexsort((later, pointer[active]))
-    active, old, later = active[order], pointer[active[order]], later[order]
-    new = np.ones(len(active), dtype=bool)
-    new[1:] = (old[1:] != old[:-1]) | (later[1:] != later[:-1])
-    outer = np.ones(len(active), dtype=bool)
-    outer[1:] = old[1:] != old[:-1]
-    rank = np.arange(len(active))
-    bucket_start = np.maximum.accumulate(np.where(outer, rank, 0))
-    own_start = np.maximum.accumulate(np.where(new, rank, 0))
-    pointer[active] = old + own_start - bucket_start  # a place inside the old bucket
-    alone = new & np.append(new[1:], True)
-    return active[~alone]
+        keys = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:3]]
+        data, ends = _texts(batch.column(3))
+        view = memoryview(data)
+        for at in range(0, max(0, len(data) - LENGTH + 1), BLOCK):
+            from_text = int(np.searchsorted(ends, at, side="right"))
+            upto = int(np.searchsorted(ends, at + BLOCK + LENGTH - 1, side="left")) + 1
+            text, lo, hi, a, q = anchors(data[at : at + BLOCK + LENGTH - 1], ends[from_text:upto] - at)
+            if not len(text):
+                continue
+            text = text + from_text
+            lo, hi = lo + at, hi + at
+            digest = _digests(view, lo.tolist(), (hi + LENGTH - 1).tolist(), a.tolist())
+            start = np.append(0, ends)[text]
+            columns = [*(k[text] for k in keys), (lo - start).astype(np.int32), (hi - start).astype(np.int32), a.astype(np.int32), q, digest[:, 0], digest[:, 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*_KEY, "lo", "hi", "a", *_CLASS])
+
+
+# -- refinement in one task -----------------------------------------------------
 
 
 def repeated(data: bytes, ends: np.ndarray) -> np.ndarray:
@@ -168,31 +148,71 @@ def repeated(data: bytes, ends: np.ndarray) -> np.ndarray:
     a string of LENGTH bytes starts, within its text, that also starts elsewhere
     in them."""
     n = len(data)
-    raw = np.frombuffer(data + bytes(8), dtype=np.uint8).astype(np.uint64)
-    code = np.zeros(n, dtype=np.uint64)
-    for i in range(8):
-        code = code << np.uint64(8) | raw[i : i + n]
-    where = np.arange(n)
-    left = ends[np.searchsorted(ends, where, side="right")] - where  # bytes to the text's end
     out = np.zeros(n, dtype=bool)
-    active = where[left >= 8]
-    if not len(active):
+    if not n:
         return out
-    # Initial buckets: a pointer is the place of its bucket's first suffix.
-    order = active[np.argsort(code[active], kind="stable")]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = code[order[1:]] != code[order[:-1]]
-    pointer = -1 - where  # suffixes too short for any bucket: each its own
-    pointer[order] = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    active = order[~(new & np.append(new[1:], True))]
-    depth = 8
-    while 2 * depth <= LENGTH and len(active):
-        active = active[left[active] >= 2 * depth]
-        active = _split(pointer, active, pointer[active + depth])
-        depth *= 2
-    active = active[left[active] >= LENGTH]
-    if len(active):
-        out[_split(pointer, active, pointer[active + LENGTH - depth])] = True
+    left = (np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(n)).astype(np.int32)  # bytes to the text's end
+    # Codes: Q bytes, and how many of them the text still has. They sort as the
+    # suffixes do; a suffix that is shorter than Q has a bucket of its own.
+    raw = np.frombuffer(data + bytes(Q), dtype=np.uint8)
+    code = np.zeros(n, dtype=np.uint64)
+    for i in range(Q):
+        code = code << np.uint64(8) | np.where(left > i, raw[i : i + n], np.uint8(0))
+    code = code << np.uint64(8) | np.minimum(left, Q).astype(np.uint64)
+    order = np.argsort(code).astype(np.int32)
+    new = np.ones(n, dtype=bool)
+    new[1:] = (code[order[1:]] != code[order[:-1]]) | (left[order[1:]] < Q)
+    # A pointer is the place in `order` where a suffix's bucket begins.
+    pointer = np.empty(n, dtype=np.int32)
+    pointer[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), np.int32(0)))
+    depth = np.full(n, Q, dtype=np.int32)  # by pointer: bytes that a bucket's suffixes have in common
+
+    def refine(members: np.ndarray) -> np.ndarray:
+        """Sorts buckets by the buckets of later offsets; returns those of their
+        suffixes that are not alone in the new buckets, nor done."""
+        p = pointer[members]
+        d = depth[p]
+        ended = left[members] <= d
+        later = np.where(ended, -1 - members, pointer[np.where(ended, 0, members + d)])
+        common = d + np.where(ended, Q, depth[later])
+        key = (p.astype(np.int64) << 32) + (later + np.int64(n))
+        by = np.argsort(key)
+        members, key, p, common = members[by], key[by], p[by], common[by]
+        fresh, outer = np.ones(len(by), dtype=bool), np.ones(len(by), dtype=bool)
+        fresh[1:] = key[1:] != key[:-1]
+        outer[1:] = p[1:] != p[:-1]
+        rank = np.arange(len(by), dtype=np.int32)
+        shift = p - np.maximum.accumulate(np.where(outer, rank, 0))
+        order[rank + shift] = members
+        start = (np.maximum.accumulate(np.where(fresh, rank, 0)) + shift).astype(np.int32)
+        pointer[members] = start
+        depth[start[fresh]] = common[fresh]
+        alone = fresh & np.append(fresh[1:], True)
+        return members[~alone & (common < LENGTH)]
+
+    many = np.flatnonzero(~(new & np.append(new[1:], True)))
+    starts = np.flatnonzero(new[many])
+    cuts = starts[np.unique(np.searchsorted(starts, np.arange(0, len(many), GROUP)).clip(max=max(0, len(starts) - 1)))] if len(starts) else []
+    for a, b in zip(cuts, [*cuts[1:], len(many)]):
+        members = order[many[a:b]]
+        while len(members):
+            members = refine(members)
+    # Buckets of two or more have a depth of LENGTH by now.
+    size = np.bincount(pointer, minlength=n)
+    windows = np.flatnonzero(left >= LENGTH)
+    out[windows] = size[pointer[windows]] > 1
+    # Alone, but separated from others by bytes that may lie beyond LENGTH.
+    unsure = windows[~out[windows] & (depth[pointer[windows]] > LENGTH)]
+    for side in (-1, 1):
+        place = pointer[unsure] + side
+        have = (place >= 0) & (place < n)
+        mine, other = unsure[have], order[place[have]]
+        same = left[other] >= LENGTH
+        mine, other = mine[same], other[same]
+        for at in (*range(LENGTH - Q, 0, -Q), 0):
+            same = code[mine + at] == code[other + at]
+            mine, other = mine[same], other[same]
+        out[mine] = True
     return out
 
 
@@ -201,16 +221,28 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Examples (q, k, lo, bytes), sorted by q, to runs (k, start, end) of bytes
-    that repeat. Sorts whole grams together, some MB at a time."""
+_SPANS = "array<struct<start:bigint,end:bigint>>"
+_SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_FOUND = f"q bigint, s1 bigint, s2 bigint, n bigint, spans {_SPANS}"
+
+
+def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Examples (q, s1, s2, n, bytes), sorted by q, to those that hold repeated
+    bytes, with their spans. Sorts whole buckets, some MB at a time."""
 
     def sort(rows: list[tuple]) -> pa.RecordBatch:
-        ends = np.cumsum([len(b) for _, _, _, b in rows])
-        starts, stops = _runs(repeated(b"".join(b for _, _, _, b in rows), ends))
+        parts = [r[4] for r in rows]
+        parts += [r[4] for r in rows if r[3] > 1]  # stands for others besides itself
+        ends = np.cumsum([len(b) for b in parts])
+        starts, stops = _runs(repeated(b"".join(parts), ends))
         row = np.searchsorted(ends, starts, side="right")
-        keys, shift = np.array([r[1] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=np.int64) - ends + np.array([len(r[3]) for r in rows])
-        return pa.RecordBatch.from_arrays([pa.array(keys[row]), pa.array(starts + shift[row]), pa.array(stops - 1 + LENGTH + shift[row])], ["k", "start", "end"])
+        found: dict[int, list[dict]] = {}
+        for i, a, b in zip(row.tolist(), starts.tolist(), stops.tolist()):
+            if i < len(rows):
+                shift = int(ends[i]) - len(parts[i])
+                found.setdefault(i, []).append({"start": a - shift, "end": b - 1 + LENGTH - shift})
+        keys = [pa.array([rows[i][j] for i in found], pa.int64()) for j in range(4)]
+        return pa.RecordBatch.from_arrays([*keys, pa.array(list(found.values()), _SPAN_TYPE)], [*_CLASS, "n", "spans"])
 
     waiting, size = [], 0
     for batch in batches:
@@ -219,64 +251,106 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield sort(waiting)
                 waiting, size = [], 0
             waiting.append(row)
-            size += len(row[3])
+            size += len(row[4])
     if waiting:
         yield sort(waiting)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Examples of crowded grams to a row a window: two hashes, k, start."""
-    for batch in batches:
-        for _, k, lo, data in zip(*(c.to_pylist() for c in batch.columns)):
-            raw, n = np.frombuffer(data, dtype=np.uint8), len(data) - LENGTH + 1
-            hashes = [_finish(t.spans(t.sums(raw), slice(0, n), slice(LENGTH, LENGTH + n))).view(np.int64) for t in _tables()]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, hashes), pa.array(np.full(n, k)), pa.array(np.arange(lo, lo + n))], ["h", "g", "k", "start"])
+# -- refinement by rows ------------------------------------------------------------
+
+
+def _halves(level: int):
+    """Examples (q, s1, s2, n, a, bytes) to parts whose gram lies in one range
+    of 2^level places: the example, where the part begins in it, and the part as
+    an example of the bucket that the common bytes of all such windows name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for q, s1, s2, n, a, data in zip(*(c.to_pylist() for c in batch.columns)):
+                farthest, nearest = a, a - (len(data) - LENGTH)  # of the gram from a window's start
+                for part in range(nearest >> level, (farthest >> level) + 1):
+                    low, high = part << level, (part + 1 << level) - 1
+                    begin, end = a - min(high, farthest), a - max(low, nearest) + LENGTH
+                    # What every window of the range covers, also those that this run lacks.
+                    high = min(high, LENGTH - GRAM)
+                    core = xxhash.xxh3_64_intdigest(data[a - low : a - high + LENGTH], seed=part) - (1 << 63)
+                    own = np.frombuffer(xxhash.xxh3_128_digest(data[begin:end], a - begin), dtype=np.int64).tolist()
+                    rows.append((q, s1, s2, begin, core, *own, n, a - begin, data[begin:end]))
+            types = [pa.int64()] * 9 + [pa.binary()]
+            columns = zip(*rows) if rows else [[]] * 10
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["of_q", "of_s1", "of_s2", "begin", *_CLASS, "n", "a", "bytes"])
+
+    return run
+
+
+_EXAMPLE = "q bigint, s1 bigint, s2 bigint, n bigint, a bigint, bytes binary"
+
+
+def refine(examples: DataFrame, level: int = 8) -> DataFrame:
+    """Examples (q, s1, s2, n, a, bytes), no two alike, to those that hold
+    repeated bytes: q, s1, s2, n, spans."""
+    size = F.octet_length("bytes") * F.least("n", F.lit(2))
+    sizes = C.materialize(examples.groupBy("q").agg(F.sum(size).alias("size"), F.count("*").alias("rows"), F.sum("n").alias("all")).filter("all > 1").drop("all"), "buckets")
+    joined = C.lookup(examples, sizes, ["q"], "rows", examples.count())
+    fits = F.lit(True) if level < 0 else F.col("size") <= BUCKET_BYTES  # at level -1 all windows of a bucket are equal: one example each
+    few = joined.filter(fits).select(*_CLASS, "n", "bytes")
+    found = few.repartition("q").sortWithinPartitions("q").mapInArrow(_sorted, _FOUND)
+    if sizes.filter(~fits).isEmpty():
+        return found
+    many = joined.filter(~fits).select(*_CLASS, "n", "a", "bytes")
+    parts = C.materialize(many.mapInArrow(_halves(level), "of_q bigint, of_s1 bigint, of_s2 bigint, begin bigint, " + _EXAMPLE), "parts")
+    merged = parts.groupBy(*_CLASS).agg(F.sum("n").alias("n"), F.first("a").alias("a"), F.first("bytes").alias("bytes"))
+    inner = C.materialize(refine(C.materialize(merged, "halves"), level - 1), "found")
+    total = parts.agg(F.sum("n")).first()[0]
+    back = C.lookup(parts.select("of_q", "of_s1", "of_s2", "begin", *_CLASS, F.col("n").alias("own")), inner, _CLASS, "n", total)
+    shifted = F.transform("spans", lambda x: F.struct((x["start"] + F.col("begin")).alias("start"), (x["end"] + F.col("begin")).alias("end")))
+    outer = back.groupBy(F.col("of_q").alias("q"), F.col("of_s1").alias("s1"), F.col("of_s2").alias("s2"))
+    return found.unionByName(outer.agg(F.first("own").alias("n"), F.flatten(F.collect_list(shifted)).alias("spans")))
+
+
+# -- from documents to spans -----------------------------------------------------
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with the runs wanted of them to (q, k, lo, bytes, crowded)."""
+    """Texts with the runs wanted of them to (q, s1, s2, n, a, bytes)."""
     for batch in batches:
-        for text, k, wanted in zip(_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            q, lo, hi, crowded = zip(*(w.values() for w in wanted))
-            parts = [text[a : b + LENGTH - 1] for a, b in zip(lo, hi)]
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array([k] * len(q), pa.int64()), pa.array(lo, pa.int64()), pa.array(parts, pa.binary()), pa.array(crowded)], ["q", "k", "lo", "bytes", "crowded"])
+        for text, wanted in zip(batch.column(0), batch.column(1)):
+            data, rows = memoryview(text.as_buffer()), wanted.values
+            lo, hi = (rows.field(c).to_pylist() for c in ("lo", "hi"))
+            parts = [bytes(data[a : b + LENGTH - 1]) for a, b in zip(lo, hi)]
+            yield pa.RecordBatch.from_arrays([*(rows.field(c) for c in (*_CLASS, "n", "a")), pa.array(parts, pa.binary())], [*_CLASS, "n", "a", "bytes"])
 
 
 def _only(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """docs (with k) cut in two by a Bloom filter of `keys` (k, unique): those
-    that may be among them, and the rest, which stay where they are."""
+    """docs cut in two by a Bloom filter of the distinct `keys`: those that may
+    be among them, and the rest, which stay where they are."""
     bits = C.bloom_bits(keys.count())
-    bitmaps = C.materialize(C.bloom_build(keys.select("k"), ["k"], bits, least=1), "bloom")
-    flagged = C.bloom_flag(docs, ["k"], bits, bitmaps, "__wl_maybe")
-    return flagged.filter("__wl_maybe").drop("__wl_maybe"), flagged.filter("NOT __wl_maybe").drop("__wl_maybe")
-
-
-def runs(rows: DataFrame) -> DataFrame:
-    """rows: k, text. One row for each k that loses bytes: k, runs (start, end),
-    which may overlap. The list is bounded by the text's own length."""
-    marks = C.materialize(rows.select("k", "text").mapInArrow(_anchors, _ANCHORS), "anchors")
-    total = marks.count()
-    kinds = C.materialize(marks.groupBy("q", "sig").agg(F.count("*").alias("n"), F.min(F.struct("k", "lo", "hi")).alias("one")), "signatures")
-    # Whole runs that repeat.
-    again = kinds.filter("n > 1").select("q", "sig", "n")
-    bits = C.bloom_bits(again.count())
-    maybe = C.bloom_flag(marks, ["q", "sig"], bits, C.bloom_build(again, ["q", "sig"], bits, least=1), "maybe").filter("maybe").drop("maybe")
-    pair = F.struct("q", "sig").alias("pair")
-    whole = C.lookup(maybe.select("k", "lo", "hi", pair), again.select(pair, "n"), "pair", "n", total)
-    whole = whole.select("k", F.col("lo").alias("start"), (F.col("hi") + LENGTH - 1).alias("end"))
-    # Examples of grams with several signatures.
-    grams = kinds.groupBy("q").agg(F.count("*").alias("examples")).filter("examples > 1")
-    wanted = C.materialize(C.lookup(kinds.select("q", "one.*"), grams, "q", "examples", max(1, total)).select("k", F.struct("q", "lo", "hi", (F.col("examples") > CROWDED).alias("crowded")).alias("w")), "wanted")
-    lists = wanted.groupBy("k").agg(F.collect_list("w").alias("wanted"))
-    texts, _ = _only(rows, wanted.select("k").distinct())
-    texts = texts.groupBy("k").agg(F.first("text").alias("text")).join(lists, "k").select("text", "k", "wanted")
-    examples = C.materialize(texts.mapInArrow(_examples, "q bigint, k bigint, lo bigint, bytes binary, crowded boolean"), "examples")
-    few = examples.filter("NOT crowded").drop("crowded").repartition("q").sortWithinPartitions("q")
-    fine = few.mapInArrow(_refine, "k bigint, start bigint, end bigint")
-    many = examples.filter("crowded").drop("crowded").mapInArrow(_windows, "h bigint, g bigint, k bigint, start bigint").select("k", "start", F.struct("h", "g").alias("pair"))
-    twice = many.groupBy("pair").agg(F.count("*").alias("n")).filter("n > 1")
-    rough = C.lookup(many, twice, "pair", "n", max(1, total)).select("k", "start", (F.col("start") + LENGTH).alias("end"))
-    return C.union_all([whole, fine, rough]).groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    bitmaps = C.materialize(C.bloom_build(keys, _KEY, bits, least=1), "bloom")
+    flagged = C.bloom_flag(docs, _KEY, bits, bitmaps, "maybe")
+    return flagged.filter("maybe").drop("maybe"), flagged.filter("NOT maybe").drop("maybe")
+
+
+def spans(rows: DataFrame) -> DataFrame:
+    """rows: d, h1, h2, text. One row for each text that loses bytes: d, h1, h2,
+    spans, which may overlap. The list is bounded by the text's own length."""
+    marks = C.materialize(rows.select(*_KEY, F.col("text").cast("binary")).mapInArrow(_marks, _MARKS), "marks")
+    twice = C.materialize(marks.groupBy("q").agg(F.count("*").alias("n")).filter("n > 1"), "grams")
+    bits = C.bloom_bits(twice.count())
+    maybe = C.bloom_flag(marks, ["q"], bits, C.materialize(C.bloom_build(twice, ["q"], bits, least=1), "bloom"), "maybe").filter("maybe").drop("maybe")
+    # Equal rows of the table are one text with a count.
+    runs = C.materialize(maybe.groupBy(*maybe.columns).agg(F.count("*").alias("c")), "runs")
+    kinds = C.materialize(runs.groupBy(*_CLASS).agg(F.sum("c").alias("n"), *[F.first(c).alias(c) for c in (*_KEY, "lo", "hi", "a")]), "kinds")
+    total = max(1, kinds.count())
+    grams = kinds.groupBy("q").agg(F.count("*").alias("kinds"), F.sum("n").alias("all")).filter("all > 1").drop("all")
+    wanted = C.materialize(C.lookup(kinds, grams, ["q"], "kinds", total).select(*_KEY, F.struct(*_CLASS, "n", F.col("a").cast("bigint").alias("a"), "lo", "hi").alias("w")), "wanted")
+    lists = wanted.groupBy(*_KEY).agg(F.collect_list("w").alias("wanted"))
+    texts, _ = _only(rows.select(*_KEY, F.col("text").cast("binary").alias("text")), wanted.select(*_KEY).distinct())
+    texts = texts.groupBy(*_KEY).agg(F.first("text").alias("text")).join(lists, _KEY).select("text", "wanted")
+    found = C.materialize(refine(C.materialize(texts.mapInArrow(_examples, _EXAMPLE), "examples")), "found")
+    placed = C.lookup(runs.select(*_KEY, "lo", *_CLASS), found, _CLASS, "n", max(1, marks.count()))
+    moved = F.transform("spans", lambda x: F.struct((x["start"] + F.col("lo")).alias("start"), (x["end"] + F.col("lo")).alias("end")))
+    return placed.groupBy(*_KEY).agg(F.flatten(F.collect_list(moved)).alias("spans"))
 
 
 def merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
@@ -289,21 +363,22 @@ def merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
     return out
 
 
-_CUT = "n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary, kept_sha256 string"
+_CUT = f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, spans {_SPANS}, kept binary, kept_sha256 string"
 
 
 def _cut(whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for text, lists in zip(_bytes(batch.column(0)), batch.column(1).to_pylist()):
-                spans = merged([r["start"] for r in lists], [r["end"] for r in lists])
-                edges = [0, *(x for s in spans for x in s), len(text)]
-                kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                found.append((sum(b - a for a, b in spans), len(spans), [{"start": a, "end": b} for a, b in spans], kept if whole else None, sha256(kept).hexdigest()))
-            types = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary(), pa.string()]
+            for text, lists in zip(batch.column(2), batch.column(3)):
+                data = memoryview(text.as_buffer())
+                cuts = merged(lists.values.field("start").to_pylist(), lists.values.field("end").to_pylist()) if len(lists) else []
+                edges = [0, *(x for s in cuts for x in s), len(data)]
+                kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                found.append((sum(b - a for a, b in cuts), len(cuts), [{"start": a, "end": b} for a, b in cuts], kept if whole else None, sha256(kept).hexdigest()))
+            types = [pa.int64(), pa.int64(), _SPAN_TYPE, pa.binary(), pa.string()]
             columns = [pa.array(c, t) for c, t in zip(zip(*found), types)] if found else [pa.array([], t) for t in types]
-            yield pa.RecordBatch.from_arrays([*columns, batch.column(2)], ["n_removed", "n_spans", "spans", "kept", "kept_sha256", "rest"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept", "kept_sha256"])
 
     return run
 
@@ -311,13 +386,12 @@ def _cut(whole: bool):
 def find(docs: DataFrame, texts: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, spans, kept (the bytes that stay,
     with `texts`; else null), kept_sha256."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = C.text_rows(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64("doc_id", text).alias("k"))
-    lost = C.materialize(runs(rows), "runs")
-    some, none = _only(rows, lost.select("k"))
-    same = F.encode("text", "UTF-8")
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    whole = lambda df: df.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"), empty.alias("spans"), (same if texts else F.lit(None).cast("binary")).alias("kept"), F.sha2(same, 256).alias("kept_sha256"))
-    joined = some.join(lost, "k", "left").select("text", F.coalesce("runs", empty).alias("runs"), F.struct("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes")).alias("rest"))
-    cut = joined.mapInArrow(_cut(texts), _CUT + ", rest struct<doc_id:bigint,n_bytes:bigint>")
-    return whole(none).unionByName(cut.select("rest.*", "n_removed", "n_spans", "spans", "kept", "kept_sha256"))
+    doc_id, text = F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(doc_id.alias("doc_id"), text.alias("text"), F.coalesce(doc_id, F.lit(0)).alias("d"), F.xxhash64(doc_id.isNull(), doc_id, text).alias("h1"), F.xxhash64(text, doc_id, doc_id.isNull()).alias("h2"))
+    lost = C.materialize(spans(rows), "spans")
+    some, none = _only(rows, lost.select(*_KEY))
+    data, size, zero = F.col("text").cast("binary"), F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint")
+    empty = F.array().cast(_SPANS)
+    whole = none.select("doc_id", size, zero.alias("n_removed"), zero.alias("n_spans"), empty.alias("spans"), (data if texts else F.lit(None).cast("binary")).alias("kept"), F.sha2(data, 256).alias("kept_sha256"))
+    cut = some.join(lost, _KEY, "left").select("doc_id", size, data, F.coalesce("spans", empty).alias("spans")).mapInArrow(_cut(texts), _CUT)
+    return whole.unionByName(cut)
