@@ -17,7 +17,7 @@ Every byte goes that lies in a LENGTH-byte string which starts anywhere else.
    buckets of q-grams; a bucket of common depth d is sorted by the pointers, d
    bytes later, to those suffixes' buckets, which adds the depth of these. Its
    parts are refined recursively at once, and each new pointer is used by every
-   refinement after it. An example that stands for several rows is there twice.
+   refinement after it. An example that stands for several rows counts for all.
    Windows in a bucket of two or more repeat; suffixes that a jump beyond LENGTH
    has separated are compared with their neighbours byte by byte.
 
@@ -45,7 +45,7 @@ from weftline.llm import _common as C
 LENGTH, GRAM = 400, 128
 #: Bytes hashed at a time; bytes of a bucket's examples that one sort may hold;
 #: bytes that one sort takes of several buckets, at least.
-BLOCK, BUCKET_BYTES, SORT_BYTES = 1 << 18, 2 << 20, 1 << 20
+BLOCK, BUCKET_BYTES, SORT_BYTES = 1 << 18, 1 << 18, 1 << 17
 #: Bytes of the first buckets' codes; suffixes refined together.
 Q, GROUP = 7, 1 << 15
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD)
@@ -143,10 +143,10 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # -- refinement in one task -----------------------------------------------------
 
 
-def repeated(data: bytes, ends: np.ndarray) -> np.ndarray:
-    """Joined texts and where each ends: a mask over all positions, true where
-    a string of LENGTH bytes starts, within its text, that also starts elsewhere
-    in them."""
+def repeated(data: bytes, ends: np.ndarray, stands_for: np.ndarray | None = None) -> np.ndarray:
+    """Joined texts, where each ends, and how many each stands for (else one): a
+    mask over all positions, true where a string of LENGTH bytes starts, within
+    its text, that also starts elsewhere in them."""
     n = len(data)
     out = np.zeros(n, dtype=bool)
     if not n:
@@ -198,7 +198,8 @@ def repeated(data: bytes, ends: np.ndarray) -> np.ndarray:
         while len(members):
             members = refine(members)
     # Buckets of two or more have a depth of LENGTH by now.
-    size = np.bincount(pointer, minlength=n)
+    weights = None if stands_for is None else np.repeat(np.minimum(stands_for, 2), np.diff(ends, prepend=0))
+    size = np.bincount(pointer, weights, minlength=n)
     windows = np.flatnonzero(left >= LENGTH)
     out[windows] = size[pointer[windows]] > 1
     # Alone, but separated from others by bytes that may lie beyond LENGTH.
@@ -231,16 +232,13 @@ def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bytes, with their spans. Sorts whole buckets, some MB at a time."""
 
     def sort(rows: list[tuple]) -> pa.RecordBatch:
-        parts = [r[4] for r in rows]
-        parts += [r[4] for r in rows if r[3] > 1]  # stands for others besides itself
-        ends = np.cumsum([len(b) for b in parts])
-        starts, stops = _runs(repeated(b"".join(parts), ends))
+        ends = np.cumsum([len(r[4]) for r in rows])
+        starts, stops = _runs(repeated(b"".join(r[4] for r in rows), ends, np.array([r[3] for r in rows])))
         row = np.searchsorted(ends, starts, side="right")
         found: dict[int, list[dict]] = {}
         for i, a, b in zip(row.tolist(), starts.tolist(), stops.tolist()):
-            if i < len(rows):
-                shift = int(ends[i]) - len(parts[i])
-                found.setdefault(i, []).append({"start": a - shift, "end": b - 1 + LENGTH - shift})
+            shift = int(ends[i]) - len(rows[i][4])
+            found.setdefault(i, []).append({"start": a - shift, "end": b - 1 + LENGTH - shift})
         keys = [pa.array([rows[i][j] for i in found], pa.int64()) for j in range(4)]
         return pa.RecordBatch.from_arrays([*keys, pa.array(list(found.values()), _SPAN_TYPE)], [*_CLASS, "n", "spans"])
 
