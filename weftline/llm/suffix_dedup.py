@@ -10,9 +10,9 @@ Every byte goes that lies in a LENGTH-byte string which starts anywhere else.
 2. Equal runs (128-bit digests of all their bytes) become one example with a
    count, so that a passage that a third of all documents hold is refined once.
 3. Buckets whose examples exceed BUCKET_BYTES are refined by rows: a run is cut
-   in two by the place of its gram, each half gets the identifier of the longer
-   string that all its windows share as its new bucket, equal halves merge, and
-   so on until a bucket fits or its windows are down to one string.
+   by the place of its gram, each part gets the identifier of the longer string
+   that all its windows share as its new bucket, equal parts merge, and so on
+   until a bucket fits or its windows are down to one string.
 4. The suffixes of a bucket's examples are sorted in one task. They start in
    buckets of q-grams; a bucket of common depth d is sorted by the pointers, d
    bytes later, to those suffixes' buckets, which adds the depth of these. Its
@@ -45,7 +45,9 @@ from weftline.llm import _common as C
 LENGTH, GRAM = 400, 128
 #: Bytes hashed at a time; bytes of a bucket's examples that one sort may hold;
 #: bytes that one sort takes of several buckets, at least.
-BLOCK, BUCKET_BYTES, SORT_BYTES = 1 << 18, 1 << 18, 1 << 17
+BLOCK, BUCKET_BYTES, SORT_BYTES = 1 << 18, 1 << 20, 1 << 17
+#: Bits of the gram's place that the parts of a run share, by steps of refinement.
+LEVELS = (6, 3, 0)
 #: Bytes of the first buckets' codes; suffixes refined together.
 Q, GROUP = 7, 1 << 15
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD)
@@ -257,7 +259,7 @@ def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # -- refinement by rows ------------------------------------------------------------
 
 
-def _halves(level: int):
+def _parts(level: int):
     """Examples (q, s1, s2, n, a, bytes) to parts whose gram lies in one range
     of 2^level places: the example, where the part begins in it, and the part as
     an example of the bucket that the common bytes of all such windows name."""
@@ -285,22 +287,23 @@ def _halves(level: int):
 _EXAMPLE = "q bigint, s1 bigint, s2 bigint, n bigint, a bigint, bytes binary"
 
 
-def refine(examples: DataFrame, level: int = 8) -> DataFrame:
+def refine(examples: DataFrame, step: int = 0) -> DataFrame:
     """Examples (q, s1, s2, n, a, bytes), no two alike, to those that hold
     repeated bytes: q, s1, s2, n, spans."""
-    size = F.octet_length("bytes") * F.least("n", F.lit(2))
-    sizes = C.materialize(examples.groupBy("q").agg(F.sum(size).alias("size"), F.count("*").alias("rows"), F.sum("n").alias("all")).filter("all > 1").drop("all"), "buckets")
-    joined = C.lookup(examples, sizes, ["q"], "rows", examples.count())
-    fits = F.lit(True) if level < 0 else F.col("size") <= BUCKET_BYTES  # at level -1 all windows of a bucket are equal: one example each
-    few = joined.filter(fits).select(*_CLASS, "n", "bytes")
-    found = few.repartition("q").sortWithinPartitions("q").mapInArrow(_sorted, _FOUND)
-    if sizes.filter(~fits).isEmpty():
+    size = F.octet_length("bytes").cast("bigint")
+    sizes = C.materialize(examples.groupBy("q").agg(F.sum(size).alias("size"), F.count("*").alias("rows"), F.sum("n").alias("all")).filter("all > 1"), "buckets")
+    total, largest = sizes.agg(F.coalesce(F.sum("all"), F.lit(1)), F.coalesce(F.max("size"), F.lit(0))).first()
+    joined = C.lookup(examples, sizes.drop("all"), ["q"], "rows", total)
+    # After the last step all windows of a bucket are equal: one example each.
+    crowded = step < len(LEVELS) and largest > BUCKET_BYTES
+    fits = F.col("size") <= BUCKET_BYTES if crowded else F.lit(True)
+    found = joined.filter(fits).select(*_CLASS, "n", "bytes").repartition("q").sortWithinPartitions("q").mapInArrow(_sorted, _FOUND)
+    if not crowded:
         return found
     many = joined.filter(~fits).select(*_CLASS, "n", "a", "bytes")
-    parts = C.materialize(many.mapInArrow(_halves(level), "of_q bigint, of_s1 bigint, of_s2 bigint, begin bigint, " + _EXAMPLE), "parts")
+    parts = C.materialize(many.mapInArrow(_parts(LEVELS[step]), "of_q bigint, of_s1 bigint, of_s2 bigint, begin bigint, " + _EXAMPLE), "parts")
     merged = parts.groupBy(*_CLASS).agg(F.sum("n").alias("n"), F.first("a").alias("a"), F.first("bytes").alias("bytes"))
-    inner = C.materialize(refine(C.materialize(merged, "halves"), level - 1), "found")
-    total = parts.agg(F.sum("n")).first()[0]
+    inner = C.materialize(refine(C.materialize(merged, "merged"), step + 1), "found")
     back = C.lookup(parts.select("of_q", "of_s1", "of_s2", "begin", *_CLASS, F.col("n").alias("own")), inner, _CLASS, "n", total)
     shifted = F.transform("spans", lambda x: F.struct((x["start"] + F.col("begin")).alias("start"), (x["end"] + F.col("begin")).alias("end")))
     outer = back.groupBy(F.col("of_q").alias("q"), F.col("of_s1").alias("s1"), F.col("of_s2").alias("s2"))
