@@ -5,9 +5,10 @@ marker, scores and byte fallback are rebuilt as a `tokenizers.Tokenizer`
 (unigram models from their scores, BPE models from the merges that the scores
 imply). Where no piece has the marker inside, a text can be cut before each
 run of markers without changing its encoding, so workers encode the distinct
-chunks of a batch, multithreaded, and look the rest up. Every chunk that is
-encoded is also given to the sentencepiece library, and documents with a chunk
-on which the two differ are flagged.
+chunks of a batch, multithreaded and many chunks to a string, and look the rest
+up. Every chunk that is encoded is also given to the sentencepiece library;
+documents with a chunk on which the two differ are flagged, and keep the ids of
+this backend.
 
 Defined cases: a null text encodes to no ids and decodes to the empty text; a
 null doc_id is carried along; repeated rows get a result row each; an empty
@@ -25,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +35,12 @@ MARK = "▁"
 #: Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Chunks in each of the two generations that a worker remembers.
-REMEMBERED = 150_000
-#: Texts encoded at a time, and threads that encode their distinct chunks.
-BATCH, THREADS = 500, 2
+#: Bytes of each of the two generations of chunks that a worker remembers, and
+#: what an entry takes besides its text and ids.
+REMEMBERED, ENTRY = 32 << 20, 200
+#: Texts encoded at a time, chunks encoded as one string, and threads (as many as
+#: the task has cores, two at least).
+BATCH, TOGETHER, THREADS = 500, 500, 2
 #: Chunks longer than this are encoded but not remembered.
 LONG_CHUNK = 64
 
@@ -155,14 +159,21 @@ class Codec:
         self.normalise = self.whole.normalizer.normalize_str
         self.plain = not (self.model.charsmap or self.model.extra_spaces) and self.model.dummy_prefix and self.model.escape_spaces
         byte = [int(p[1:-1], 16) if t == BYTE else -1 for p, t in zip(self.model.pieces, self.model.types)]
-        self.raw = [bytes([b]) if b >= 0 else p.replace(MARK, " ").encode("utf-8") for p, b in zip(self.model.pieces, byte)].__getitem__
+        raw = [bytes([b]) if b >= 0 else p.replace(MARK, " ").encode("utf-8") for p, b in zip(self.model.pieces, byte)]
+        # All pieces' bytes in one table: where each begins, and how long it is.
+        self.table = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        self.sizes = np.array([len(r) for r in raw], dtype=np.int64)
+        self.places = np.cumsum(self.sizes) - self.sizes
+        self.begins = np.array([p.startswith(MARK) for p in self.model.pieces])
         self.reference = None
         if check:
             import sentencepiece
 
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.splits = self.model.splits
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0  # bytes of `known`
         self.wrong: set[str] = set()
 
     def chunks(self, text: str) -> list[str]:
@@ -173,54 +184,86 @@ class Codec:
         if self.plain and MARK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
             return (MARK + text.replace(" ", " " + MARK)).split(" ")
         text = self.normalise(text)
-        return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", text) if self.model.splits else [text] * bool(text)
+        return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", text) if self.splits else [text] * bool(text)
 
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of distinct chunks, 4 bytes each."""
-        found = {c: np.array(e.ids, dtype="<i4").tobytes() for c, e in zip(new, self.chunk.encode_batch_fast(new, add_special_tokens=False))}
+    def _each(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks, 4 bytes each, by encoding one after the other."""
+        found = {c: np.array(e.ids, dtype="<i4").tobytes() for c, e in zip(chunks, self.chunk.encode_batch_fast(chunks, add_special_tokens=False))}
         if self.reference is not None and self.plain:
             # The library puts one marker before what it is given and turns blanks into
             # markers; nothing gives it a marker alone, which is a piece or a byte run anyway.
-            plain = [c for c in new if c[0] == MARK and c != MARK]
-            for c, ids in zip(plain, self.reference.encode([c[1:].replace(MARK, " ") for c in plain])):
-                if (exact := np.array(ids, dtype="<i4").tobytes()) != found[c]:
-                    self.wrong.add(c)
-                    found[c] = exact
+            known = [c for c in chunks if c[0] == MARK and c != MARK]
+            exact = self.reference.encode([c[1:].replace(MARK, " ") for c in known])
+            self.wrong.update(c for c, ids in zip(known, exact) if np.array(ids, dtype="<i4").tobytes() != found[c])
         return found
 
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of distinct chunks. Words with one marker in front are encoded
+        TOGETHER to a string: no piece crosses a marker, so a word's ids begin
+        where a piece with a marker does."""
+        words, rest = [], []
+        for c in new:
+            (words if self.splits and len(c) > 1 and c.rfind(MARK) == 0 and " " not in c else rest).append(c)
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        coded = [np.array(e.ids, dtype="<i4") for e in self.chunk.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)]
+        exact = [None] * len(groups)
+        if self.reference is not None and self.plain:
+            exact = self.reference.encode([" ".join(c[1:] for c in g) for g in groups], num_threads=THREADS)
+        found: dict[str, bytes] = {}
+        for group, ids, known in zip(groups, coded, exact):
+            starts = np.flatnonzero(self.begins[ids])
+            if len(starts) != len(group) or known is not None and not np.array_equal(ids, known):
+                rest += group
+                continue
+            data, cuts = ids.tobytes(), [*(starts * 4).tolist(), ids.nbytes]
+            found.update(zip(group, map(data.__getitem__, map(slice, cuts, cuts[1:]))))
+        return found | self._each(rest) if rest else found
+
     def _ids_of(self, distinct: set[str]) -> dict[str, bytes]:
         """Looks chunks up, and learns the rest. What a worker remembers has
         two generations: what the older holds moves on when it is used."""
-        every = {c: ids for c in distinct if (ids := self.known.get(c) or self.older.get(c)) is not None}
-        new = [c for c in distinct if c not in every]
-        for at in range(0, len(new), 10_000):
-            every |= self._learn(new[at : at + 10_000])
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        self.known |= {c: ids for c, ids in every.items() if len(c) <= LONG_CHUNK}
+        every, moved, new = {}, {}, []
+        known, older = self.known, self.older
+        for c in distinct:
+            if (ids := known.get(c)) is None:
+                if (ids := older.get(c)) is None:
+                    new.append(c)
+                    continue
+                moved[c] = ids
+            every[c] = ids
+        for at in range(0, len(new), 20_000):
+            learnt = self._learn(new[at : at + 20_000])
+            every |= learnt
+            moved |= {c: ids for c, ids in learnt.items() if len(c) <= LONG_CHUNK}
+        if self.held > REMEMBERED:
+            self.known, self.older, self.held = {}, self.known, 0
+        self.known |= moved
+        self.held += sum(map(len, moved)) + sum(map(len, moved.values())) + ENTRY * len(moved)
         return every
 
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[bool]]:
-        """Ids of each text, and whether both libraries agreed on all of it.
-        Where they differ the ids are the sentencepiece library's."""
+        """Ids of each text, and whether the sentencepiece library has the same."""
         cut = [self.chunks(t or "") for t in texts]
         ids_of = self._ids_of(set(chain.from_iterable(cut))).__getitem__
         ids = [np.frombuffer(b"".join(map(ids_of, cs)), dtype="<i4") for cs in cut]
         agree = [True] * len(cut) if not self.wrong else [self.wrong.isdisjoint(cs) for cs in cut]
         if self.reference is not None and not self.plain:
-            exact = self.reference.encode([t or "" for t in texts])
-            agree = [a == b.tolist() for a, b in zip(exact, ids)]
-            ids = [np.array(a, dtype="<i4") for a in exact]
+            agree = [np.array_equal(a, b) for a, b in zip(self.reference.encode([t or "" for t in texts]), ids)]
         return ids, agree
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """The pieces' bytes, joined; texts whose bytes are no UTF-8 go through
         the library's decoder, which marks each stray byte."""
+        flat = np.concatenate([*ids, np.zeros(0, dtype="<i4")])
+        size = self.sizes[flat]
+        ends = np.cumsum(size)
+        # Byte i of a piece that ends at `end` is byte size - (end - i) of its place in the table.
+        data = self.table[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.places[flat] + size - ends, size)].tobytes()
+        edges = np.append(0, ends)[np.cumsum([0, *map(len, ids)])].tolist()
         out = []
-        for i in ids:
-            raw = b"".join(map(self.raw, i.tolist()))
+        for i, a, b in zip(ids, edges, edges[1:]):
             try:
-                out.append(raw.decode("utf-8")[self.model.dummy_prefix and raw[:1] == b" " :])
+                out.append(data[a + (self.model.dummy_prefix and data[a : min(a + 1, b)] == b" ") : b].decode("utf-8"))
             except UnicodeDecodeError:
                 out.append(self.whole.decode(i.tolist(), skip_special_tokens=False))
         return out
@@ -229,7 +272,8 @@ class Codec:
 @cache
 def codec(path: str, check: bool) -> Codec:
     """One a worker process and model file."""
-    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))  # read when the library starts
+    task = TaskContext.get()
+    os.environ.setdefault("RAYON_NUM_THREADS", str(max(THREADS, task.cpus() if task else 1)))  # read when the library starts
     with open(path, "rb") as f:
         return Codec(f.read(), check)
 
