@@ -189,6 +189,52 @@ def test_unigram_model_is_rebuilt():
     assert [i.tolist() for i in own.encode(texts)[0]] == other.encode(texts)
 
 
+def test_unigram_model_with_a_charsmap():
+    """A larger unigram model with the NFKC map that the library itself holds,
+    and removal of spaces; its scores are invented, nothing is trained."""
+    import struct
+
+    import sentencepiece
+
+    def varint(n):
+        return bytes([n & 127 | 128]) + varint(n >> 7) if n > 127 else bytes([n])
+
+    def field(number, value):
+        return bytes([number << 3 | 2]) + varint(len(value)) + value
+
+    random.seed(8)
+    words = {"".join(random.choice("aeinrst") for _ in range(random.randint(1, 6))) for _ in range(400)} | set("aeinrst(),1fi") | {"中", "カ"}
+    pieces = [("<unk>", 0.0, 2)] + [(f"<0x{i:02X}>", -30.0, 6) for i in range(256)] + [("▁", -3.3, 1)]
+    pieces += [(p, round(-random.uniform(2, 12), 3), 1) for w in sorted(words) for p in (w, "▁" + w)]
+    normal = dict(sentencepiece_codec._wire(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto()))[3]
+    charsmap = dict(sentencepiece_codec._wire(normal))[2]
+    data = b"".join(field(1, field(1, t.encode()) + b"\x15" + struct.pack("<f", x) + bytes([3 << 3, k])) for t, x, k in pieces)
+    data += field(2, bytes([3 << 3, 1, 0x98, 0x02, 1])) + field(3, field(2, charsmap) + bytes([3 << 3, 1, 4 << 3, 1, 5 << 3, 1]))
+    own, other = sentencepiece_codec.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    assert not own.plain and own.splits
+    texts = [" ".join(random.choice(["Tea", "ＲＡＩＮ", "ｶ", "ﬁn", "① ", "strain", "é", "中", "  ", "\t", "entire", "(a)"]) for _ in range(random.randint(0, 12))) for _ in range(300)]
+    ids, agree = own.encode(texts)
+    exact = other.encode(texts)
+    assert agree == [a.tolist() == b for a, b in zip(ids, exact)]
+    assert sum(agree) >= 0.99 * len(texts)
+    good = [i for i, a in enumerate(agree) if a]
+    assert [own.decode([ids[i]])[0] for i in good] == [other.decode(exact[i]) for i in good]
+
+
+def test_a_difference_is_flagged_and_the_ids_are_the_backends_own():
+    own = codec()
+    text = ["one wondrous day", "plain"]
+    right = own.encode(text)[0]
+
+    class Other:
+        def encode(self, texts, **_):
+            return [[1, 2, 3] if "wondrous" in t else own.whole.encode(t).ids for t in texts]
+
+    own.known, own.older, own.reference = {}, {}, Other()
+    ids, agree = own.encode(text)
+    assert agree == [False, True] and all(np.array_equal(a, b) for a, b in zip(ids, right))
+
+
 def test_damaged_models_are_refused():
     with pytest.raises(ValueError):
         sentencepiece_codec.parse(b"\x0a\x7fabc")
