@@ -132,6 +132,46 @@ def test_sharding(docs, table, shards):
     assert sharding.assign(docs.limit(0), shards).count() == 0
 
 
+def tree(points, shards, span):
+    """Brute force: sorts each node by its widest dimension."""
+    if shards == 1 or not points:
+        return {p["doc_id"]: 0 for p in points}
+    width = {d: max(p[f"k_{d}"] for p in points) - min(p[f"k_{d}"] for p in points) for d in sharding.DIMENSIONS}
+    span = span or {d: max(1, w) for d, w in width.items()}
+    dim = "k_" + max(sharding.DIMENSIONS, key=lambda d: width[d] / span[d])
+    points = sorted(points, key=lambda p: p[dim])
+    goal, at, left = sum(p["size"] for p in points) * (shards // 2) // shards, 0, 0
+    while left + points[at]["size"] <= goal:
+        left, at = left + points[at]["size"], at + 1
+    at += 2 * (goal - left) > points[at]["size"]
+    right = tree(points[at:], shards - shards // 2, span)
+    return tree(points[:at], shards // 2, span) | {i: s + shards // 2 for i, s in right.items()}
+
+
+@pytest.mark.parametrize("shards", [2, 7, 16])
+def test_sharding_by_brute_force(spark, monkeypatch, shards):
+    random.seed(9)
+    rows = [(i, "é" * random.randint(0, 300), random.choice(["en", "de", None]), "src0" if i % 3 else f"src{i % 7}") for i in range(500)]
+    points = sharding.points(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string"))
+    monkeypatch.setattr(sharding, "points", lambda docs: points)
+    got = {r.doc_id: r.shard for r in sharding.assign(points, shards).collect()}
+    assert got == tree([r.asDict() for r in points.collect()], shards, None)
+
+
+def test_rows_that_are_alike_are_shared_out(spark):
+    alike = spark.range(1600).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'same text' AS text", "'en' AS lang", "'a' AS source", "id AS row")
+    sizes = Counter(r.shard for r in sharding.assign(alike, 16).collect())
+    assert sorted(sizes) == list(range(16)) and set(sizes.values()) == {100}
+
+
+def test_leaves_reach_the_target(spark):
+    rows = spark.range(3000).selectExpr("id AS doc_id", "repeat('x', 99) AS text", "'en' AS lang", "concat('s', id % 5) AS source")
+    sizes = Counter()
+    for r in sharding.assign(rows, target_bytes=14_000).collect():
+        sizes[r.shard] += r["size"]
+    assert len(sizes) == 22 and max(sizes.values()) <= 14_000 + 100
+
+
 def test_shards_are_balanced(spark):
     random.seed(8)
     rows = [(i, "x" * random.randint(1, 400), "en", "src0" if i % 3 else f"src{i % 7}") for i in range(4000)]

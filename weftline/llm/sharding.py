@@ -1,17 +1,21 @@
 """Shards by a k-d tree over document metadata.
 
-Every document is a point (language, source, length, id hash). A node that is
-larger than the target is split at the weighted median of its widest
-dimension, weights being bytes, until the leaves reach the target: with
-2^k shards, after k levels. All nodes of a level are split together. A median
-is found by radix: histograms of bytes over 4096 bins, three times, each inside
-the bin that the last one named; the driver sees those bounded histograms and
-nothing else. Ties of a dimension are ordered by a hash of the document, so a
-source with a third of all rows is still cut in half. DataFrame functions only.
+Every document is a point (language, source, length). A node that is larger than
+the target is split at the weighted median of its widest dimension, weights
+being bytes, until the leaves reach the target. All nodes of a level are split
+together. A median is found by radix: histograms of bytes over 32768 bins, four
+times, each inside the bin that the last one named. Histograms are summed up and
+searched in Spark; the driver sees one row a node. Ties of a dimension are
+ordered by a hash of a row number that each document gets at first, so a source
+with a third of all rows, or a third of rows that are alike in everything, is
+still cut in half. Rows carry the node they are in, and are written after each
+level; a level's splits, one row a node, are joined to them. DataFrame functions
+only.
 
 Defined cases: a null text has size 1 and the checksum of no bytes; null
-metadata sorts first; repeated rows are points of their own; an empty table
-gives an empty result; other columns are ignored."""
+metadata sorts first; repeated rows are points of their own; a very long text is
+one document, and a shard is larger than others by at most about that; an empty
+table gives an empty result; other columns are ignored, whatever their names."""
 
 from __future__ import annotations
 
@@ -22,9 +26,9 @@ from pyspark.sql import Window as W
 from weftline.llm import _common as C
 
 #: Bits of a key: 24 of the dimension, 36 of the hash that orders its ties.
-DIM_BITS, TIE_BITS, RADIX_BITS = 24, 36, 12
+DIM_BITS, TIE_BITS, RADIX_BITS = 24, 36, 15
 DIMENSIONS = ("lang", "source", "length")
-#: Rows numbered by one task at most on average.
+#: Rows numbered by one task, about.
 SLOT_ROWS = 50_000
 
 
@@ -36,84 +40,90 @@ def _name(column: str) -> Column:
 
 
 def points(docs: DataFrame) -> DataFrame:
-    text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
-    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"))
-    tie = F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32", "size"), 64 - TIE_BITS)
+    """doc_id, size, text_crc32, row, k_lang, k_source, k_length; written, as the
+    row numbers must stay as they are."""
+    text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
+    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.monotonically_increasing_id().alias("row"))
+    tie = F.shiftrightunsigned(F.xxhash64("row"), 64 - TIE_BITS)
     length = F.least(F.floor(F.log2(F.col("size").cast("double")) * (1 << 18)), F.lit((1 << DIM_BITS) - 1))
     dims = {"lang": _name("lang"), "source": _name("source"), "length": length}
-    return base.select("doc_id", "size", "text_crc32", *[F.shiftleft(v.cast("bigint"), TIE_BITS).bitwiseOR(tie).alias(f"k_{k}") for k, v in dims.items()])
+    return C.materialize(base.select("doc_id", "size", "text_crc32", "row", *[F.shiftleft(v.cast("bigint"), TIE_BITS).bitwiseOR(tie).alias(f"k_{k}") for k, v in dims.items()]), "points")
 
 
-def _medians(rows: DataFrame, nodes: dict[int, tuple[str, float]]) -> dict[int, int]:
-    """rows: node, size, k_*; nodes: node -> (dimension, bytes to go left).
-    The key from which each node's right side starts."""
-    key = F.coalesce(*[F.when(F.col("node") == n, F.col(f"k_{d}")) for n, (d, _) in nodes.items()])
-    keyed = rows.select("node", "size", key.alias("key"))
-    low, need = {n: 0 for n in nodes}, {n: need for n, (_, need) in nodes.items()}
+def _key() -> Column:
+    """A row's key in dimension number `dim`."""
+    return F.when(F.col("dim") == 0, F.col(f"k_{DIMENSIONS[0]}")).when(F.col("dim") == 1, F.col(f"k_{DIMENSIONS[1]}")).otherwise(F.col(f"k_{DIMENSIONS[2]}"))
+
+
+def _medians(rows: DataFrame, nodes: dict[int, tuple[int, int]]) -> dict[int, int]:
+    """rows: node, size, k_*; nodes: node -> (dimension, bytes to go left). The
+    key from which each node's right side starts."""
+    spark, state = rows.sparkSession, {n: (dim, need, 0) for n, (dim, need) in nodes.items()}
     steps = (DIM_BITS + TIE_BITS) // RADIX_BITS
     for step in range(1, steps + 1):
         shift = DIM_BITS + TIE_BITS - RADIX_BITS * step
-        inside = F.coalesce(*[F.when(F.col("node") == n, F.shiftright("key", shift + RADIX_BITS) == F.lit(low[n])) for n in nodes])
-        bins = keyed.filter(inside).groupBy("node", F.shiftright("key", shift).alias("bin")).agg(F.sum("size").alias("bytes")).collect()
-        for n in nodes:
-            here = sorted((r["bin"], r["bytes"]) for r in bins if r["node"] == n)
-            low[n] = here[-1][0] if here else low[n] << RADIX_BITS
-            for b, size in here:
-                if need[n] < size:
-                    # At full length: the side on which the last document misses the median by less.
-                    low[n] = b + (step == steps and 2 * need[n] > size)
-                    break
-                need[n] -= size
-    return low
-
-
-def assign(docs: DataFrame, shards: int = 16) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot. Any number of shards from 1: a
-    node of s leaves gives floor(s / 2) of them, and as much of its bytes, to
-    its left side."""
-    rows = C.materialize(points(docs), "points")
-    leaves, splits, span = {1: shards}, {}, {}  # the children of node n are 2n and 2n + 1
-
-    def tree(n: int) -> Column:
-        if n not in splits:
-            return F.lit(n)
-        dim, start = splits[n]
-        return F.when(F.col(f"k_{dim}") < F.lit(start), tree(2 * n)).otherwise(tree(2 * n + 1))
-
+        asked = F.broadcast(spark.createDataFrame([(n, *x) for n, x in state.items()], "node bigint, dim int, need bigint, low bigint"))  # one row a node
+        keyed = rows.join(asked, "node").select("node", "size", "need", "low", _key().alias("key"))
+        bins = keyed.filter(F.shiftright("key", shift + RADIX_BITS) == F.col("low")).groupBy("node", F.shiftright("key", shift).alias("bin")).agg(F.sum("size").alias("bytes"), F.first("need").alias("need"))
+        upto = F.sum("bytes").over(W.partitionBy("node").orderBy("bin"))
+        # The bin that the median lies in, or the last one.
+        placed = bins.withColumn("upto", upto).groupBy("node").agg(F.min(F.when(F.col("upto") > F.col("need"), F.struct("bin", "upto", "bytes"))).alias("hit"), F.max(F.struct("bin", "upto", "bytes")).alias("last"))
+        for r in placed.collect():
+            dim, need, _ = state[r["node"]]
+            here, last = r["hit"] or r["last"], r["hit"] is None
+            need -= here["upto"] - here["bytes"]
+            # At full length: the side on which the last document misses the median by less.
+            state[r["node"]] = (dim, need, here["bin"] + (step == steps and (last or 2 * need > here["bytes"])))
+    return {n: low for n, (_, _, low) in state.items()}
+
+
+def assign(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, shard, slot. Splits until the leaves reach
+    `target_bytes`; or `shards` of them, any number from 1, which is the same
+    with that part of all bytes as the target. A node of s leaves gives
+    floor(s / 2) of them, and as much of its bytes, to its left side."""
+    rows = points(docs)
+    spark = rows.sparkSession
+    if shards is None:
+        total = rows.agg(F.sum("size")).first()[0] or 0
+        shards = max(1, -(-total // target_bytes))
+    level, leaves, kids, span = rows.withColumn("node", F.lit(1).cast("bigint")), {1: shards}, set(), {}  # the children of node n are 2n and 2n + 1
     while any(s > 1 for s in leaves.values()):
-        level = rows.withColumn("node", tree(1))
         widths = [(F.max(f"k_{d}") - F.min(f"k_{d}")).alias(d) for d in DIMENSIONS]
-        stats = {r["node"]: r for r in level.groupBy("node").agg(F.sum("size").alias("bytes"), *widths).collect()}
+        stats = {r["node"]: r for r in level.groupBy("node").agg(F.sum("size").alias("bytes"), *widths).collect()}  # one row a node
         if not span:
             span = {d: max(1, stats[1][d]) if 1 in stats else 1 for d in DIMENSIONS}
         wanted = {}
         for n, s in leaves.items():
             if s > 1 and n in stats:
-                wanted[n] = (max(DIMENSIONS, key=lambda d: stats[n][d] / span[d]), stats[n]["bytes"] * (s // 2) / s)
-        starts = _medians(level, wanted) if wanted else {}
+                widest = max(range(len(DIMENSIONS)), key=lambda i: stats[n][DIMENSIONS[i]] / span[DIMENSIONS[i]])
+                wanted[n] = (widest, stats[n]["bytes"] * (s // 2) // s)
+        if wanted:
+            starts = _medians(level, wanted)
+            splits = F.broadcast(spark.createDataFrame([(n, wanted[n][0], start) for n, start in starts.items()], "node bigint, dim int, start bigint"))  # one row a node
+            side = F.when(F.col("start").isNull(), F.col("node")).otherwise(2 * F.col("node") + F.when(_key() < F.col("start"), 0).otherwise(1))
+            level = C.materialize(level.join(splits, "node", "left").withColumn("node", side).drop("dim", "start"), "level")
         for n, s in list(leaves.items()):
             if s > 1:
-                splits[n] = (wanted[n][0], starts[n]) if n in wanted else (DIMENSIONS[0], 0)
+                kids.add(n)
                 del leaves[n]
                 leaves |= {2 * n: s // 2, 2 * n + 1: s - s // 2}
 
     def in_order(n: int) -> list[int]:
-        return [n] if n not in splits else in_order(2 * n) + in_order(2 * n + 1)
+        return in_order(2 * n) + in_order(2 * n + 1) if n in kids else [n]
 
-    numbers = F.create_map(*[F.lit(x) for i, n in enumerate(in_order(1)) for x in (n, i)])
-    return _slots(rows.select("doc_id", "size", "text_crc32", F.element_at(numbers, tree(1)).alias("shard")))
+    numbers = F.broadcast(spark.createDataFrame(list(zip(in_order(1), range(shards))), "node bigint, shard int"))  # one row a leaf
+    return _slots(level.join(numbers, "node").select("doc_id", "size", "text_crc32", "row", "shard"))
 
 
 def _slots(rows: DataFrame) -> DataFrame:
     """Numbers the rows of each shard from 0 without gaps: by hash into parts
-    of bounded size, a window in each part, and the parts' offsets (one row a
-    shard and part) broadcast."""
-    n = rows.count()
-    parts = min(4096, max(1, n // SLOT_ROWS))
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(parts)).cast("int"))
+    of about SLOT_ROWS rows, a window in each part, and the parts' offsets."""
+    parts = F.broadcast(rows.groupBy("shard").agg(F.expr(f"cast(1 + count(*) div {SLOT_ROWS} as int)").alias("parts")))  # one row a shard
+    dealt = rows.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
     sizes = dealt.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    own = F.row_number().over(W.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size"))
-    out = dealt.withColumn("own", own).join(F.broadcast(offsets), ["shard", "part"])
+    own = F.row_number().over(W.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size", "row"))
+    out = dealt.withColumn("own", own).join(offsets, ["shard", "part"])
     return out.select("doc_id", "size", "text_crc32", "shard", (F.col("offset") + F.col("own") - 1).cast("bigint").alias("slot"))
