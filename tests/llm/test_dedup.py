@@ -5,7 +5,7 @@ from hashlib import sha256
 import pytest
 import xxhash
 
-from weftline.llm import _common, exact_dedup, simhash, suffix_dedup
+from weftline.llm import _common, exact_dedup, mixing, simhash, suffix_dedup
 
 
 def norm(text):
@@ -65,6 +65,37 @@ def test_full_bloom_changes_nothing(docs, monkeypatch):
     assert sorted(map(str, exact_dedup.find(docs).collect())) == want
 
 
+def test_ranges_keep_the_share_that_shuffles(spark, docs, monkeypatch):
+    """Filters of 2048 cells, ten times as many keys: the share of unique keys
+    that are taken for repeated stays as it is, and results do not change."""
+    want, kept = sorted(map(str, exact_dedup.find(docs).collect())), sorted(r.text or "" for r in exact_dedup.drop(docs).collect())
+
+    def share(n):
+        keys = spark.range(n).selectExpr("id AS sha")
+        parts = _common.deal_ranges(keys, "sha", n)
+        return len(parts), sum(_common.maybe_repeated(p, "sha", n // len(parts)).filter("maybe").count() for p in parts) / n
+
+    monkeypatch.setattr(_common, "BLOOM_MAX_BITS", 1 << 11)
+    monkeypatch.setattr(_common, "bloom_bits", lambda n: 1 << 11)
+    (few, small), (many, large) = share(128), share(1280)
+    assert few == 1 and many == 10 and large < small + 0.05 < 0.15
+    monkeypatch.setattr(_common, "BLOOM_MAX_BITS", 1 << 9)
+    assert _common.bloom_ranges(docs.count()) > 1
+    assert sorted(map(str, exact_dedup.find(docs).collect())) == want
+    assert sorted(r.text or "" for r in exact_dedup.drop(docs).collect()) == kept
+
+
+def test_names_that_the_operators_use_themselves(spark):
+    names = ["maybe", "sha", "whole", "rank", "cell0", "words0", "bucket1", "__wl_sha", "id", "t", "stays", "size", "home", "pattern", "part", "base", "a.b", "a`c"]
+    rows = [(i, f"text {i % 4}", "s", *[f"{i % 4}{n}" for n in names]) for i in range(8)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    for f in (exact_dedup.drop, simhash.drop, mixing.select):
+        got = f(docs)
+        assert got.columns == docs.columns
+        assert {tuple(r)[3:] for r in got.collect()} <= {r[3:] for r in rows}
+    assert exact_dedup.drop(docs).count() == 4
+
+
 def test_lookup_hot_key(spark):
     left = spark.range(20_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id")
     right = left.groupBy("k").count()

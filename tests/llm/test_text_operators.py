@@ -119,6 +119,40 @@ def test_mixing_of_overlapping_sources(spark):
     assert abs(sum(r.taken for r in got) - 6000) <= 20 and all(r.copies == 1 for r in got)
 
 
+def test_names_with_any_character_and_no_members(spark):
+    rows = [(1, "a b c", "p\x00q", ["p\x00q"]), (2, "d e", "p", ["p", "p\x00q", "p"]), (3, "f", '["', []), (4, "g h", None, None), (5, "", "p", [None, "p"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, members array<string>")
+    plain = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    assert {i: (r.source, r.source_size) for i, r in plain.items()} == {1: ("p\x00q", 3), 2: ("p", 2), 3: ('["', 1), 4: (None, 2), 5: ("p", 2)}
+    held = {r.doc_id: r for r in mixing.mix(docs, members="members").collect()}
+    assert {i: (r.source, r.source_size) for i, r in held.items()} == {1: ("p\x00q", 5), 2: ("p", 2), 3: (None, 3), 4: (None, 3), 5: (None, 3)}
+    assert mixing.select(docs, members="members").columns == docs.columns
+
+
+def test_too_many_patterns_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
+    with pytest.raises(ValueError):
+        mixing.mix(spark.range(9).selectExpr("id AS doc_id", "'a' AS text", "CAST(id AS STRING) AS source"))
+
+
+def test_flow_by_brute_force():
+    """The largest flow, and of those the cheapest, over all small splits."""
+    from itertools import product
+
+    random.seed(3)
+    for _ in range(30):
+        patterns = [(frozenset(random.sample(range(2), random.randint(1, 2))), random.randint(1, 3)) for _ in range(3)]
+        quotas = [random.randint(0, 7) for _ in range(2)]
+        price = lambda tokens, flow: max(0, flow - tokens)
+        best = (0, 0)
+        for split in product(*[[(a, b) for a in range(2 * n + 1 if 0 in s else 1) for b in range(2 * n + 1 - a if 1 in s else 1)] for s, n in patterns]):
+            if all(sum(x[i] for x in split) <= quotas[i] for i in range(2)):
+                best = min(best, (-sum(map(sum, split)), sum(price(n, sum(x)) for (_, n), x in zip(patterns, split))))
+        flow = mixing.route(patterns, quotas)
+        through = [sum(f for (p, _), f in flow.items() if p == i) for i in range(3)]
+        assert (-sum(through), sum(price(n, f) for (_, n), f in zip(patterns, through))) == best
+
+
 @pytest.mark.parametrize("shards", [1, 5, 16])
 def test_sharding(docs, table, shards):
     import zlib

@@ -44,13 +44,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Writes `df` to the shared folder and reads it back, which cuts its
     lineage: a lost executor costs no recomputation, and rows keep the ids
-    they were given."""
+    they were given. With `by`, a column, each value has a folder of its own."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -156,6 +156,38 @@ def bloom_flag(rows: DataFrame, keys: list[str], bits: int, bitmaps: DataFrame,
     return out.withColumn(flag, reduce(Column.__and__, tests)).drop(*extra)
 
 
+def deal_ranges(rows: DataFrame, key: str, n: int) -> list[DataFrame]:
+    """`rows`, n of them, by ranges of a hash of the key: as many as it takes for
+    a filter of each not to fill up. One range is `rows` itself."""
+    ranges = bloom_ranges(n)
+    if ranges == 1:
+        return [rows]
+    (at,) = fresh(rows, "range")
+    dealt = materialize(rows.withColumn(at, F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(ranges)).cast("int")), "ranges", by=at)
+    return [dealt.filter(F.col(at) == r).drop(at) for r in range(ranges)]
+
+
+def maybe_repeated(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The rows (n of them, key and others) whose cells of a filter are hit twice
+    or more, and boolean `maybe` for all."""
+    bits = bloom_bits(n)
+    return bloom_flag(rows, [key], bits, materialize(bloom_build(rows, [key], bits, least=2), "bloom"), "maybe")
+
+
+def repeated_filter(keys: DataFrame, key: str, n: int) -> tuple[int, DataFrame]:
+    """Bits and bitmaps of a filter for the keys that `keys`, n rows, have twice
+    or more: of cells hit twice; where that would fill up, of the repeated keys
+    themselves, which are found range by range."""
+    if bloom_ranges(n) == 1:
+        bits, least = bloom_bits(n), 2
+    else:
+        parts = deal_ranges(keys.select(key), key, n)
+        again = [maybe_repeated(p, key, n // len(parts)).filter("maybe").groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key) for p in parts]
+        keys = union_all([materialize(a, "repeated") for a in again])
+        bits, least = bloom_bits(keys.count()), 1
+    return bits, materialize(bloom_build(keys, [key], bits, least=least), "bloom")
+
+
 # -- connected components ----------------------------------------------------
 
 

@@ -9,17 +9,20 @@ size does not depend on the number of documents. Each pattern then selects
 documents in a seeded order up to the tokens that flow through it.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
-last in order; documents of size 0 are never taken; repeated rows are
-documents of their own, and equal ones are interchangeable; an empty table
-gives an empty result; other columns are ignored by `mix` and carried along by
-`select`."""
+last in order, which also holds documents whose `members` are null or empty;
+names may hold any character; documents of size 0 are never taken; a very long
+document is taken whole or not at all; repeated rows are documents of their own,
+and equal ones are interchangeable; an empty table gives an empty result; other
+columns are ignored by `mix` and carried along by `select`, whatever their
+names. Over MAX_PATTERNS patterns are refused."""
 
 from __future__ import annotations
 
 import heapq
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -27,6 +30,8 @@ from weftline.llm import _common as C
 
 #: Fixed terms of the mix: weights by turns, share of all words, most copies.
 WEIGHTS, SHARE, MOST_COPIES = (3, 1, 2), 1.5, 2
+#: Patterns that the driver takes: what it collects, solves and broadcasts.
+MAX_PATTERNS = 100_000
 #: Parts of a pattern by seeded hash; running sums span at most one part.
 PARTS = 4096
 #: Rounds in which a pattern's remainder takes the document nearest to it.
@@ -102,25 +107,25 @@ def route(patterns: Sequence[tuple[frozenset[int], int]], quotas: Sequence[int],
             room[e ^ 1] += flow
 
 
-def _keys(docs: DataFrame, seed: int, members: str | None) -> DataFrame:
-    """Adds what the mix knows of a document: size, pattern, home, order, part."""
-    names = F.col(members) if members else F.array(F.col("source").cast("string"))
+def _keys(docs: DataFrame, seed: int, members: str | None, keep: Column) -> DataFrame:
+    """keep, and what the mix knows of a document: size, pattern, home, order, part."""
+    source = F.array(F.col("source").cast("string"))
+    names = F.when(F.size(members) > 0, F.col(members).cast("array<string>")).otherwise(F.array(F.lit(None).cast("string"))) if members else source
     # A null source gets a name that no string has and that sorts last.
     keyed = F.transform(names, lambda x: F.concat(F.when(x.isNull(), "2").otherwise("1"), F.coalesce(x, F.lit(""))))
     order = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    return docs.withColumns({
-        "__wl_size": F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(C.WORDS)).cast("bigint"),
-        "__wl_home": F.element_at(keyed, 1),
-        "__wl_pattern": F.array_join(F.sort_array(F.array_distinct(keyed)), "\x00"),
-        "__wl_order": order,
-        "__wl_part": F.pmod(order, F.lit(PARTS)),
-    })
+    return docs.select(
+        keep,
+        F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(C.WORDS)).cast("bigint").alias("size"),
+        F.element_at(keyed, 1).alias("home"),
+        F.to_json(F.sort_array(F.array_distinct(keyed))).alias("pattern"),
+        order.alias("order"),
+        F.pmod(order, F.lit(PARTS)).alias("part"),
+    )
 
 
-def _extra(p: str = "") -> str:
-    """Whether a row gets one more copy, given its keys and its pattern's line
-    of the plan; p: the prefix of their names."""
-    return f"({p}part < {p}cut_part OR {p}part = {p}cut_part AND {p}order <= {p}cut_order OR array_contains({p}more, {p}order))"
+#: Whether a row gets one more copy, given its keys and its pattern's line of the plan.
+_EXTRA = "(part < cut_part OR part = cut_part AND order <= cut_order OR array_contains(more, order))"
 
 
 def _plan(rows: DataFrame, wanted: list[tuple[str, int, int]]) -> DataFrame:
@@ -141,8 +146,8 @@ def _plan(rows: DataFrame, wanted: list[tuple[str, int, int]]) -> DataFrame:
     lines = {p: [p, b, r, *((cut[p][0], lowest if cut[p][1] is None else cut[p][1]) if p in cut else (PARTS if r else -1, lowest)), []] for p, b, r in wanted}
     for _ in range(TOP_UPS):
         known = rows.join(F.broadcast(spark.createDataFrame([tuple(x) for x in lines.values()], schema)), "pattern")
-        short = known.groupBy("pattern", "rest").agg(F.sum(F.when(F.expr(_extra()), F.col("size")).otherwise(0)).alias("got")).select("pattern", (F.col("rest") - F.col("got")).alias("short")).filter("short > 0")
-        free = known.filter("NOT " + _extra()).join(F.broadcast(short), "pattern").filter("size < 2 * short")
+        short = known.groupBy("pattern", "rest").agg(F.sum(F.when(F.expr(_EXTRA), F.col("size")).otherwise(0)).alias("got")).select("pattern", (F.col("rest") - F.col("got")).alias("short")).filter("short > 0")
+        free = known.filter("NOT " + _EXTRA).join(F.broadcast(short), "pattern").filter("size < 2 * short")
         best = free.groupBy("pattern").agg(F.min(F.struct(F.abs(F.col("size") - F.col("short")).alias("off"), "order")).alias("b")).collect()
         for r in best:
             lines[r["pattern"]][-1].append(r["b"]["order"])
@@ -154,16 +159,20 @@ def _plan(rows: DataFrame, wanted: list[tuple[str, int, int]]) -> DataFrame:
 def _solve(docs: DataFrame, seed: int, share: float, weights: Sequence[float], members: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Keyed rows without text; the plan, a line a pattern; sources' sizes and targets."""
     spark = docs.sparkSession
-    rows = C.materialize(_keys(docs, seed, members).select(F.col("doc_id").cast("bigint").alias("doc_id"), *[F.col(f"__wl_{c}").alias(c) for c in ("size", "home", "pattern", "order", "part")]), "sizes")
-    # Aggregates of source names, not of documents.
-    totals = sorted((r["pattern"], r["tokens"]) for r in rows.groupBy("pattern").agg(F.sum("size").alias("tokens")).collect())
-    sources = sorted({s for p, _ in totals for s in p.split("\x00")}, key=lambda s: s.encode("utf-8", "surrogatepass"))
+    rows = C.materialize(_keys(docs, seed, members, F.col("doc_id").cast("bigint").alias("doc_id")), "sizes")
+    # One row a pattern, not a document. The flow is solved here, so there is a bound.
+    sums = rows.groupBy("pattern").agg(F.sum("size").alias("tokens")).limit(MAX_PATTERNS + 1).collect()
+    if len(sums) > MAX_PATTERNS:
+        raise ValueError(f"over {MAX_PATTERNS} patterns of sources: group sources before they are mixed")
+    totals = sorted((r["pattern"], r["tokens"]) for r in sums)
+    held = [json.loads(p) for p, _ in totals]
+    sources = sorted({s for names in held for s in names}, key=lambda s: s.encode("utf-8", "surrogatepass"))
     place = {s: i for i, s in enumerate(sources)}
-    patterns = [(frozenset(place[s] for s in p.split("\x00")), tokens) for p, tokens in totals]
-    sizes = [sum(tokens for held, tokens in patterns if i in held) for i in range(len(sources))]
+    patterns = [(frozenset(place[s] for s in names), tokens) for names, (_, tokens) in zip(held, totals)]
+    sizes = [sum(tokens for of, tokens in patterns if i in of) for i in range(len(sources))]
     goals = targets(sizes, [weights[i % len(weights)] for i in range(len(sources))], share * sum(tokens for _, tokens in patterns))
     flows = route(patterns, [round(g) for g in goals])
-    through = [sum(flows.get((i, s), 0) for s in held) for i, (held, _) in enumerate(patterns)]
+    through = [sum(flows.get((i, s), 0) for s in of) for i, (of, _) in enumerate(patterns)]
     plan = _plan(rows, [(p, *divmod(f, t)) for (p, t), f in zip(totals, through) if t])
     facts = spark.createDataFrame(list(zip(sources, sizes, goals)), "home string, source_size bigint, target double")
     return rows, plan, facts
@@ -175,7 +184,7 @@ def mix(docs: DataFrame, seed: int = 7, share: float = SHARE, weights: Sequence[
     overlap; the first is its source. Else a document is in `source` alone."""
     rows, plan, facts = _solve(docs, seed, share, weights, members)
     out = rows.join(F.broadcast(facts), "home").join(F.broadcast(plan), "pattern", "left")
-    copies = F.expr(f"if(size > 0, coalesce(base + cast({_extra()} as int), 0), 0)")
+    copies = F.expr(f"if(size > 0, coalesce(base + cast({_EXTRA} as int), 0), 0)")
     return out.withColumn("copies", copies).select("doc_id", "size", F.expr("if(home like '1%', substring(home, 2), null)").alias("source"), "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -184,8 +193,6 @@ def select(docs: DataFrame, seed: int = 7, share: float = SHARE, weights: Sequen
     they came with. The plan is broadcast (a line a pattern); texts stay where
     they are."""
     _, plan, _ = _solve(docs, seed, share, weights, members)
-    columns = C.columns_of(docs)
-    plan = plan.select(*[F.col(c).alias(f"__wl_{c}") for c in plan.columns])
-    keyed = _keys(docs, seed, members).filter("__wl_size > 0").join(F.broadcast(plan), "__wl_pattern")
-    copies = F.expr(f"cast(__wl_base + cast({_extra("__wl_")} as int) as int)")
-    return keyed.withColumn("__wl_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*columns)
+    keyed = _keys(docs, seed, members, F.struct(*C.columns_of(docs)).alias("whole")).filter("size > 0").join(F.broadcast(plan), "pattern")
+    copies = F.expr(f"cast(base + cast({_EXTRA} as int) as int)")
+    return keyed.select("whole", F.explode(F.array_repeat(F.lit(0), copies))).select("whole.*")

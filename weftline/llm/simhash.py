@@ -123,12 +123,12 @@ def drop(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame] = _grouped)
     t and first of every row."""
     rows = C.materialize(grouped(docs).select("doc_id", "t", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("t").eqNullSafe(F.col("first.t"))).alias("stays")), "grouped")
     pairs = rows.groupBy("doc_id", "t", "stays").agg(F.count("*").alias("n")).filter("NOT stays OR n > 1")
-    pairs = C.materialize(pairs.select(F.col("doc_id").alias("__wl_of"), F.col("t").alias("__wl_ot"), F.col("stays").alias("__wl_stays")), "copies")
+    pairs = C.materialize(pairs.select(F.col("doc_id").alias("of_id"), F.col("t").alias("of_t"), "stays"), "copies")
     bits = C.bloom_bits(pairs.count())
-    bitmaps = C.materialize(C.bloom_build(pairs, ["__wl_of", "__wl_ot"], bits, least=1), "bloom")
+    bitmaps = C.materialize(C.bloom_build(pairs, ["of_id", "of_t"], bits, least=1), "bloom")
     columns = C.columns_of(docs)
-    keyed = docs.withColumns({"__wl_id": F.col("doc_id").cast("bigint"), "__wl_t": F.xxhash64(F.col("text").cast("string"))})
-    flagged = C.bloom_flag(keyed, ["__wl_id", "__wl_t"], bits, bitmaps, "__wl_maybe")
-    marked = flagged.filter("__wl_maybe").join(pairs, F.expr("__wl_id <=> __wl_of AND __wl_t = __wl_ot"), "left")
-    several = marked.filter("__wl_stays").groupBy("__wl_id", "__wl_t").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("__wl_one"))
-    return C.union_all([flagged.filter("NOT __wl_maybe").select(*columns), marked.filter("__wl_stays IS NULL").select(*columns), several.select("__wl_one.*")])
+    keyed = docs.select(F.struct(*columns).alias("whole"), F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("t"), F.xxhash64(*columns).alias("rank"))
+    flagged = C.bloom_flag(keyed, ["id", "t"], bits, bitmaps, "maybe")
+    marked = flagged.filter("maybe").join(pairs, F.expr("id <=> of_id AND t = of_t"), "left")
+    several = marked.filter("stays").groupBy("id", "t").agg(F.min_by("whole", "rank").alias("whole"))
+    return C.union_all([flagged.filter("NOT maybe").select("whole.*"), marked.filter("stays IS NULL").select("whole.*"), several.select("whole.*")])
