@@ -125,3 +125,40 @@ def test_a_wrong_digest_is_an_error():
     data = zip_warc.record(1, None, b"payload", "0" * 64, None, False, "1")
     with pytest.raises(ValueError, match="digest"):
         [zip_warc.page(*r) for r in zip_warc.parse(data)]
+
+
+def test_revisits_resolve_and_indexes_are_sorted(spark, pages, tmp_path):
+    root = f"file://{tmp_path}/ids"
+    names = [r.name for r in zip_warc.write(pages, root).collect()]
+    ids, refers = [], []
+    for name in names:
+        data = (tmp_path / "ids" / name).read_bytes()
+        members = zip_warc.directory(reader(data), len(data))
+        for at, n in zip_warc.entries(reader(data), members):
+            for headers, _ in zip_warc.parse(data[at : at + n]):
+                ids.append(headers["warc-record-id"])
+                refers += [headers["warc-refers-to"]] if "warc-refers-to" in headers else []
+        lines = zip_warc.content(reader(data), next(m for m in members if m.name == zip_warc.INDEX)).decode().splitlines()
+        assert lines == sorted(lines)
+    assert refers and set(refers) <= set(ids)
+
+
+def test_only_archives_of_the_manifest_are_read(spark, pages, tmp_path):
+    root = f"file://{tmp_path}/stale"
+    zip_warc.write(pages, root)
+    folder = tmp_path / "stale"
+    (folder / "part-009999-0000.wacz").write_bytes(b"left by an attempt that failed")
+    (folder / "part-000000-0000.wacz.7.tmp").write_bytes(b"so is this")
+    assert zip_warc.read(spark, root).count() == len(table())
+    assert zip_warc.read(spark, root, payloads=False).rdd.getNumPartitions() >= 1
+    (folder / "part-009999-0000.wacz").unlink()
+    import shutil
+
+    shutil.rmtree(folder / "_manifest")
+    assert zip_warc.read(spark, root).count() == len(table())  # a folder of another writer
+
+
+def test_sort_keys():
+    assert zip_warc.sort_key("http://www.Example.com:80/A/b?Q=1#x") == "com,example)/a/b?q=1"
+    assert zip_warc.sort_key("https://u@a.b.org") == "org,b,a)/" and zip_warc.sort_key(None) == zip_warc.sort_key("") == "-"
+    assert " " not in zip_warc.sort_key("bad\r\nurl é")

@@ -7,17 +7,18 @@ record, the ZIP64 locator and directory where there are any, and the central
 directory; finds where stored members begin; reads the index; and fetches
 records by byte ranges of the file. Nothing is extracted, and no archive is
 read by one task alone: its index is cut into spans of some MB, and the spans
-are dealt out.
+are dealt out to a number of tasks that follows from the archives' bytes.
 
 Files are opened through pyarrow's file systems (local or mounted folders,
-HDFS, S3, GCS); listing is Spark's. A task writes under a temporary name and
-renames, so that a retry replaces its own file.
+HDFS, S3, GCS). A task writes under a temporary name and renames; `_manifest`
+lists the archives of the tasks that ended well, and where there is one, only
+those are read. Other folders are listed by Spark.
 
 Defined cases: a null html is an empty payload; a null url writes no target; a
 null page_id sorts after all others and writes no page header; rows that share
 the smallest page_id of equal payloads are all responses; repeated rows write
-a record each; an empty table writes no archive and reads back as no rows;
-other columns are ignored."""
+a record each; a very long html is one record, in a span of its own; an empty
+table writes no archive and reads back as no rows; other columns are ignored."""
 
 from __future__ import annotations
 
@@ -30,6 +31,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -43,24 +45,41 @@ from weftline.llm import _common as C
 LEAST_REVISIT = 100
 #: Compressed bytes at which a writer starts its next archive; bytes in a span.
 ARCHIVE_BYTES, SPAN_BYTES = 128 << 20, 4 << 20
-MEMBER, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+MEMBER, INDEX, MANIFEST = "archive/data.warc.gz", "indexes/index.cdxj", "_manifest"
+#: Archive bytes that one task reads, about, and the most tasks.
+TASK_BYTES, MAX_TASKS = 32 << 20, 100_000
 DATE, STAMP = "2024-01-01T00:00:00Z", "20240101000000"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 # -- writing -------------------------------------------------------------------
 
 
+def identity(page_id: int | None, digest: str) -> str:
+    """The record id of a response, by which revisits name it."""
+    return f"<urn:page:{'none' if page_id is None else page_id}:sha256:{digest}>"
+
+
+def sort_key(url: str | None) -> str:
+    """The index key of a URL: host from the top domain down, path and query in
+    lower case, signs outside ASCII escaped."""
+    scheme, found, rest = (url or "").partition("://")
+    rest = rest if found else scheme
+    host, slash, path = re.match(r"([^/?#]*)(/?)([^#]*)", rest).groups()
+    host = re.sub(r"^www\d*\.|:(80|443)$", "", host.rpartition("@")[2].lower())
+    return quote(f"{','.join(reversed(host.split('.')))}){slash or '/'}{path.lower()}", safe="!$&'()*+,/:;=?@[]%~-._") if url else "-"
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, revisit: bool, serial: str) -> bytes:
     """One WARC record, not compressed."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:record:{serial}>", f"WARC-Date: {DATE}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {f'<urn:revisit:{serial}>' if revisit else identity(page_id, digest)}", f"WARC-Date: {DATE}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + re.sub(r"[\r\n]+", "%0A", url))
     if page_id is not None:
         lines.append(f"WARC-Page-ID: {page_id}")
     if revisit:
-        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {identity(refers_to, digest)}"]
     lines += ["Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha256:{digest}", f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -80,17 +99,17 @@ class ArchiveWriter:
         packed = gzip.compress(data, 6, mtime=0)
         self.member.write(packed)
         entry = {"url": url, "digest": f"sha256:{digest}", "filename": MEMBER.rpartition("/")[2], "offset": self.at, "length": len(packed)}
-        self.index.append(f"{re.sub(r'[^!-~]', '-', url or '-')} {STAMP} {json.dumps(entry)}")
+        self.index.append(f"{sort_key(url)} {STAMP} {json.dumps(entry)}")
         self.at += len(packed)
 
     def close(self) -> tuple[str, int, int]:
         self.member.close()
-        self.zip.writestr(INDEX, "".join(f"{line}\n" for line in self.index))
+        self.zip.writestr(INDEX, "".join(f"{line}\n" for line in sorted(self.index)))
         self.zip.writestr("datapackage.json", json.dumps({"profile": "data-package", "wacz_version": "1.1.1", "records": len(self.index)}))
         self.zip.close()
         self.stream.close()
         self.fs.move(self.temporary, self.path)
-        return self.path, len(self.index), self.at
+        return self.path.rpartition("/")[2], len(self.index), self.fs.get_file_info(self.path).size
 
 
 def plan(pages: DataFrame) -> DataFrame:
@@ -103,21 +122,20 @@ def plan(pages: DataFrame) -> DataFrame:
     long = F.octet_length("payload") >= LEAST_REVISIT
     known = C.materialize(rows.filter(long).select("page_id", "sha"), "payloads")
     n = known.count()
-    bits = C.bloom_bits(n)
-    bitmaps = C.materialize(C.bloom_build(known, ["sha"], bits, least=2), "bloom")
+    bits, bitmaps = C.repeated_filter(known, "sha", n)
     firsts = C.bloom_flag(known, ["sha"], bits, bitmaps, "maybe").filter("maybe").groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     flagged = C.bloom_flag(rows, ["sha"], bits, bitmaps, "maybe")
     digest = F.lower(F.hex("sha")).alias("digest")
     nothing = [F.lit(None).cast("bigint").alias("refers_to"), F.lit(False).alias("revisit")]
     alone = flagged.filter(~(F.col("maybe") & long)).select("page_id", "url", "payload", digest, *nothing)
-    found = C.lookup(flagged.filter(F.col("maybe") & long), firsts, "sha", "n", n)
+    found = C.lookup(C.materialize(flagged.filter(F.col("maybe") & long).drop("maybe"), "repeated"), firsts, "sha", "n", n)
     again = ~F.col("page_id").eqNullSafe(F.col("first"))
     return alone.unionByName(found.select("page_id", "url", "payload", digest, F.when(again, F.col("first")).alias("refers_to"), again.alias("revisit")))
 
 
 def write(pages: DataFrame, root: str) -> DataFrame:
     """Writes archives below the folder `root`, a URI; returns the manifest:
-    path, records, bytes."""
+    name, records, bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = pafs.FileSystem.from_uri(root)
@@ -136,9 +154,20 @@ def write(pages: DataFrame, root: str) -> DataFrame:
         if writer is not None:
             done.append(writer.close())
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], ["path", "records", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], ["name", "records", "bytes"])
+
+    spark, manifest = pages.sparkSession, f"{root}/{MANIFEST}"
+    plan(pages).mapInArrow(run, "name string, records bigint, bytes bigint").write.mode("overwrite").parquet(manifest)
+    # What attempts that failed have left.
+    fs, folder = _hadoop(spark, root)
+    for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "*.tmp")) or []:
+        fs.delete(status.getPath(), False)
+    return spark.read.parquet(manifest)
+
 
-    return C.materialize(plan(pages).mapInArrow(run, "path string, records bigint, bytes bigint"), "manifest")
+def _hadoop(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 # -- reading -------------------------------------------------------------------
@@ -270,6 +299,11 @@ def page(headers: dict[str, str], block: bytes) -> tuple:
 
 def read(spark: SparkSession, root: str, payloads: bool = True) -> DataFrame:
     """All pages of the archives below `root`, as by `page`."""
+    fs, folder = _hadoop(spark, root)
+    if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, MANIFEST)):
+        files = spark.read.parquet(f"{root}/{MANIFEST}").select(F.concat(F.lit(f"{root}/"), "name").alias("path"), F.col("bytes").alias("length"))
+    else:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wacz").option("recursiveFileLookup", "true").load(root).select("path", "length")
 
     def opened(path: str):
         fs, inner = pafs.FileSystem.from_uri(path)
@@ -303,7 +337,10 @@ def read(spark: SparkSession, root: str, payloads: bool = True) -> DataFrame:
                 keep = [i for i in range(7) if payloads or i != 2]
                 yield pa.RecordBatch.from_arrays([pa.array(columns[i], types[i]) for i in keep], [names[i] for i in keep])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wacz").option("recursiveFileLookup", "true").load(root).select("path", "length")
-    located = files.mapInArrow(spans, "path string, places array<bigint>")
+    count, size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    tasks = lambda n: max(1, min(MAX_TASKS, n))
+    located = files.repartition(tasks(count), "path").mapInArrow(spans, "path string, places array<bigint>")
     schema = "page_id bigint, url string, " + "payload binary, " * payloads + "payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
-    return located.repartition(F.col("path"), F.element_at("places", 1)).mapInArrow(fetch, schema)
+    # An explicit number: AQE would go by the size of the lists of offsets, not of what they name.
+    spread = tasks(max(-(-size // TASK_BYTES), min(-(-size // SPAN_BYTES), spark.sparkContext.defaultParallelism)))
+    return located.repartition(spread, F.col("path"), F.element_at("places", 1)).mapInArrow(fetch, schema)
