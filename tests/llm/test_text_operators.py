@@ -361,11 +361,35 @@ def junk_or_prose(spark, n=400):
 def test_cotraining_held_out_accuracy(spark):
     docs, labels, truth = junk_or_prose(spark)
     known = labels.filter("doc_id % 3 = 0")
-    model = cotraining.fit(docs, known)
+    model = cotraining.fit(cotraining.views(docs, known))
     assert sum(map(sum, model.rounds)) > 0  # pseudo-labels were exchanged
     got = cotraining.score(docs, known).filter("doc_id % 3 <> 0").collect()
     assert sum(r.kept == bool(truth[r.doc_id]) for r in got) >= 0.97 * len(got)
-    assert cotraining.keep(docs, known).columns == docs.columns
+    kept = {r.doc_id for r in cotraining.score(docs, known).filter("kept").collect()}
+    again = cotraining.keep(docs, known)
+    assert again.columns == docs.columns and {r.doc_id for r in again.collect()} == kept
+
+
+def test_all_documents_teach(spark, monkeypatch):
+    """The passes' sums against brute force over all documents without a label,
+    however they are dealt out."""
+    docs, labels, _ = junk_or_prose(spark)
+    seen = cotraining.views(docs, labels.filter("doc_id % 4 = 0"))
+    model = cotraining.fit(seen)
+    free = seen.filter("quality IS NULL").collect()
+    assert len(free) == 300
+    weights = [[0.5, 1.0], [1.0, 0.25]]
+    want = cotraining.lessons(model, model.views, cotraining._matrices([r.text_view for r in free], [r.meta_view for r in free]), weights, True)
+    got = cotraining.taught(seen.filter("quality IS NULL").repartition(7), model, model.views, weights, True)
+    assert all(np.allclose(a, b) for a, b in zip(got, want)) and sum(w[:2].sum() for w in want) > 0
+
+
+def test_text_view_in_steps(monkeypatch):
+    text = random.Random(1).randbytes(5000)
+    whole = cotraining.text_view(text)
+    monkeypatch.setattr(cotraining, "STEP", 700)
+    assert (cotraining.text_view(text) == whole).all()
+    assert not cotraining.text_view(b"").any() and len(cotraining.text_view(b"ab")) == cotraining.TEXT_WIDTH
 
 
 def test_cotraining_edges(docs, table, spark):
@@ -378,7 +402,6 @@ def test_cotraining_edges(docs, table, spark):
     assert cotraining.keep(docs, labels.limit(0)).columns == docs.columns
 
 
-def test_the_sample_is_bounded(docs, spark):
+def test_the_labelled_sample_is_bounded(docs, spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 41)], "doc_id bigint, quality int")
-    rows = cotraining.sample(docs, labels, max_labelled=7, max_pool=5).collect()
-    assert sum(r.quality is not None for r in rows) == 7 and sum(r.quality is None for r in rows) == 5
+    assert cotraining.labelled(docs, labels, 7).count() == 7
