@@ -50,6 +50,52 @@ def test_limits_follow_the_group_and_merge(spark):
     assert merged["size"] == 403
 
 
+def brute_verdicts(rows, prior=20, reach=3):
+    """(lang, source, text) to kept, by sorted lists instead of sketches."""
+    guards = {"symbols": 20, "capitals": 2, "repeats": 40, "word_length": 20, "dup_lines": 40}
+
+    def ratios(text):
+        n_words, chars, symbols, dups, repeats = measured(text)
+        lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+        capitals = sum("A" <= c <= "Z" for c in text or "")
+        pairs = {"symbols": (symbols, n_words), "capitals": (capitals, chars), "repeats": (repeats, n_words), "word_length": (chars, n_words), "dup_lines": (dups, len(lines))}
+        return n_words < 50 or 100 * repeats > 50 * n_words, {k: 1000 * a // max(b, 1) for k, (a, b) in pairs.items()}
+
+    found = [(lang, source, *ratios(text)) for lang, source, text in rows]
+    rough = lambda v: v >> max(0, v.bit_length() - 10) << max(0, v.bit_length() - 10)
+
+    def limit(own, k):
+        values = sorted(rough(r[3][k]) for r in own)
+        at = lambda q: values[-(-len(values) * q // 4) - 1]
+        return at(3) + reach * max(at(3) - at(2), guards[k])
+
+    def drawn(own, wider, k):
+        return (len(own) * limit(own, k) + prior * wider) // (len(own) + prior)
+
+    passed = [r for r in found if not r[2]]
+    limits = {}
+    for lang, source in {r[:2] for r in passed}:
+        for k in guards:
+            in_lang, in_group = [r for r in passed if r[0] == lang], [r for r in passed if r[:2] == (lang, source)]
+            limits[lang, source, k] = drawn(in_group, drawn(in_lang, limit(passed, k), k), k)
+    return [not r[2] and all(r[3][k] <= limits[r[0], r[1], k] for k in guards) for r in found]
+
+
+def test_verdicts_by_brute_force(spark, docs, table):
+    random.seed(12)
+    rows = [(r[2], r[3], r[1]) for r in table]
+    for i in range(500):
+        n, odd = random.randint(45, 120), random.random() < 0.1
+        words = ["".join(random.choice("abcdefg") for _ in range(random.randint(2, 15 if odd else 8))) for _ in range(n)]
+        words = [w.upper() if random.random() < (0.4 if odd else 0.02) else w + "#" * (odd and random.random() < 0.3) for w in words]
+        text = "".join(w + random.choice("    \n") for w in words) + "same line\n" * random.choice((0, 0, 0, 1, 2, 9))
+        rows.append((random.choice(["en", "de", None]), random.choice(["a", "a", "a", "b", "c", None]), text))
+    got = quality_rules.judge(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, source string, text string")).collect()
+    want = brute_verdicts(rows)
+    assert [r.kept for r in sorted(got, key=lambda r: r.doc_id)] == want
+    assert 100 < sum(want) < 480
+
+
 def test_verdicts_follow_the_spread_of_the_source(spark):
     """Repeated lines, capitals and word length: what is usual in one source is
     an outlier in another."""

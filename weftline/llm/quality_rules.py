@@ -6,11 +6,12 @@ bits, so a quantile is exact to 1/512 of itself, sketches merge by adding
 counts, and reruns agree. A group's upper limit for a ratio is its third
 quartile plus REACH times its upper half-spread. Where that spread is next to
 nothing (most documents have no symbol and no repeat at all), a small guard
-takes its place: about what one event makes in a short document. Groups
-under MIN_GROUP documents merge with their language, and languages under it
-with everything. The limits are then joined to the documents.
+takes its place: about what one event makes in a short document. A group's limit
+is drawn towards its language's, as if PRIOR more documents had that, and a
+language's towards that of everything, so groups of any size are treated alike
+and small ones borrow. The limits are then joined to the documents.
 
-Defined cases: a null text has no words; documents without words fail the base
+Defined cases: a null text has no words; a very long text is counted as a whole; documents without words fail the base
 rules and enter no sketch, nor does any other that fails them; null language
 or source are groups of their own; repeated rows count each; an empty table
 gives an empty result; other columns are ignored."""
@@ -29,8 +30,8 @@ from weftline.llm import _common as C
 
 #: Fixed limits of the base rules: least words, most repeated words per 100.
 MIN_WORDS, MAX_REPEATED = 50, 50
-#: Documents a group needs for limits of its own; half-spreads above the third quartile.
-MIN_GROUP, REACH = 100, 3
+#: Documents that the wider group counts for; half-spreads above the third quartile.
+PRIOR, REACH = 20, 3
 #: Leading bits that a sketch keeps of a value.
 SKETCH_BITS = 10
 #: Ratio -> (numerator, denominator, least half-spread per 1000).
@@ -119,9 +120,10 @@ def judge(docs: DataFrame) -> DataFrame:
     names = [f"max_{k}" for k in RATIOS]
     fine, by_lang = limits(sketch), limits(sketch.drop("source"))
     # One row: the limits of everything together.
-    overall = limits(sketch.drop("source").withColumn("lang", F.lit(0))).first() or dict.fromkeys(names)
-    coarse = by_lang.select("lang", *[F.when(F.col("size") >= MIN_GROUP, F.col(c)).otherwise(F.lit(overall[c])).alias(f"lang_{c}") for c in names])
-    groups = fine.join(coarse, "lang").select("size", F.concat_ws("\x01", "lang", "source").alias("group"), *[F.when(F.col("size") >= MIN_GROUP, F.col(c)).otherwise(F.col(f"lang_{c}")).alias(c) for c in names])
+    overall = limits(sketch.drop("source").withColumn("lang", F.lit(0))).first() or dict.fromkeys(names, 0)
+    drawn = lambda own, wider: F.expr(f"(size * {own} + {PRIOR} * {wider}) div (size + {PRIOR})")
+    coarse = by_lang.select("lang", *[drawn(c, overall[c]).alias(f"lang_{c}") for c in names])
+    groups = fine.join(coarse, "lang").select("size", F.concat_ws("\x01", "lang", "source").alias("group"), *[drawn(c, f"lang_{c}").alias(c) for c in names])
     keyed = measured.withColumn("group", F.concat_ws("\x01", _key("lang"), _key("source")))
     passed = C.lookup(keyed.filter(~F.col("base_failed")), groups, "group", "size", measured.count())
     good = [F.expr(f"1000 * {a} div greatest({b}, 1)") <= F.col(f"max_{k}") for k, (a, b, _) in RATIOS.items()]
