@@ -1,4 +1,4 @@
-"""Queries without an oracle, over whole tables, against brute force."""
+"""Queries over whole tables, against brute force."""
 
 from collections import defaultdict
 from hashlib import sha256
@@ -21,7 +21,7 @@ def test_explode_all_with_ids(spark):
     lines = orders(spark, "l_linenumber", "l_partkey", "l_linestatus")
     want = sorted((k, i, x[2], sha256(f"{k}\0{i}".encode()).hexdigest()) for k, v in lines.items() for i, x in enumerate(v))
     assert any(k % 10 for k in lines)
-    got = catalogue.QUERIES["explode_all_with_ids"](spark, DATA)
+    got = catalogue.QUERIES["explode_with_ids"](spark, DATA)
     assert sorted(tuple(r) for r in got.select("l_orderkey", "position", "fn", "item_id").collect()) == want
 
 
@@ -31,7 +31,7 @@ def test_step_rendering_all(spark):
     part = lambda n, _, q, a: f'{{"_uuid":{n},"sub_question":"{q}","sub_answer":"{a}"}}'
     want = sorted((k, "\n".join(step(*x) for x in v), "[" + ",".join(part(*x) for x in v) + "]") for k, v in lines.items())
     assert any(k % 5 for k in lines)
-    got = catalogue.QUERIES["step_rendering_all"](spark, DATA)
+    got = catalogue.QUERIES["step_rendering"](spark, DATA)
     assert sorted(tuple(r) for r in got.select("l_orderkey", "compact", "json").collect()) == want
 
 
@@ -49,7 +49,7 @@ def test_front_page_pin_all(spark):
             if 4 * n > 2000:
                 break
             want.append((d, i))
-    got = catalogue.QUERIES["front_page_pin_all"](spark, DATA).collect()
+    got = catalogue.QUERIES["front_page_pin"](spark, DATA).collect()
     assert sorted(map(tuple, got)) == sorted(want) and len({d for d, _ in want}) > 1
 
 
@@ -77,7 +77,7 @@ def decided(sessions, budget, scored):
 def test_retrieval_decision_all(spark):
     sessions = {d: [(d, i, *x) for i, x in enumerate(rows)] for d, rows in chunks(spark).items()}
     want = decided(sessions, 400, lambda text: "the" in text.lower())
-    got = catalogue.QUERIES["retrieval_decision_all"](spark, DATA).collect()
+    got = catalogue.QUERIES["retrieval_decision"](spark, DATA).collect()
     assert sorted(map(tuple, got)) == want and len({d for d, _, _ in want}) > 5
 
 
@@ -92,7 +92,7 @@ def test_sessions_of_several_documents(spark):
 def test_regrouped_chunks_all(spark):
     rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
     want = sorted((r.doc_id, r.text.replace("\n", "|")) for r in rows if r.text is not None)
-    got = catalogue.QUERIES["regrouped_chunks_all"](spark, DATA).collect()
+    got = catalogue.QUERIES["regrouped_chunks"](spark, DATA).collect()
     assert sorted(map(tuple, got)) == want and any(t.count("|") > 2 for _, t in want)
 
 
@@ -103,15 +103,15 @@ def texts(spark):
 def test_whole_replies(spark):
     docs = [r for r in texts(spark) if r.text is not None]
     assert any(len(r.text) > 1000 for r in docs)
-    got = catalogue.QUERIES["think_and_fence_strip_all"](spark, DATA).collect()
+    got = catalogue.QUERIES["think_and_fence_strip"](spark, DATA).collect()
     bodies = {r.doc_id: (r.body, r.reasoning, r.score) for r in got}
     for r in docs:
         assert bodies[r.doc_id] == (f'{{"doc_id":{r.doc_id},"score":{r.n_chars}}}', r.text.strip(), float(r.n_chars))
-    parsed = {r.doc_id: (r.action, r.input, r.agent) for r in catalogue.QUERIES["agent_reply_parsing_all"](spark, DATA).collect()}
+    parsed = {r.doc_id: (r.action, r.input, r.agent) for r in catalogue.QUERIES["agent_reply_parsing"](spark, DATA).collect()}
     assert all(parsed[r.doc_id] == ("en", r.text.strip(), "en" if r.doc_id % 2 else r.lang) for r in docs)
 
 
 def test_union_with_variations_all(spark):
     want = sorted((r.doc_id, v, q) for r in texts(spark) for v, q in enumerate((r.text, f"en {r.lang}", f"src {r.source}")))
-    got = catalogue.QUERIES["union_with_variations_all"](spark, DATA).collect()
+    got = catalogue.QUERIES["union_with_variations"](spark, DATA).collect()
     assert sorted(map(tuple, got)) == want

@@ -9,19 +9,28 @@ from pyspark.sql import functions as F
 from weftline.functions import text as T
 
 
+def _bound(value: Column, f) -> Column:
+    """f(value), where f may name its argument often: it is computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def strict_json(s: Column) -> Column:
     """VARIANT of a JSON object or array that is the whole string, else null.
-    Closing brackets are checked against the string's end: brackets outside
-    strings must balance, and first at the last character."""
-    t = T.strip_space(s)
-    skeleton = F.regexp_replace(F.regexp_replace(t, r'"(?:[^"\\]|\\.)*"', ""), r"[^\[\]{}]", "")
-    depth = F.aggregate(
-        F.split(skeleton, ""),
-        F.struct(F.lit(0).alias("d"), F.lit(0).alias("zeros")),
-        lambda a, c: F.struct((a["d"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)).alias("d"), (a["zeros"] + F.when((a["d"] == 1) & c.isin("}", "]"), 1).otherwise(0)).alias("zeros")),
-    )
-    whole = t.rlike(r"(?s)^[\[{].*[\]}]$") & (depth["d"] == 0) & (depth["zeros"] == 1)
-    return F.when(whole, F.try_parse_json(t))
+    Spark's parser accepts text behind a value, but not inside an array: so the
+    string is parsed as the one element of an array; an array, which could close
+    that early, must also parse as a member of an object."""
+
+    def parsed(t: Column) -> Column:
+        listed = lambda v: F.when(F.try_variant_get(v, "$[1]", "variant").isNull(), F.try_variant_get(v, "$[0]", "variant"))
+        alone = t.rlike(r"(?s)^\{.*\}$") | t.rlike(r"(?s)^\[.*\]$") & F.try_parse_json(F.concat(F.lit('{"w":'), t, F.lit("}"))).isNotNull()
+        return F.when(alone, _bound(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), listed))
+
+    return _bound(T.strip_space(s), parsed)
+
+
+def whole_json(s: Column) -> Column:
+    """The string where `strict_json` takes it, else null."""
+    return F.when(strict_json(s).isNotNull(), s)
 
 
 def model_json(s: Column) -> Column:
@@ -90,9 +99,11 @@ def score_list(v: Column, field: str = "tool_score_list") -> Column:
 
 
 def loose_json(s: Column, schema: str) -> Column:
-    """JSON with single quotes, bare names or comments, by a given schema."""
+    """JSON with single quotes, bare names or comments, by a given schema: one
+    object, with nothing behind it."""
     options = {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true", "allowComments": "true", "mode": "PERMISSIVE"}
-    return F.from_json(T.strip_fences(s), schema, options)
+    listed = F.from_json(F.concat(F.lit("["), T.strip_fences(s), F.lit("\n]")), f"array<struct<{schema}>>", options)
+    return _bound(listed, lambda x: F.when(F.size(x) == 1, F.get(x, F.lit(0))))
 
 
 def as_string(v: Column) -> Column:

@@ -12,18 +12,18 @@ from weftline.functions import text as T
 CALL = "array<struct<name:string,arguments:string>>"
 
 
-def _json_call(body: Column) -> Column:
-    v = S.strict_json(body)
+def _json_call(body: Column, v: Column) -> Column:
     broken = T.salvage_call(body)
     name, arguments = F.try_variant_get(v, "$.name", "string"), S.as_string(F.try_variant_get(v, "$.arguments", "variant"))
-    return F.struct(F.coalesce(name, broken["name"]).alias("name"), F.when(name.isNotNull(), arguments).otherwise(broken["arguments"]).alias("arguments"))
+    return F.when(name.isNotNull(), F.struct(name.alias("name"), arguments.alias("arguments"))).otherwise(broken)
 
 
 def parse_tags(s: Column) -> Column:
     """<tool_call> {"name": ..., "arguments": ...} </tool_call>; a last call
     without its end tag counts; broken JSON is salvaged."""
     bodies = F.regexp_extract_all(s, F.lit(r"(?s)<tool_call>(.*?)(?:</tool_call>|\z)"), F.lit(1))
-    return F.filter(F.transform(bodies, lambda b: _json_call(T.strip_space(b))), lambda c: c["name"] != "")
+    parsed = F.transform(F.transform(bodies, T.strip_space), lambda b: F.struct(b.alias("b"), S.strict_json(b).alias("v")))
+    return F.filter(F.transform(parsed, lambda x: _json_call(x["b"], x["v"])), lambda c: c["name"] != "")
 
 
 def render_tags(calls: Column) -> Column:

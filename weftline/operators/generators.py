@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import structured as S
 from weftline.functions import text as T
+from weftline.scratch import materialize
 
 
 def explode_items(df: DataFrame, items: str, alias: str, key: list[str]) -> DataFrame:
@@ -60,24 +61,19 @@ def variations(response: Column) -> Column:
     return F.when(F.size(questions) > 0, questions).otherwise(bare)
 
 
-def leaves(taxonomy: DataFrame, name: str, value: str, depth: int = 12) -> DataFrame:
-    """name, path, description, examples of every leaf of nested JSON; a leaf
-    has a description. Recursive SQL over VARIANT, to a bounded depth."""
-    spark = taxonomy.sparkSession
-    view = f"_taxonomy_{abs(hash((name, value))) % 10**9}"
-    taxonomy.select(F.col(name).alias("name"), F.try_parse_json(value).alias("v")).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE nodes(name, path, v, level) AS (
-            SELECT name, CAST(array() AS ARRAY<STRING>), v, 0 FROM {view}
-            UNION ALL
-            SELECT n.name, array_append(n.path, c.key), c.value, n.level + 1
-            FROM nodes n, LATERAL variant_explode(n.v) c
-            WHERE n.level < {depth} AND c.key IS NOT NULL AND try_variant_get(n.v, '$.description', 'string') IS NULL
-        )
-        SELECT name, path, try_variant_get(v, '$.description', 'string') AS description,
-               try_variant_get(v, '$.examples', 'array<string>') AS examples
-        FROM nodes WHERE try_variant_get(v, '$.description', 'string') IS NOT NULL
-    """)
+def leaves(taxonomy: DataFrame, name: str, value: str) -> DataFrame:
+    """name, path, description, examples of every leaf of nested JSON, at any
+    depth; a leaf has a description. One pass a level, until none is left."""
+    spark, found = taxonomy.sparkSession, []
+    nodes = taxonomy.select(F.col(name).alias("name"), F.array().cast("array<string>").alias("path"), F.col(value).alias("json"))
+    while True:
+        v = F.try_parse_json("json")
+        level = materialize(nodes.select("name", "path", "json", F.try_variant_get(v, "$.description", "string").alias("description"), F.try_variant_get(v, "$.examples", "array<string>").alias("examples")), "level")
+        found.append(level.filter("description IS NOT NULL").drop("json"))
+        inner = level.filter("description IS NULL").select("name", "path", F.try_parse_json("json").alias("v"))
+        nodes = inner.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).filter("key IS NOT NULL").select("name", F.array_append("path", F.col("key")).alias("path"), F.to_json("value").alias("json"))
+        if nodes.isEmpty():
+            return union_all(*found)
 
 
 def sentences(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from weftline.functions import structured as S
+from weftline.scratch import materialize
 
 
 def edges_from_chains(chains: DataFrame, graph: str, chain: str, nodes: str) -> DataFrame:
@@ -28,7 +29,7 @@ def walks(edges: DataFrame, least: int = 2, most: int = 5, graph: str | None = N
     join with the edges for each further node; the number of walks is bounded by
     nodes x degree^(most - 1), so degree and length are what to limit."""
     by = [graph] if graph else []
-    pairs = edges.select(*by, "src", "dst").distinct()
+    pairs = materialize(edges.select(*by, "src", "dst").distinct(), "edges")  # each length reads them again
     now = pairs.select(*by, F.array("src", "dst").alias("walk"))
     out = [now] if least <= 2 else []
     nodes = pairs.select(*by, F.col("src").alias("n")).unionByName(pairs.select(*by, F.col("dst").alias("n"))).distinct()

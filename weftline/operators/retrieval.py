@@ -4,18 +4,26 @@ tie-break; a search is rows (query, doc, chunk_id, score)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from weftline.functions import structured as S
 from weftline.functions import text as T
+from weftline.scratch import materialize
 
 
 def terms(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys, term, tf"""
-    raw = df.select(*keys, F.explode(T.raw_tokens(F.col(text))).alias("term")).withColumn("term", T.clean_token(F.col("term")))
-    return raw.filter(T.is_term(F.col("term"))).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    """keys, term, tf. Equal raw tokens of a text are counted before they are
+    cleaned; a token is cleaned once (what an explode makes, filters and
+    aggregates above can't ask for again)."""
+    raw = df.select(*keys, F.explode(T.raw_tokens(F.col(text))).alias("raw")).groupBy(*keys, "raw").agg(F.count("*").alias("n"))
+    clean = raw.select(*keys, "n", F.explode(F.array(T.clean_token(F.col("raw")))).alias("term"))
+    return clean.filter((F.col("term") != "") & ~F.col("term").isin(T.STOP_WORDS)).groupBy(*keys, "term").agg(F.sum("n").alias("tf"))
 
 
 def corpus_stats(tf: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -29,9 +37,9 @@ def bm25(chunks: DataFrame, queries: DataFrame, keys: list[str], query: str, tex
     """query, keys, score of all chunks that share a term with a query. Query
     terms count as often as they occur; a negative idf becomes a quarter of the
     vocabulary's mean. Only postings of the queries' terms are joined. The
-    postings are cached, as statistics and scores read them five times: the
-    texts are read and cut into tokens once."""
-    tf = terms(chunks, keys, text).persist()
+    postings are written to the shared folder, as statistics and scores read
+    them five times: the texts are read and cut into tokens once."""
+    tf = materialize(terms(chunks, keys, text), "postings")
     lengths = tf.groupBy(*keys).agg(F.sum("tf").alias("dl"))
     df, totals = corpus_stats(tf, keys)
     raw = F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
@@ -63,12 +71,47 @@ def fuse(rankings: list[DataFrame], keys: list[str], k: int = 60) -> DataFrame:
     return every.groupBy(*keys).agg(F.sum("w").alias("score"))
 
 
-def knn(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", vec: str = "embedding", query_id: str = "query_id", query_vec: str = "query") -> DataFrame:
-    """The k nearest by L2 distance, exact: every query against every vector, so
-    queries must be few; they are broadcast if Spark finds them small."""
-    distance = F.sqrt(F.aggregate(F.zip_with(vec, query_vec, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x.cast("double")))
-    pairs = queries.select(query_id, query_vec).join(vectors.select(vec_id, vec)).select(query_id, vec_id, distance.alias("score"))
-    return top_k(pairs, [query_id], [vec_id], k, ascending=True)
+#: Vectors that are compared as one matrix with as many queries.
+VECTOR_BLOCK = 2048
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, vector) rows to blocks: ids and vectors as bytes, and how many."""
+    for batch in batches:
+        batch = batch.filter(batch.column(1).is_valid())
+        for at in range(0, batch.num_rows, VECTOR_BLOCK):
+            part = batch.slice(at, VECTOR_BLOCK)
+            ids, values = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(part.column(1).to_pylist(), dtype=np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()]), pa.array([values.tobytes()]), pa.array([len(ids)])], ["ids", "vectors", "n"])
+
+
+def _nearest(k: int, places: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for q_ids, q_data, q_n, v_ids, v_data, v_n in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, asked = np.frombuffer(v_ids, np.int64), np.frombuffer(q_ids, np.int64)
+                queries, vectors = np.frombuffer(q_data).reshape(q_n, -1), np.frombuffer(v_data).reshape(v_n, -1)
+                rough = (queries**2).sum(1)[:, None] + (vectors**2).sum(1) - 2 * queries @ vectors.T
+                some = min(v_n, 2 * k + 16)  # by expanded squares; the distances are then taken exactly
+                for i, near in enumerate(np.argpartition(rough, some - 1, axis=1)[:, :some]):
+                    score = np.sqrt(((vectors[near] - queries[i]) ** 2).sum(1))
+                    score = score if places is None else np.round(score, places)
+                    best = np.lexsort((ids[near], score))[:k]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), asked[i])), pa.array(ids[near][best]), pa.array(score[best])], ["query_id", "vec_id", "score"])
+
+    return run
+
+
+def knn(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", vec: str = "embedding", query_id: str = "query_id", query_vec: str = "query", places: int | None = None) -> DataFrame:
+    """query_id, vec_id, score, rank: the k nearest by L2 distance (rounded to
+    `places`), equal ones by vec_id; vectors that are null are left out. Every
+    query against every vector, exact, in blocks of VECTOR_BLOCK: what Spark
+    pairs are the blocks, and each pair leaves k rows a query."""
+    packed = "ids binary, vectors binary, n bigint"
+    asked = queries.select(query_id, query_vec).mapInArrow(_blocks, packed).toDF("q_ids", "q_vectors", "q_n")
+    pairs = materialize(asked, "queries").join(vectors.select(vec_id, vec).mapInArrow(_blocks, packed))
+    found = pairs.mapInArrow(_nearest(k, places), "query_id bigint, vec_id bigint, score double")
+    return top_k(found.toDF(query_id, vec_id, "score"), [query_id], [vec_id], k, ascending=True)
 
 
 def front_pins(chunks: DataFrame, budget: int, doc: str | None = None) -> DataFrame:
@@ -141,7 +184,8 @@ def search_sessions(chunks: DataFrame, scores: DataFrame, session: str, doc: str
 
 def tfidf_vocabulary(tf: DataFrame, doc: str) -> DataFrame:
     """term, weight: smoothed idf, weights of a document scaled to length 1,
-    summed over documents, best first. `tf` is read three times: cache it."""
+    summed over documents, best first. `tf` is written, as it is read three times."""
+    tf = materialize(tf, "postings")
     n = F.broadcast(tf.agg(F.count_distinct(doc).alias("n")))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     rows = tf.join(df, "term").join(n).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))

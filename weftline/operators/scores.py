@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from weftline.functions import structured as S
 
 
 def majority_vote(votes: DataFrame, key: str, valid: str, order: str, *fields: str) -> DataFrame:
@@ -57,7 +60,7 @@ def membership_score(steps: Column, problems: Column) -> Column:
 def entry_mean(entries: DataFrame, record: str, parsed: str, field: str) -> DataFrame:
     """Mean over a parsed object's entries that are objects, without `think`; a
     bad value counts 1. `parsed`: a column of JSON text."""
-    exploded = entries.select(record, F.explode_outer(F.from_json(parsed, "map<string,string>")).alias("k", "v"))
+    exploded = entries.select(record, F.explode_outer(F.from_json(S.whole_json(F.col(parsed)), "map<string,string>")).alias("k", "v"))
     value = F.try_variant_get(F.try_parse_json("v"), f"$.{field}", "double")
     rows = exploded.filter((F.col("k") != "think") & F.col("v").startswith("{"))
     return entries.select(record).distinct().join(rows.groupBy(record).agg(F.avg(F.coalesce(value, F.lit(1.0))).alias("score")), record, "left").select(record, F.coalesce("score", F.lit(1.0)).alias("score"))
@@ -70,10 +73,23 @@ def quality_total(*ratings: Column) -> tuple[Column, Column]:
 
 
 def above_percentile(df: DataFrame, score: str, q: float = 0.9) -> DataFrame:
-    """Rows from the exact q-quantile (linear interpolation) up; the threshold
-    is one value, joined as a broadcast row."""
-    limit = df.agg(F.percentile(score, F.lit(q)).alias("threshold"))
-    return df.join(F.broadcast(limit), F.col(score) >= F.col("threshold"))
+    """Rows from the exact q-quantile (linear interpolation) up. A sketch brackets
+    the quantile, and only values inside the bracket (some hundred-thousandths of
+    all) are put in order; the driver sees the two values around the quantile."""
+    n = F.count(score).alias("n")
+    total = df.agg(n).first()["n"]
+    if not total:
+        return df.limit(0).withColumn("threshold", F.col(score).cast("double"))
+    at = q * (total - 1)
+    edges = [max(0.0, q - 3e-5 - 2 / total), min(1.0, q + 3e-5 + 2 / total)]
+    low, high = df.agg(F.percentile_approx(score, F.array(*map(F.lit, edges)), 100_000).alias("b")).first()["b"]
+    below = df.filter(F.col(score) < low).count()
+    inside = df.filter(F.col(score).between(low, high)).groupBy(F.col(score).alias("v")).agg(F.count("*").alias("n"))
+    upto = inside.select("v", (F.sum("n").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, 0)) + below).alias("upto"))
+    first = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("v").cast("double")))
+    a, b = upto.agg(first(int(at)), first(int(-(-at // 1)))).first()
+    threshold = a if a == b else (int(at) + 1 - at) * a + (at - int(at)) * b
+    return df.withColumn("threshold", F.lit(threshold)).filter(F.col(score) >= F.col("threshold"))
 
 
 def best_attempt(attempts: DataFrame, key: str, attempt: str, test: str, status: str) -> DataFrame:

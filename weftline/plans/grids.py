@@ -33,22 +33,11 @@ def augmentation_grid(t):
 
 
 @query("""
-    SELECT doc_id, v::INT AS variant, CASE v WHEN 0 THEN substr(text, 1, 50) WHEN 1 THEN 'en ' || lang ELSE 'src ' || source END AS question FROM documents, range(0, 3) r(v)
+    SELECT doc_id, v::INT AS variant, CASE v WHEN 0 THEN text WHEN 1 THEN 'en ' || lang ELSE 'src ' || source END AS question FROM documents, range(0, 3) r(v)
 """)
 def union_with_variations(t):
-    """The heads of texts, as in the oracle; `union_with_variations_all` has whole ones."""
-    return _varied(t, F.substring("text", 1, 50))
-
-
-@query()
-def union_with_variations_all(t):
-    """Whole texts; tested by brute force."""
-    return _varied(t, F.col("text"))
-
-
-def _varied(t, text):
     reply = F.concat(F.lit("<response><VARIATION_1 id='1'><question><!-- note -->en "), "lang", F.lit("</question></VARIATION_1><variation_2><question>src "), "source", F.lit("</question></variation_2></response>"))
-    rows = t("documents").select("doc_id", text.alias("q"), reply.alias("reply"))
+    rows = t("documents").select("doc_id", F.col("text").alias("q"), reply.alias("reply"))
     return generators.with_variations(rows, F.col("q"), generators.variations(F.col("reply"))).select("doc_id", "variant", "question")
 
 
@@ -71,21 +60,10 @@ def taxonomy_leaves(t):
 
 @query("""
     SELECT l_orderkey, pos::INT AS position, fn, sha256(l_orderkey || chr(0) || pos) AS item_id FROM (
-        SELECT l_orderkey, unnest(list(l_linestatus ORDER BY l_linenumber, l_partkey, l_linestatus)) AS fn, unnest(range(0, count(*))) AS pos FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY 1)
+        SELECT l_orderkey, unnest(list(l_linestatus ORDER BY l_linenumber, l_partkey, l_linestatus)) AS fn, unnest(range(0, count(*))) AS pos FROM lineitem GROUP BY 1)
 """)
 def explode_with_ids(t):
-    """The orders that the oracle covers; `explode_all_with_ids` has all."""
-    return _exploded(t("lineitem").filter("l_orderkey % 10 = 0"))
-
-
-@query()
-def explode_all_with_ids(t):
-    """Every order; tested by brute force."""
-    return _exploded(t("lineitem"))
-
-
-def _exploded(lines):
-    rows = lines.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_linestatus"))), lambda x: x["l_linestatus"]).alias("items"))
+    rows = t("lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_linestatus"))), lambda x: x["l_linestatus"]).alias("items"))
     return generators.explode_items(rows, "items", "fn", ["l_orderkey"]).select("l_orderkey", "position", "fn", "item_id")
 
 
@@ -95,8 +73,16 @@ def distinct_values(t):
     return rows.select("user_id", F.concat(F.lit("["), F.array_join("k", ", "), F.lit("]")).alias("kinds"))
 
 
-@query("SELECT count(*) > 0 AS some, bool_and(ok) AS stable FROM (SELECT TRUE AS ok FROM documents)")
+@query("SELECT count(*) AS n, TRUE AS stable, TRUE AS share, TRUE AS other_seed, 10 AS picks, 10 AS numbers FROM documents")
 def seeded_choice(t):
-    """Coins and picks give the same answer twice and keep their range."""
-    rows = t("documents").select(F.col("doc_id"), S.coin(1, 0.2, F.col("doc_id")).alias("a"), S.coin(1, 0.2, F.col("doc_id")).alias("b"), S.pick(1, 10, F.col("doc_id")).alias("p"))
-    return rows.agg((F.count("*") > 0).alias("some"), F.bool_and((F.col("a") == F.col("b")) & F.col("p").between(0, 9)).alias("stable"))
+    """The same answer twice, about the share asked for, another
+    one by another seed, every option taken; a call number in its range."""
+    rows = t("documents").select(S.coin(1, 0.2, F.col("doc_id")).alias("a"), S.coin(1, 0.2, F.col("doc_id")).alias("b"), S.coin(2, 0.2, F.col("doc_id")).alias("c"), S.pick(1, 10, F.col("doc_id")).alias("p"), S.call_number(F.col("text")).alias("n"))
+    return rows.agg(
+        F.count("*").alias("n"),
+        F.bool_and((F.col("a") == F.col("b")) & F.col("n").between(0, 9999)).alias("stable"),
+        F.avg(F.col("a").cast("int")).between(0.1, 0.3).alias("share"),
+        F.bool_or(F.col("a") != F.col("c")).alias("other_seed"),
+        F.count_distinct("p").cast("int").alias("picks"),
+        F.count_distinct(F.when(F.col("n") >= 0, F.pmod("n", F.lit(10)))).cast("int").alias("numbers"),
+    )

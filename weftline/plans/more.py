@@ -31,21 +31,11 @@ def _trace(lines):
 @query("""
     SELECT l_orderkey, string_agg('id=' || l_linenumber || ' | hop=1 | parallel=false | dep=[' || (l_linenumber - 1) || '] | q=' || l_returnflag || ' | a=' || l_linestatus, chr(10) ORDER BY l_linenumber, l_partkey, l_returnflag, l_linestatus) AS compact,
            '[' || string_agg('{"_uuid":' || l_linenumber || ',"sub_question":"' || l_returnflag || '","sub_answer":"' || l_linestatus || '"}', ',' ORDER BY l_linenumber, l_partkey, l_returnflag, l_linestatus) || ']' AS json
-    FROM lineitem WHERE l_orderkey % 5 = 0 GROUP BY 1
+    FROM lineitem GROUP BY 1
 """)
 def step_rendering(t):
-    """The orders that the oracle covers; `step_rendering_all` has all."""
-    return _rendered(t("lineitem").filter("l_orderkey % 5 = 0"))
-
-
-@query()
-def step_rendering_all(t):
-    """P17, P18 of every order; tested by brute force."""
-    return _rendered(t("lineitem"))
-
-
-def _rendered(lines):
-    return _trace(lines).select("l_orderkey", records.compact_steps(F.col("trace")).alias("compact"), records.steps_for_clustering(F.col("trace")).alias("json"))
+    """P17, P18"""
+    return _trace(t("lineitem")).select("l_orderkey", records.compact_steps(F.col("trace")).alias("compact"), records.steps_for_clustering(F.col("trace")).alias("json"))
 
 
 @query("""
@@ -211,11 +201,11 @@ def kv_store(t):
 
 
 @query("""
-    SELECT q.conv_id AS query, string_agg('[' || turn || '] "' || role || chr(10) || substr(text, 1, 20) || '"', chr(10) || chr(10) ORDER BY turn) AS text FROM conversations q GROUP BY 1
+    SELECT q.conv_id AS query, string_agg('[' || turn || '] "' || role || chr(10) || text || '"', chr(10) || chr(10) ORDER BY turn) AS text FROM conversations q GROUP BY 1
 """)
 def web_result_text(t):
     """S24"""
-    hits = t("conversations").select(F.col("conv_id").alias("query"), F.col("turn").alias("rank"), F.col("role").alias("title"), F.substring("text", 1, 20).alias("snippet"), F.lit("").alias("date"))
+    hits = t("conversations").select(F.col("conv_id").alias("query"), F.col("turn").alias("rank"), F.col("role").alias("title"), F.col("text").alias("snippet"), F.lit("").alias("date"))
     return readers.web_results(hits)
 
 
@@ -231,26 +221,10 @@ def code_parsing(t):
     return rows.select("p_partkey", "s.name", F.array_join("s.params", ",").alias("params"), "literal")
 
 
-@query("""
-    SELECT doc_id, string_agg(p, '|' ORDER BY i) AS text FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE i <= 3 GROUP BY 1
-""")
+@query("SELECT doc_id, replace(text, chr(10), '|') AS text FROM documents")
 def regrouped_chunks(t):
-    """Kept chunks by document, in chunk order: the first three, which the
-    oracle covers; `regrouped_chunks_all` has all."""
-    return _regrouped(_lines(t).filter("chunk_id < 3"))
-
-
-@query()
-def regrouped_chunks_all(t):
-    """W5 over every chunk; tested by brute force."""
-    return _regrouped(_lines(t))
-
-
-def _lines(t):
-    return t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("chunk_id", "text"))
-
-
-def _regrouped(rows):
+    """Chunks by document, in chunk order."""
+    rows = t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("chunk_id", "text"))
     return retrieval.regroup(rows, "doc_id", "chunk_id", "text").select("doc_id", F.array_join("text", "|").alias("text"))
 
 

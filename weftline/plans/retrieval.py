@@ -92,35 +92,23 @@ def front_part(t):
 
 
 @query(f"""
-    WITH {_CHUNKS} SELECT doc_id, chunk_id FROM c x WHERE doc_id = 20 AND chunk_id < 2 AND NOT EXISTS (SELECT 1 FROM c y WHERE y.doc_id = 20 AND y.chunk_id <= x.chunk_id AND y.token * 4 > 2000)
+    WITH {_CHUNKS}, f AS (SELECT doc_id, chunk_id, max(CASE WHEN token * 4 > 2000 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY chunk_id) AS over FROM c WHERE chunk_id < 2)
+    SELECT doc_id, chunk_id FROM f WHERE over = 0
 """)
 def front_page_pin(t):
-    """The document that the oracle covers; `front_page_pin_all` has all."""
-    return retrieval.front_pins(_chunks(t).filter("doc_id = 20"), 2000).select("doc_id", "chunk_id")
-
-
-@query()
-def front_page_pin_all(t):
-    """Every document on its own; tested by brute force."""
+    """Every document on its own."""
     return retrieval.front_pins(_chunks(t), 2000, "doc_id").select("doc_id", "chunk_id")
 
 
 @query(f"""
-    WITH {_CHUNKS}, d AS (SELECT * FROM c WHERE doc_id < 5), s AS (SELECT *, CASE WHEN contains(lower(text), 'the') THEN token ELSE 0 END AS score FROM d),
-    w AS (SELECT *, sum(token) OVER (ORDER BY score DESC, doc_id, chunk_id ROWS UNBOUNDED PRECEDING) AS spent FROM s)
-    SELECT doc_id, chunk_id, least(token, 400 - spent + token)::BIGINT AS used FROM w WHERE spent - token < 400
+    WITH {_CHUNKS}, s AS (SELECT *, CASE WHEN contains(lower(text), 'the') THEN token ELSE 0 END AS score FROM c),
+    f AS (SELECT *, sum(token) OVER (PARTITION BY doc_id) AS total, max(score) OVER (PARTITION BY doc_id) AS best FROM s),
+    w AS (SELECT *, sum(token) OVER (PARTITION BY doc_id ORDER BY CASE WHEN best > 0 THEN score ELSE 0 END DESC, chunk_id ROWS UNBOUNDED PRECEDING) AS spent FROM f)
+    SELECT doc_id, chunk_id, CASE WHEN total <= 400 THEN token ELSE least(token, 400 - spent + token) END::BIGINT AS used FROM w WHERE total <= 400 OR spent - token < 400
 """)
 def retrieval_decision(t):
-    """A session's five documents exceed the budget and some chunks score, so
-    the best chunks within the budget are the context."""
-    chunks = _chunks(t).filter("doc_id < 5")
-    scores = chunks.select("doc_id", "chunk_id", F.when(F.lower("text").contains("the"), F.col("token")).otherwise(0).cast("double").alias("score"))
-    return retrieval.search(chunks, scores, "doc_id", 400).select("doc_id", "chunk_id", F.col("used").cast("bigint"))
-
-
-@query()
-def retrieval_decision_all(t):
-    """Every document as a session of its own; tested by brute force."""
+    """Every document as a session of its own: all of it where it fits the
+    budget, else the best chunks, else the front."""
     chunks = _chunks(t).withColumn("session", F.col("doc_id"))
     scores = chunks.select("session", "doc_id", "chunk_id", F.when(F.lower("text").contains("the"), F.col("token")).otherwise(0).cast("double").alias("score"))
     return retrieval.search_sessions(chunks, scores, "session", "doc_id", 400).select("doc_id", "chunk_id", "used")
@@ -132,11 +120,9 @@ def retrieval_decision_all(t):
     SELECT query_id, vec_id, score, rank::INT AS rank FROM r WHERE rank <= 10
 """)
 def vector_knn(t):
-    wide = t("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    queries = wide.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    distance = F.round(F.sqrt(F.aggregate(F.zip_with("embedding", "query", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)), 6)
-    pairs = queries.join(wide).select("query_id", "vec_id", distance.alias("score"))
-    return retrieval.top_k(pairs, ["query_id"], ["vec_id"], 10, ascending=True)
+    vectors = t("embeddings").select("vec_id", "embedding")
+    queries = vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return retrieval.knn(vectors, queries, 10, places=6)
 
 
 @query(f"""
@@ -145,4 +131,4 @@ def vector_knn(t):
     SELECT term, round(sum(w / norm), 6) AS weight FROM w JOIN l USING (id) GROUP BY 1
 """)
 def tfidf_vocab(t):
-    return retrieval.tfidf_vocabulary(retrieval.terms(t("documents"), ["doc_id"], "text").persist(), "doc_id").withColumn("weight", F.round("weight", 6))
+    return retrieval.tfidf_vocabulary(retrieval.terms(t("documents"), ["doc_id"], "text"), "doc_id").withColumn("weight", F.round("weight", 6))

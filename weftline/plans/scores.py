@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 
 from weftline.functions import structured as S
 from weftline.functions import text as T
+from weftline.models import provider
 from weftline.operators import joins, scores
 from weftline.plans.registry import query
 
@@ -80,9 +81,12 @@ def majority_vote(t):
     FROM documents JOIN labels USING (doc_id) GROUP BY source
 """)
 def cross_model_vote(t):
+    """Two models: one judges quality, the other toxicity; both must say valid."""
     rows = t("documents").join(t("labels"), "doc_id")
-    more = lambda c: F.count_if(c) > F.count_if(~c)
-    return rows.groupBy("source").agg((more(F.col("quality") == 1) & more(F.col("toxic") == 0)).alias("is_valid"))
+    one = provider.cross_model(rows.select("source", (F.col("quality") == 1).alias("is_valid")), "source")
+    other = provider.cross_model(rows.select("source", (F.col("toxic") == 0).alias("is_valid")), "source")
+    both = one.unionByName(other).groupBy("source").agg(F.bool_and("is_valid").alias("is_valid"))
+    return both
 
 
 @query("""
@@ -103,11 +107,11 @@ def asof_tool_match(t):
 
 
 @query("""
-    WITH c AS (SELECT l_orderkey, arg_max(l_returnflag, l_partkey * 1000000 + l_suppkey * 10 + l_linenumber) AS fn FROM lineitem WHERE l_quantity > 40 GROUP BY 1)
+    WITH c AS (SELECT l_orderkey, arg_max(l_returnflag, l_partkey * 1000000 + l_suppkey * 10 + l_linenumber) AS fn FROM lineitem GROUP BY 1)
     SELECT o_orderkey, fn FROM orders LEFT JOIN c ON l_orderkey = o_orderkey
 """)
 def call_result_join(t):
-    calls = t("lineitem").filter("l_quantity > 40").select(F.lit(0).alias("r"), F.col("l_orderkey").alias("o_orderkey"), F.col("l_returnflag").alias("fn"), (F.col("l_partkey") * 1000000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("idx"))
+    calls = t("lineitem").select(F.lit(0).alias("r"), F.col("l_orderkey").alias("o_orderkey"), F.col("l_returnflag").alias("fn"), (F.col("l_partkey") * 1000000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("idx"))
     return joins.results_with_calls(t("orders").select(F.lit(0).alias("r"), "o_orderkey"), calls, "r", "o_orderkey", "idx", "fn").select("o_orderkey", "fn")
 
 

@@ -11,32 +11,20 @@ from weftline.plans.registry import query
 from weftline.sources import documents
 
 
-def _replies(t, text=None):
-    """A reply made of each document: think block, fenced JSON, tags."""
-    text = F.substring("text", 1, 200) if text is None else text
-    reply = F.concat(F.lit("<think>"), text, F.lit("</think>"), F.lit("\n```json\n"), F.to_json(F.struct("doc_id", F.col("n_chars").alias("score"))), F.lit("\n```"))
-    return t("documents").select("doc_id", "n_chars", text.alias("head"), reply.alias("reply"))
+def _replies(t):
+    """A reply made of each whole document: think block, fenced JSON, tags."""
+    reply = F.concat(F.lit("<think>"), "text", F.lit("</think>"), F.lit("\n```json\n"), F.to_json(F.struct("doc_id", F.col("n_chars").alias("score"))), F.lit("\n```"))
+    return t("documents").select("doc_id", "n_chars", reply.alias("reply"))
 
 
 @query("""
-    SELECT doc_id, '{"doc_id":' || doc_id || ',"score":' || n_chars || '}' AS body, trim(regexp_replace(substr(text, 1, 200), '^\\s+|\\s+$', '', 'g')) AS reasoning,
+    SELECT doc_id, '{"doc_id":' || doc_id || ',"score":' || n_chars || '}' AS body, trim(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS reasoning,
            n_chars::DOUBLE AS score, 0 AS is_safe
     FROM documents
 """)
 def think_and_fence_strip(t):
-    """The heads of texts, as in the oracle; `think_and_fence_strip_all` has whole ones."""
-    return _stripped(_replies(t))
-
-
-@query()
-def think_and_fence_strip_all(t):
-    """Whole texts; tested by brute force."""
-    return _stripped(_replies(t, F.col("text")))
-
-
-def _stripped(rows):
-    v = S.model_json(F.col("reply"))
-    return rows.select("doc_id", T.strip_fences(T.after_last_think(F.col("reply"))).alias("body"), F.trim(T.strip_space(T.think_and_answer(F.col("reply"))["reasoning"])).alias("reasoning"), S.score(v)["score"].alias("score"), S.score(v)["is_safe"].alias("is_safe"))
+    v = S.score(S.model_json(F.col("reply")))
+    return _replies(t).select("doc_id", T.strip_fences(T.after_last_think(F.col("reply"))).alias("body"), F.trim(T.strip_space(T.think_and_answer(F.col("reply"))["reasoning"])).alias("reasoning"), v["score"].alias("score"), v["is_safe"].alias("is_safe"))
 
 
 @query("""
@@ -98,14 +86,19 @@ def clean_paragraph(t):
     return t("documents").select("doc_id", T.clean_paragraph(F.concat("text", F.lit("(cid:12)---------"))).alias("clean"))
 
 
-@query("""
-    SELECT doc_id, CASE WHEN n = 0 THEN 'unknown' ELSE 'en' END AS language, FALSE AS cjk, CASE WHEN n_chars > 256 THEN substr(text, 1, 128) || '...' || right(text, 128) ELSE text END AS short,
-           sha256(text) AS digest, CASE WHEN n_chars <= 400 THEN text ELSE substr(text, 1, 200) || E'\\n...\\n' || right(text, 200) END AS compact, split_part(text, 'the', 1) AS cut
-    FROM (SELECT *, length(regexp_replace(text, '\\P{L}', '', 'g')) AS n FROM documents)
-""".replace("\\\\n", "\\n"))
+@query(r"""
+    WITH d AS (SELECT doc_id, text || repeat('中', (doc_id % 3 * length(text))::BIGINT) AS text FROM documents),
+    n AS (SELECT *, length(regexp_replace(text, '[^一-鿿]', '', 'g')) AS han, length(regexp_replace(regexp_replace(text, '[一-鿿]', '', 'g'), '\P{L}', '', 'g')) AS other, length(text) AS size FROM d)
+    SELECT doc_id, CASE WHEN han + other = 0 THEN 'unknown' WHEN han > 0.6 * (han + other) THEN 'zh' WHEN other > 0.7 * (han + other) THEN 'en' ELSE 'mixed' END AS language, han > 0 AS cjk,
+           CASE WHEN size > 256 THEN substr(text, 1, 128) || '...' || right(text, 128) ELSE text END AS short, sha256(text) AS digest,
+           CASE WHEN size <= 400 THEN text ELSE substr(text, 1, 200) || chr(10) || '...' || chr(10) || right(text, 200) END AS compact, split_part(text, 'the', 1) AS cut
+    FROM n
+""".replace("\\P", "\P"))
 def document_text_functions(t):
+    """Texts with no, some and mostly Chinese signs."""
     x = F.col("text")
-    return t("documents").select("doc_id", T.language(x).alias("language"), T.has_cjk(x).alias("cjk"), T.middle_truncate(x).alias("short"), F.sha2(x, 256).alias("digest"), T.compact_query(x, 200).alias("compact"), T.cut_at_stop_words(x, ["the"], []).alias("cut"))
+    rows = t("documents").select("doc_id", F.concat("text", F.repeat(F.lit("中"), (F.col("doc_id") % 3 * F.length("text")).cast("int"))).alias("text"))
+    return rows.select("doc_id", T.language(x).alias("language"), T.has_cjk(x).alias("cjk"), T.middle_truncate(x).alias("short"), F.sha2(x, 256).alias("digest"), T.compact_query(x, 200).alias("compact"), T.cut_at_stop_words(x, ["the"], []).alias("cut"))
 
 
 @query(r"""
@@ -115,24 +108,13 @@ def token_counts_regex(t):
     return t("documents").select("doc_id", T.token_count(F.col("text")).alias("tokens"))
 
 
-@query("SELECT doc_id, 'en' AS action, substr(text, 1, 20) AS input, CASE WHEN doc_id % 2 = 0 THEN lang ELSE 'en' END AS agent FROM documents")
+@query(r"SELECT doc_id, 'en' AS action, regexp_replace(text, '^\s+|\s+$', '', 'g') AS input, CASE WHEN doc_id % 2 = 0 THEN lang ELSE 'en' END AS agent FROM documents")
 def agent_reply_parsing(t):
-    """The heads of texts, as in the oracle; `agent_reply_parsing_all` has whole ones."""
-    text = F.substring("text", 1, 20)
-    return _agent_replies(t, text, text)
-
-
-@query()
-def agent_reply_parsing_all(t):
-    """Whole texts and the input as parsed; tested by brute force."""
-    return _agent_replies(t, F.col("text"), F.col("a.action_input"))
-
-
-def _agent_replies(t, text, shown):
-    reply = F.concat(F.lit("Thought: x\nAction: old\nAction Input: y\nThought: z\nAction: en\nAction Input: "), text, F.lit("\nObservation: w"))
+    """F37, F38 with whole texts as the action's input."""
+    reply = F.concat(F.lit("Thought: x\nAction: old\nAction Input: y\nThought: z\nAction: en\nAction Input: "), "text", F.lit("\nObservation: w"))
     call = F.concat(F.lit("I pick Call: "), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise("nobody"), F.lit("\nbecause"))
     rows = t("documents").withColumn("a", T.react_action(reply))
-    return rows.select("doc_id", "a.action", shown.alias("input"), T.routed_agent(call, ["en", "fr", "de", "es"]).alias("agent"))
+    return rows.select("doc_id", "a.action", F.col("a.action_input").alias("input"), T.routed_agent(call, ["en", "fr", "de", "es"]).alias("agent"))
 
 
 @query("SELECT event_id, event_type AS name, props AS arguments FROM events")
@@ -175,6 +157,11 @@ def sentence_split(t):
     return t("documents").select("doc_id", F.size(generators.sentences(F.col("text"))).alias("sentences"))
 
 
-@query("SELECT conv_id, turn, regexp_replace(text, '(?i)ment', '<b>', 'g') AS filled, CASE WHEN contains(text, 'no answer') THEN TRUE ELSE trim(text) = '' END AS none FROM conversations")
+@query("""
+    SELECT conv_id, turn, role || ' of ' || conv_id || ' says: ' || coalesce(text, '') || ' {unknown}' AS filled, none IN ('', 'none', 'resnone') OR contains(none, 'noanswer') AS none
+    FROM (SELECT *, regexp_replace(lower(coalesce(text, '')), '[\\s.。!！"''`{}:]+', '', 'g') AS none FROM conversations)
+""")
 def template_fill(t):
-    return t("conversations").select("conv_id", "turn", F.regexp_replace("text", "(?i)ment", "<b>").alias("filled"), (F.col("text").contains("no answer") | (F.trim("text") == "")).alias("none"))
+    """Literal placeholders; values that look like placeholders come last."""
+    filled = T.fill(F.lit("{role} of {id} says: {text} {unknown}"), {"{role}": F.col("role"), "{id}": F.col("conv_id").cast("string"), "{text}": F.col("text")})
+    return t("conversations").select("conv_id", "turn", filled.alias("filled"), T.no_answer(F.col("text")).alias("none"))
