@@ -1,16 +1,14 @@
-"""Helpers that the training-text operators share: scratch tables, a bounded
-Bloom filter, lookups that hot keys cannot skew, connected components."""
+"""Helpers that the training-text operators share: a bounded Bloom filter, lookups that hot keys cannot skew, connected components."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.scratch import materialize, remove_scratch, scratch_path, shared_dir  # noqa: F401
+
 #: Runs of these characters separate words everywhere in this subpackage.
 SPACES = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -20,57 +18,6 @@ WORDS = r"[^\x20\x09-\x0D]+"
 #: is not hot more than HOT_ROWS rows, whatever the total is.
 HOT_SHARE, HOT_ROWS = 256, 1_000_000
 
-_scratch: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: `spark.checkpoint.dir`, or
-    a local one of our own where that is unset (tests, single machine)."""
-    own = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not own:
-        jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        own = jvm_dir.get() if jvm_dir.isDefined() else None
-    if not own:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        own = "file://" + tempfile.mkdtemp(prefix="weftline-")
-        spark.sparkContext.setCheckpointDir(own)
-    return own.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/weftline-scratch/{name}-{uuid.uuid4().hex}"
-    _scratch.append(path)
-    return path
-
-
-def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-    """Writes `df` to the shared folder and reads it back, which cuts its
-    lineage: a lost executor costs no recomputation, and rows keep the ids
-    they were given. With `by`, a column, each value has a folder of its own."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove_scratch(spark: SparkSession) -> None:
-    """Deletes all scratch tables of this process; results read from them must
-    have been written by then. Also runs at exit."""
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    jvm = spark.sparkContext._jvm
-    while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(conf).delete(path, True)
-
-
-@atexit.register
-def _at_exit() -> None:
-    spark = SparkSession.getActiveSession()
-    if _scratch and spark is not None and spark.sparkContext._jsc is not None:
-        remove_scratch(spark)
-
-
 def columns_of(df: DataFrame) -> list[Column]:
     """Every column, whatever characters its name holds."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
