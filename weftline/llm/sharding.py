@@ -19,7 +19,9 @@ table gives an empty result; other columns are ignored, whatever their names."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -55,6 +57,13 @@ def _key() -> Column:
     return F.when(F.col("dim") == 0, F.col(f"k_{DIMENSIONS[0]}")).when(F.col("dim") == 1, F.col(f"k_{DIMENSIONS[1]}")).otherwise(F.col(f"k_{DIMENSIONS[2]}"))
 
 
+def _table(spark: SparkSession, rows: list[tuple], **types: str) -> DataFrame:
+    """A few rows of numbers as a table, by SQL functions alone: one a node."""
+    schema = ", ".join(f"{c}: {t}" for c, t in types.items())
+    listed = json.dumps([dict(zip(types, r)) for r in rows])
+    return F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(listed), f"array<struct<{schema}>>"))))
+
+
 def _medians(rows: DataFrame, nodes: dict[int, tuple[int, int]]) -> dict[int, int]:
     """rows: node, size, k_*; nodes: node -> (dimension, bytes to go left). The
     key from which each node's right side starts."""
@@ -62,7 +71,7 @@ def _medians(rows: DataFrame, nodes: dict[int, tuple[int, int]]) -> dict[int, in
     steps = (DIM_BITS + TIE_BITS) // RADIX_BITS
     for step in range(1, steps + 1):
         shift = DIM_BITS + TIE_BITS - RADIX_BITS * step
-        asked = F.broadcast(spark.createDataFrame([(n, *x) for n, x in state.items()], "node bigint, dim int, need bigint, low bigint"))  # one row a node
+        asked = _table(spark, [(n, *x) for n, x in state.items()], node="bigint", dim="int", need="bigint", low="bigint")
         keyed = rows.join(asked, "node").select("node", "size", "need", "low", _key().alias("key"))
         bins = keyed.filter(F.shiftright("key", shift + RADIX_BITS) == F.col("low")).groupBy("node", F.shiftright("key", shift).alias("bin")).agg(F.sum("size").alias("bytes"), F.first("need").alias("need"))
         upto = F.sum("bytes").over(W.partitionBy("node").orderBy("bin"))
@@ -100,7 +109,7 @@ def assign(docs: DataFrame, shards: int | None = None, target_bytes: int | None
                 wanted[n] = (widest, stats[n]["bytes"] * (s // 2) // s)
         if wanted:
             starts = _medians(level, wanted)
-            splits = F.broadcast(spark.createDataFrame([(n, wanted[n][0], start) for n, start in starts.items()], "node bigint, dim int, start bigint"))  # one row a node
+            splits = _table(spark, [(n, wanted[n][0], start) for n, start in starts.items()], node="bigint", dim="int", start="bigint")
             side = F.when(F.col("start").isNull(), F.col("node")).otherwise(2 * F.col("node") + F.when(_key() < F.col("start"), 0).otherwise(1))
             level = C.materialize(level.join(splits, "node", "left").withColumn("node", side).drop("dim", "start"), "level")
         for n, s in list(leaves.items()):
@@ -112,7 +121,7 @@ def assign(docs: DataFrame, shards: int | None = None, target_bytes: int | None
     def in_order(n: int) -> list[int]:
         return in_order(2 * n) + in_order(2 * n + 1) if n in kids else [n]
 
-    numbers = F.broadcast(spark.createDataFrame(list(zip(in_order(1), range(shards))), "node bigint, shard int"))  # one row a leaf
+    numbers = _table(spark, list(zip(in_order(1), range(shards))), node="bigint", shard="int")
     return _slots(level.join(numbers, "node").select("doc_id", "size", "text_crc32", "row", "shard"))
 
 
