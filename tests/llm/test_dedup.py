@@ -252,3 +252,12 @@ def test_refinement_by_brute_force(monkeypatch, group):
         seen = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
         want = [seen[t[i : i + 400]] > 1 if i + 400 <= len(t) else False for t in texts for i in range(len(t))]
         assert mask.tolist() == want
+
+
+def test_settings_of_the_session_stay(spark, docs):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    seen = []
+    _common.materialize(docs.select("doc_id").mapInArrow(lambda batches: (seen.append(1) or b for b in batches), "doc_id bigint"), "rows")
+    suffix_dedup.find(docs).count()
+    assert spark.conf.get(key) == before

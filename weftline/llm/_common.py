@@ -1,4 +1,5 @@
-"""Helpers that the training-text operators share: a bounded Bloom filter, lookups that hot keys cannot skew, connected components."""
+"""Helpers that the training-text operators share: scratch tables, a bounded
+Bloom filter, lookups that hot keys cannot skew, connected components."""
 
 from __future__ import annotations
 
@@ -7,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.scratch import materialize, remove_scratch, scratch_path, shared_dir  # noqa: F401
+from weftline import scratch
+from weftline.scratch import remove_scratch, scratch_path, shared_dir  # noqa: F401
 
 #: Runs of these characters separate words everywhere in this subpackage.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -18,6 +20,24 @@ WORDS = r"[^\x20\x09-\x0D]+"
 #: is not hot more than HOT_ROWS rows, whatever the total is.
 HOT_SHARE, HOT_ROWS = 256, 1_000_000
 
+#: Rows that Arrow hands to a worker at a time while a table is written. Spark's
+#: default of 10,000 whole texts, or shingle sets, crowds a small executor.
+BATCH_ROWS = 500
+
+
+def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """`scratch.materialize` with Arrow batches of BATCH_ROWS at most; the
+    session's own setting is back when the table is written."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    if not 0 < int(before) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    try:
+        return scratch.materialize(df, name, by)
+    finally:
+        conf.set(key, before)
+
+
 def columns_of(df: DataFrame) -> list[Column]:
     """Every column, whatever characters its name holds."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
