@@ -42,8 +42,9 @@ ROUNDS, STEPS, SURE = 4, 2, 0.97
 #: Least combined score of a document that is kept.
 THRESHOLD = 0.5
 GRAMS, TEXT_WIDTH, META_WIDTH = 256, 256 + 8, 64 + 32 + 32
-#: Bytes of a text that are hashed at a time.
-STEP = 1 << 20
+#: Bytes of a text that are hashed at a time; documents whose views are in memory
+#: as matrices at a time.
+STEP, ROWS = 1 << 20, 500
 
 
 def text_view(raw: bytes) -> np.ndarray:
@@ -82,6 +83,12 @@ def _matrices(texts: list[bytes], metas: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(texts), dtype=np.float16).reshape(-1, TEXT_WIDTH).astype(np.float32), meta]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _p(logit: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
@@ -167,10 +174,9 @@ def lessons(teacher: Model, students: list[Logistic], xs: list[np.ndarray], weig
 def _pass(teacher: Model, students: list[Logistic], weights: list[list[float]], gram: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: list[np.ndarray | float] = [0.0, 0.0]
-        for batch in batches:
-            if batch.num_rows:
-                for view, found in enumerate(lessons(teacher, students, _matrices(batch.column(0).to_pylist(), batch.column(1).to_pylist()), weights, gram)):
-                    total[view] = total[view] + found
+        for batch in _slices(batches):
+            for view, found in enumerate(lessons(teacher, students, _matrices(batch.column(0).to_pylist(), batch.column(1).to_pylist()), weights, gram)):
+                total[view] = total[view] + found
         for view, found in enumerate(total):
             if np.ndim(found):
                 columns = (np.full(len(found), view, np.int32), np.arange(len(found), dtype=np.int32), found)
@@ -248,7 +254,7 @@ def _columns() -> list:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         texts = [text_view(t.as_py()).tobytes() for t in batch.column(2)]
         metas = [np.array(meta_view(*r), dtype=np.int16).tobytes() for r in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist())]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.binary()), pa.array(metas, pa.binary())], ["doc_id", "quality", "text_view", "meta_view"])
@@ -283,7 +289,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(seen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = _scores(model, _matrices(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found)], ["doc_id", "p_text", "p_meta", "score"])
 
@@ -297,8 +303,11 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.arrow_udf("double")
     def own(parts: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for text, lang, source, n_chars in parts:
-            metas = [np.array(meta_view(*r), dtype=np.int16).tobytes() for r in zip(lang.to_pylist(), source.to_pylist(), n_chars.to_pylist())]
-            yield pa.array(_scores(model, _matrices([text_view(t.as_py()).tobytes() for t in text], metas))[2], pa.float64())
+        for columns in parts:
+            found = []
+            for text, *meta in (b.columns for b in _slices([pa.RecordBatch.from_arrays(columns, list("tlsn"))])):
+                metas = [np.array(meta_view(*r), dtype=np.int16).tobytes() for r in zip(*(c.to_pylist() for c in meta))]
+                found.append(_scores(model, _matrices([text_view(t.as_py()).tobytes() for t in text], metas))[2])
+            yield pa.array(np.concatenate([*found, np.zeros(0)]), pa.float64())
 
     return docs.select(F.struct(*C.columns_of(docs)).alias("whole"), own(*_columns()).alias("score")).filter(F.col("score") >= THRESHOLD).select("whole.*")
