@@ -305,7 +305,7 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def own(parts: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for columns in parts:
             found = []
-            for text, *meta in (b.columns for b in _slices([pa.RecordBatch.from_arrays(columns, list("tlsn"))])):
+            for text, *meta in (b.columns for b in _slices([pa.RecordBatch.from_arrays(list(columns), list("tlsn"))])):
                 metas = [np.array(meta_view(*r), dtype=np.int16).tobytes() for r in zip(*(c.to_pylist() for c in meta))]
                 found.append(_scores(model, _matrices([text_view(t.as_py()).tobytes() for t in text], metas))[2])
             yield pa.array(np.concatenate([*found, np.zeros(0)]), pa.float64())
