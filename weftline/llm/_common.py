@@ -3,8 +3,14 @@ Bloom filter, lookups that hot keys cannot skew, connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +44,26 @@ def materialize(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
         conf.set(key, before)
 
 
+def lean(f: Callable) -> Callable:
+    """A function over Arrow batches that, before and after, gives the memory
+    its worker has freed back to the system: workers live on from stage to
+    stage, beside the JVM."""
+
+    def trim() -> None:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            with suppress(OSError, AttributeError):  # other C libraries have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    def run(batches: Iterator) -> Iterator:
+        trim()
+        yield from f(batches)
+        trim()
+
+    return run
+
+
 def columns_of(df: DataFrame) -> list[Column]:
     """Every column, whatever characters its name holds."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

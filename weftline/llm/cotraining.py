@@ -188,7 +188,7 @@ def _pass(teacher: Model, students: list[Logistic], weights: list[list[float]],
 def taught(pool: DataFrame, teacher: Model, students: list[Logistic], weights: list[list[float]], gram: bool) -> list[np.ndarray]:
     """`lessons` over all rows of `pool`, summed up in Spark. What is collected
     has as many rows as the views have columns, or pairs of them."""
-    rows = pool.select("text_view", "meta_view").mapInArrow(_pass(teacher, students, weights, gram), "view int, i int, value double").groupBy("view", "i").agg(F.sum("value").alias("value")).toArrow()
+    rows = pool.select("text_view", "meta_view").mapInArrow(C.lean(_pass(teacher, students, weights, gram)), "view int, i int, value double").groupBy("view", "i").agg(F.sum("value").alias("value")).toArrow()
     out = []
     for view, width in enumerate((TEXT_WIDTH + 1, META_WIDTH + 1)):
         sums = np.zeros(2 + width + gram * width * (width + 1) // 2)
@@ -264,7 +264,7 @@ def views(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, quality (null: not in the sample), text_view, meta_view of every row."""
     sample = F.broadcast(C.materialize(labelled(docs, labels), "labelled"))  # MAX_LABELLED rows at most
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *_columns()).join(sample, "doc_id", "left")
-    return C.materialize(rows.select("doc_id", "quality", "text", "lang", "source", "n_chars").mapInArrow(_extract, "doc_id bigint, quality int, text_view binary, meta_view binary"), "views")
+    return C.materialize(rows.select("doc_id", "quality", "text", "lang", "source", "n_chars").mapInArrow(C.lean(_extract), "doc_id bigint, quality int, text_view binary, meta_view binary"), "views")
 
 
 def fit(seen: DataFrame) -> Model | None:

@@ -30,6 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm._common import lean
+
 
 MARK = "▁"
 #: Piece types of the model format.
@@ -37,7 +39,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Bytes of each of the two generations of chunks that a worker remembers, and
 #: what an entry takes besides its text and ids.
-REMEMBERED, ENTRY = 32 << 20, 200
+REMEMBERED, ENTRY = 16 << 20, 200
 #: Texts encoded at a time, chunks encoded as one string, and threads (as many as
 #: the task has cores, two at least).
 BATCH, TOGETHER, THREADS = 500, 500, 2
@@ -299,7 +301,7 @@ def encode(docs: DataFrame, model_path: str, check: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(agree), pa.array(same), pa.array(digests)], ["doc_id", "ids", "agree", "round_trip", "decoded_sha256"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id bigint, ids array<int>, agree boolean, round_trip boolean, decoded_sha256 string")
+    return rows.mapInArrow(lean(run), "doc_id bigint, ids array<int>, agree boolean, round_trip boolean, decoded_sha256 string")
 
 
 def lengths(docs: DataFrame, model_path: str) -> DataFrame:
@@ -314,4 +316,4 @@ def lengths(docs: DataFrame, model_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.int64())], ["doc_id", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id bigint, tokens bigint")
+    return rows.mapInArrow(lean(run), "doc_id bigint, tokens bigint")
