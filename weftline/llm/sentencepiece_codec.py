@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from weftline.llm._common import lean
 
-
 MARK = "▁"
 #: Piece types of the model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
