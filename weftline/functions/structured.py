@@ -62,7 +62,8 @@ def first_of_list(s: Column) -> Column:
 
 
 def nested_objects(s: Column) -> Column:
-    """All objects with at most one level of nesting in a text."""
+    """All objects with at most one level of nesting in a text (the pattern is a
+    fixed value)."""
     return F.regexp_extract_all(s, F.lit(r"\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}"), F.lit(0))
 
 

@@ -183,6 +183,7 @@ def same_language(query: Column, answer: Column) -> Column:
 def clean_paragraph(s: Column) -> Column:
     """Drops (cid:n) marks and runs of 21 or more hex digits; runs of seven or
     more placeholders become a tab; three or more newlines two."""
+    # What counts as a mark, a hex run or a placeholder.
     steps = [(r"\(cid:\d+\)", ""), (r"[0-9A-Fa-f]{21,}", ""), (r"[.\- —。_*]{7,}", "\t"), (r"\n{3,}", "\n\n")]
     return reduce(lambda x, step: F.regexp_replace(x, *step), steps, s)
 
@@ -219,7 +220,8 @@ def html_title(html: Column) -> Column:
 
 # -- tokens ---------------------------------------------------------------------------------
 
-#: Words that searches ignore, in the order they were published.
+#: Words that searches ignore, in the order they were published; the
+#: punctuation among them is in PUNCTUATION.
 STOP_WORDS = """
 i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself yourselves he him his himself
 she she's her hers herself it it's its itself they them their theirs themselves what which who whom this that that'll

@@ -69,6 +69,7 @@ DIALECTS = {"tags": (render_tags, parse_tags), "marks": (render_marks, parse_mar
 
 def describe_function(tool: Column, lang: str = "en") -> Column:
     """The description of one tool in a prompt, in English or Chinese."""
+    # The wording that prompts have.
     template = {
         "en": "### %1$s\n\n%1$s: %2$s Parameters: %3$s Format the arguments as a JSON object.",
         "zh": "### %1$s\n\n%1$s: %2$s 输入参数：%3$s 此工具的输入应为JSON对象。",
