@@ -93,7 +93,7 @@ def clean_paragraph(t):
            CASE WHEN size > 256 THEN substr(text, 1, 128) || '...' || right(text, 128) ELSE text END AS short, sha256(text) AS digest,
            CASE WHEN size <= 400 THEN text ELSE substr(text, 1, 200) || chr(10) || '...' || chr(10) || right(text, 200) END AS compact, split_part(text, 'the', 1) AS cut
     FROM n
-""".replace("\\P", "\P"))
+""")
 def document_text_functions(t):
     """Texts with no, some and mostly Chinese signs."""
     x = F.col("text")
