@@ -247,6 +247,15 @@ def raw_tokens(s: Column) -> Column:
     return F.regexp_extract_all(strip_space(F.lower(s)), F.lit(TOKEN), F.lit(0))
 
 
+def word_pieces(s: Column) -> Column:
+    """`raw_tokens`; of texts with Chinese, also the pairs of neighbours in each
+    run of Chinese signs, and signs that stand alone, in place of whole runs.
+    Pairs need no dictionary, and find every word of two signs or more."""
+    pairs = F.regexp_extract_all(s, F.lit(r"(?=([一-鿿]{2}))"), F.lit(1))
+    alone = F.regexp_extract_all(s, F.lit(r"(?<![一-鿿])[一-鿿](?![一-鿿])"), F.lit(0))
+    return F.when(has_cjk(s), F.concat(raw_tokens(F.regexp_replace(s, r"[一-鿿]+", " ")), pairs, alone)).otherwise(raw_tokens(s))
+
+
 def clean_token(t: Column) -> Column:
     """A raw token without punctuation around it; special cases stay."""
     return F.when(t.rlike(_SPECIAL), t).otherwise(F.btrim(t, F.lit(PUNCTUATION)))
@@ -258,9 +267,10 @@ def is_term(t: Column) -> Column:
 
 
 def search_tokens(s: Column) -> Column:
-    """Clean search terms in order; repeats stay. Not stemmed. To count terms of
-    many texts, explode `raw_tokens` first: then the rest is compiled."""
-    return F.filter(F.transform(raw_tokens(s), clean_token), is_term)
+    """Clean search terms, in order within a script; repeats stay. Not stemmed.
+    To count terms of many texts, explode `word_pieces` first: then the rest is
+    compiled."""
+    return F.filter(F.transform(word_pieces(s), clean_token), is_term)
 
 
 #: The default token counter: runs of letters and digits, single CJK

@@ -14,16 +14,40 @@ from pyspark.sql import Window as W
 
 from weftline.functions import structured as S
 from weftline.functions import text as T
+from weftline.functions.stem import stem
 from weftline.scratch import materialize
 
 
-def terms(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+def terms(df: DataFrame, keys: list[str], text: str, stemmed: bool = True) -> DataFrame:
     """keys, term, tf. Equal raw tokens of a text are counted before they are
-    cleaned; a token is cleaned once (what an explode makes, filters and
-    aggregates above can't ask for again)."""
-    raw = df.select(*keys, F.explode(T.raw_tokens(F.col(text))).alias("raw")).groupBy(*keys, "raw").agg(F.count("*").alias("n"))
+    cleaned and stemmed; a token is cleaned once (what an explode makes, filters
+    and aggregates above can't ask for again). Stop words go before and after
+    stemming."""
+    raw = df.select(*keys, F.explode(T.word_pieces(F.col(text))).alias("raw")).groupBy(*keys, "raw").agg(F.count("*").alias("n"))
     clean = raw.select(*keys, "n", F.explode(F.array(T.clean_token(F.col("raw")))).alias("term"))
-    return clean.filter((F.col("term") != "") & ~F.col("term").isin(T.STOP_WORDS)).groupBy(*keys, "term").agg(F.sum("n").alias("tf"))
+    return _counted(clean, keys, stemmed)
+
+
+def _counted(words: DataFrame, keys: list[str], stemmed: bool) -> DataFrame:
+    """keys, term, n to keys, term, tf without stop words."""
+    kept = (F.col("term") != "") & ~F.col("term").isin(T.STOP_WORDS)
+    words = words.filter(kept)
+    if stemmed:
+        words = words.withColumn("term", stem(F.col("term"))).filter(kept)
+    return words.groupBy(*keys, "term").agg(F.sum("n").alias("tf"))
+
+
+def keyword_terms(requests: DataFrame, keys: list[str], request: str, stemmed: bool = True) -> DataFrame:
+    """keys, term, tf of search requests: a JSON object with text and lists
+    keywords_zh and keywords_en, whose members are terms as they are, in lower
+    case; any other request is plain text. A list that is none, or null, adds
+    nothing. Without a text in the object, it counts as plain text itself."""
+    v = S.strict_json(T.strip_space(F.col(request)))
+    listed = [F.coalesce(F.try_variant_get(v, f"$.{c}", "array<string>"), F.array().cast("array<string>")) for c in ("keywords_zh", "keywords_en")]
+    said = F.try_variant_get(v, "$.text", "string")
+    rows = requests.select(*keys, F.coalesce(said, F.col(request)).alias("_text"), F.when(said.isNotNull(), F.concat(*listed)).alias("_listed"))
+    given = _counted(rows.select(*keys, F.explode("_listed").alias("term")).select(*keys, F.lower("term").alias("term"), F.lit(1).alias("n")), keys, stemmed)
+    return given.unionByName(terms(rows, keys, "_text", stemmed)).groupBy(*keys, "term").agg(F.sum("tf").alias("tf"))
 
 
 def corpus_stats(tf: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -33,19 +57,20 @@ def corpus_stats(tf: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     return tf.groupBy("term").agg(F.count("*").alias("df")), lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
 
 
-def bm25(chunks: DataFrame, queries: DataFrame, keys: list[str], query: str, text: str = "text", query_text: str = "text") -> DataFrame:
-    """query, keys, score of all chunks that share a term with a query. Query
+def bm25(chunks: DataFrame, queries: DataFrame, keys: list[str], query: str, text: str = "text", query_text: str = "text", stemmed: bool = True) -> DataFrame:
+    """query, keys, score of all chunks that share a term with a query, which is
+    text or a keyword request. Query
     terms count as often as they occur; a negative idf becomes a quarter of the
     vocabulary's mean. Only postings of the queries' terms are joined. The
     postings are written to the shared folder, as statistics and scores read
     them five times: the texts are read and cut into tokens once."""
-    tf = materialize(terms(chunks, keys, text), "postings")
+    tf = materialize(terms(chunks, keys, text, stemmed), "postings")
     lengths = tf.groupBy(*keys).agg(F.sum("tf").alias("dl"))
     df, totals = corpus_stats(tf, keys)
     raw = F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     idf = df.join(F.broadcast(totals)).withColumn("idf", raw)
     mean = F.broadcast(idf.agg(F.avg("idf").alias("mean_idf")))
-    asked = terms(queries, [query], query_text).withColumnRenamed("tf", "qtf")
+    asked = keyword_terms(queries, [query], query_text, stemmed).withColumnRenamed("tf", "qtf")
     weights = asked.join(idf, "term").join(mean).select(query, "term", "qtf", "avgdl", F.when(F.col("idf") < 0, 0.25 * F.col("mean_idf")).otherwise(F.col("idf")).alias("idf"))
     hits = weights.join(tf, "term").join(lengths, keys)
     return hits.groupBy(query, *keys).agg(F.sum(F.col("qtf") * S.bm25(F.col("tf"), F.col("idf"), F.col("dl"), F.col("avgdl"))).alias("score"))

@@ -22,7 +22,41 @@ _TOKENS = rf"""
 
 @query(f"WITH src AS (SELECT doc_id AS id, text FROM documents), {_TOKENS} SELECT term, count(*) AS df FROM tf GROUP BY 1")
 def token_stats(t):
-    return retrieval.corpus_stats(retrieval.terms(t("documents"), ["doc_id"], "text"), ["doc_id"])[0]
+    return retrieval.corpus_stats(retrieval.terms(t("documents"), ["doc_id"], "text", stemmed=False), ["doc_id"])[0]
+
+
+@query(rf"""
+    WITH zh AS (SELECT doc_id AS id, regexp_replace(text, '[ \n]', '中文', 'g') AS text FROM documents WHERE doc_id % 2 = 0),
+    src AS (SELECT id, regexp_replace(text, '[一-鿿]+', ' ', 'g') AS text FROM zh UNION ALL SELECT doc_id, text FROM documents WHERE doc_id % 2 = 1), {_TOKENS},
+    runs AS (SELECT id, unnest(regexp_extract_all(text, '[一-鿿]+')) AS r FROM zh), pairs AS (SELECT id, substr(r, i, 2) AS term FROM (SELECT id, r, unnest(range(1, length(r))) AS i FROM runs))
+    SELECT term, count(*) AS df, sum(tf)::BIGINT AS tf FROM (FROM tf UNION ALL SELECT id, term, count(*) FROM pairs GROUP BY ALL) GROUP BY 1
+""")
+def chinese_terms(t):
+    """half the texts with Chinese words for blanks; the others as they are."""
+    text = F.when(F.col("doc_id") % 2 == 0, F.regexp_replace("text", "[ \n]", "中文")).otherwise(F.col("text"))
+    tf = retrieval.terms(t("documents").select("doc_id", text.alias("text")), ["doc_id"], "text", stemmed=False)
+    return tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+
+
+@query()
+def stemmed_search(t):
+    """the ten best documents by stems; every second item is a keyword
+    request. Stemming is no SQL; tests hold it against published pairs."""
+    request = F.when(F.col("item_id") % 2 == 0, F.to_json(F.struct(F.array(F.lit("作者")).alias("keywords_zh"), F.slice(F.split("text", " "), 1, 3).alias("keywords_en"), "text"))).otherwise(F.col("text"))
+    scores = retrieval.bm25(t("documents"), t("benchmark").select("item_id", request.alias("text")), ["doc_id"], "item_id")
+    return retrieval.top_k(scores.withColumn("score", F.round("score", 6)), ["item_id"], ["doc_id"], 10)
+
+
+@query(rf"""
+    WITH src AS (SELECT item_id AS id, text FROM benchmark UNION ALL SELECT item_id, 'note ' || item_id FROM benchmark WHERE item_id % 2 = 0), {_TOKENS},
+    k AS (SELECT item_id, unnest(['作者', 'core formula', 'note']) AS term FROM benchmark WHERE item_id % 2 = 0)
+    SELECT item_id, term, sum(tf)::BIGINT AS tf FROM (SELECT id AS item_id, term, tf FROM tf UNION ALL SELECT item_id, term, 1 FROM k) GROUP BY ALL
+""")
+def keyword_requests(t):
+    """keywords as they are, the text's terms beside them; plain text."""
+    said = F.to_json(F.struct(F.array(F.lit("作者"), F.lit("的")).alias("keywords_zh"), F.array(F.lit("Core Formula"), F.lit("note"), F.lit("The")).alias("keywords_en"), F.concat("text", F.lit(" note "), F.col("item_id").cast("string")).alias("text")))
+    rows = t("benchmark").select("item_id", F.when(F.col("item_id") % 2 == 0, said).otherwise(F.col("text")).alias("text"))
+    return retrieval.keyword_terms(rows, ["item_id"], "text", stemmed=False)
 
 
 _BM25 = f"""
@@ -37,7 +71,7 @@ _BM25 = f"""
 
 
 def _bm25(t):
-    scores = retrieval.bm25(t("documents"), t("benchmark"), ["doc_id"], "item_id")
+    scores = retrieval.bm25(t("documents"), t("benchmark"), ["doc_id"], "item_id", stemmed=False)
     return retrieval.ranked(scores.withColumn("score", F.round("score", 6)), ["item_id"], ["doc_id"])
 
 
@@ -131,4 +165,4 @@ def vector_knn(t):
     SELECT term, round(sum(w / norm), 6) AS weight FROM w JOIN l USING (id) GROUP BY 1
 """)
 def tfidf_vocab(t):
-    return retrieval.tfidf_vocabulary(retrieval.terms(t("documents"), ["doc_id"], "text"), "doc_id").withColumn("weight", F.round("weight", 6))
+    return retrieval.tfidf_vocabulary(retrieval.terms(t("documents"), ["doc_id"], "text", stemmed=False), "doc_id").withColumn("weight", F.round("weight", 6))
