@@ -173,6 +173,25 @@ def office_documents(t):
     return documents.parse(found).select("path", "page_num", "paragraph", "kind", "text")
 
 
+@query("""
+    SELECT p_partkey || '.pdf' AS path, 1 AS page_num, 0 AS paragraph, p_name || ' (' || p_brand || ')' AS text FROM part
+    UNION ALL SELECT p_partkey || '.pdf', 1, 1, 'first ' || p_type || chr(10) || 'second ' || p_size || ' same line' FROM part
+    UNION ALL SELECT p_partkey || '.pdf', 2, 0, p_type || ' on another page' FROM part
+""")
+def pdf_documents(t):
+    """A heading, a paragraph of two lines, and a second page."""
+    text = lambda c: F.concat(F.lit("("), F.regexp_replace(c, r"([()\\\\])", r"\\$1"), F.lit(")"))
+    name, kind = F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")")), F.col("p_type")
+    one = F.concat(F.lit("BT /F1 20 Tf 50 700 Td "), text(name), F.lit(" Tj ET BT /F1 10 Tf 12 TL 50 600 Td "), text(F.concat(F.lit("first "), kind)), F.lit(" Tj T* "), text(F.concat(F.lit("second "), F.col("p_size").cast("string"))), F.lit(" Tj 90 0 Td [(sa) 20 (me) -300 (line)] TJ ET"))
+    two = F.concat(F.lit("BT /F1 10 Tf 50 700 Td "), text(kind), F.lit(" Tj 1 0 0 1 50 400 Tm (on another page) Tj ET"))
+    stream = lambda n, body: F.concat(F.lit(f"{n} 0 obj << /Length "), F.octet_length(body).cast("string"), F.lit(" >>\nstream\n"), body, F.lit("\nendstream\nendobj\n"))
+    page = "/Type /Page /Parent 2 0 R /Resources << /Font << /F1 7 0 R >> >>"
+    head = f"%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n2 0 obj << /Type /Pages /Kids [3 0 R 4 0 R] /Count 2 >> endobj\n3 0 obj << {page} /Contents 5 0 R >> endobj\n4 0 obj << {page} /Contents [6 0 R] >> endobj\n7 0 obj << /Type /Font /Subtype /Type1 >> endobj\n"
+    content = F.encode(F.concat(F.lit(head), stream(5, one), stream(6, two), F.lit("%%EOF")), "UTF-8")
+    found = t("part").select(F.concat(F.col("p_partkey").cast("string"), F.lit(".pdf")).alias("path"), F.lit("pdf").alias("kind"), content.alias("content"))
+    return documents.parse(found).select("path", "page_num", "paragraph", "text")
+
+
 @query("SELECT c_custkey, c_name || ' é' AS text FROM customer")
 def charset_fallback(t):
     """UTF-8 where it is valid, else Latin-1."""

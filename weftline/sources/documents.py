@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import text as T
-from weftline.sources import readers
+from weftline.sources import pdf, readers
 
 PAGES = "path string, title string, page_num int, paragraph int, kind string, text string"
 
@@ -102,13 +102,16 @@ def _delimited(data: bytes, separator: str) -> Iterator[tuple[int, int, str, str
     yield 1, 0, "table", _table([list(frame.columns), *frame.values.tolist()])
 
 
-PARSERS = {"docx": _word, "pptx": _slides, "xlsx": _sheets, "csv": lambda d: _delimited(d, ","), "tsv": lambda d: _delimited(d, "\t")}
+def _pdf(data: bytes) -> Iterator[tuple[int, int, str, str]]:
+    yield from ((page, i, "text", text) for page, i, text in pdf.paragraphs(data))
+
+
+PARSERS = {"pdf": _pdf, "docx": _word, "pptx": _slides, "xlsx": _sheets, "csv": lambda d: _delimited(d, ","), "tsv": lambda d: _delimited(d, "\t")}
 
 
 def binary_pages(found: DataFrame) -> DataFrame:
     """path, kind, content to pages; a file that does not parse, or has no
-    parser (such as PDF, which needs a library of its own), gives one row of
-    kind error."""
+    parser, gives one row of kind error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -127,8 +130,9 @@ def parse(found: DataFrame) -> DataFrame:
     """All files of `readers.files` to pages, by kind."""
     as_text = found.withColumn("value", readers.decode_text(F.col("content")))
     html, plain = as_text.filter("kind = 'html'"), as_text.filter("kind IN ('txt', 'md', 'json', 'jsonl')")
-    other = found.filter("kind NOT IN ('html', 'txt', 'md', 'json', 'jsonl')")
-    return binary_pages(other).unionByName(html_pages(html)).unionByName(text_pages(plain))
+    other = found.filter("kind NOT IN ('html', 'txt', 'md', 'json', 'jsonl', 'pdf')")
+    printed = binary_pages(found.filter("kind = 'pdf'")).withColumn("text", F.when(F.col("kind") == "text", T.clean_paragraph(F.col("text"))).otherwise(F.col("text")))
+    return binary_pages(other).unionByName(_counted(printed.drop("token"))).unionByName(html_pages(html)).unionByName(text_pages(plain))
 
 
 def parse_cached(found: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
