@@ -132,7 +132,7 @@ def fncall_codec(t):
 @query(r"""
     WITH b AS (SELECT page_id, regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<!doctype[^>]*>', '', 'g') AS x FROM pages),
     c AS (SELECT page_id, regexp_replace(regexp_replace(x, '(?i)<(?:br|/p|/div|/h[1-6]|/li|/title|/tr)\b[^>]*>', chr(10), 'g'), '(?s)<[^>]+>', '', 'g') AS x FROM b),
-    d AS (SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\n+', chr(10), 'g') AS x FROM c),
+    d AS (SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\n+', chr(10), 'g') AS x FROM c),
     e AS (SELECT page_id, unnest(string_split(x, chr(10))) AS p FROM d),
     f AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(p, '\(cid:\d+\)', '', 'g'), '[0-9A-Fa-f]{21,}', '', 'g'), '[.\- —。_*]{7,}', chr(9), 'g') AS p FROM e)
     SELECT page_id, count(*) AS n, sum(length(p))::BIGINT AS chars FROM f WHERE regexp_replace(p, '\s+', '', 'g') <> '' GROUP BY 1
@@ -142,6 +142,15 @@ def html_to_paragraphs(t):
     return rows.groupBy(F.col("path").alias("page_id")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
+@query("""
+    SELECT page_id, url || ' ééé©' || chr(128512) || ' <b> &unknown; &#0; &eacute; &lt; &&' || page_id AS text FROM pages
+""")
+def html_entities(t):
+    """Entities of all three kinds; none is decoded twice."""
+    html = F.concat(F.lit("<div><p>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("&nbsp;&eacute;&#233;&#xE9;&copy;&#128512; &lt;b&gt; &unknown; &#0; &amp;eacute; &#38;lt; &#x26;&amp;"), F.col("page_id").cast("string"))
+    return t("pages").select("page_id", T.html_to_text(html).alias("text"))
+
+
 @query()
 def chunk_documents(t):
     """Greedy packing is no SQL; tests compare it with its invariants."""
