@@ -165,9 +165,14 @@ def test_streams(spark, tmp_path):
     for _ in range(2):
         incremental.resumable(source, lambda df: df.withColumn("out", F.upper("role")), f"{tmp_path}/out", f"{tmp_path}/cp", "conv_id").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+    # New rows come with an old key; what an earlier job did is left out.
+    spark.createDataFrame([(2, "user"), (3, "user"), (4, "user")], schema).write.mode("append").parquet(f"{tmp_path}/in")
+    done = spark.createDataFrame([(4,)], "conv_id bigint")
+    incremental.resumable(source, lambda df: df.withColumn("out", F.upper("role")), f"{tmp_path}/out", f"{tmp_path}/cp", "conv_id", done).awaitTermination()
+    assert sorted(r.conv_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2, 3]
     query = incremental.conversation_state(source).writeStream.outputMode("update").format("memory").queryName("state").option("checkpointLocation", f"{tmp_path}/cp2").trigger(availableNow=True).start()
     query.awaitTermination()
-    assert rows(spark.table("state")) == [(1, 2, 1), (2, 2, 2)]
+    assert rows(spark.table("state")) == [(1, 2, 1), (2, 3, 3), (3, 1, 1), (4, 1, 1)]
 
 
 def test_deltas_and_fragments(spark):

@@ -11,21 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def resumable(source: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str) -> StreamingQuery:
-    """Each micro-batch: rows whose key is not in `out` yet go through `work`
-    and are appended. Spark's checkpoint keeps what was read, the anti-join
-    makes a batch that is repeated after a failure harmless."""
+def resumable(source: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str, done: DataFrame | None = None) -> StreamingQuery:
+    """Every key goes through `work` once, in the micro-batch that first has it.
+    Keys are kept in the stream's state, so that a batch costs its own rows and
+    not all earlier ones (use the RocksDB state store for many). A batch is a
+    folder `batch_id=n` of `out`, written anew if it is repeated after a failure.
+    Rows whose key is in `done`, the output of an earlier job, are left out."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        spark = rows.sparkSession
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
-        there = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-        todo = rows.dropDuplicates([key])
-        if there:
-            todo = todo.join(spark.read.parquet(out).select(key), key, "left_anti")
-        work(todo).write.mode("append").parquet(out)
+        todo = rows if done is None else rows.join(done.select(key), key, "left_anti")
+        work(todo).write.mode("overwrite").parquet(f"{out}/batch_id={number}")
 
-    return source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return source.dropDuplicates([key]).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def join_deltas(deltas: DataFrame, stream: str = "stream", seq: str = "seq", delta: str = "delta") -> DataFrame:
@@ -52,15 +49,23 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes
     return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "user_id", "n")
 
 
-def conversation_state(messages: DataFrame) -> DataFrame:
+def conversation_state(messages: DataFrame, idle_ms: int | None = None) -> DataFrame:
     """Stateful fold over a stream of (conv_id, role): after each micro-batch,
-    one row for each conversation in it with its messages and user turns so far."""
+    one row for each conversation in it with its messages and user turns so far.
+    A conversation without messages for `idle_ms` is forgotten; such a stream
+    goes on without data, so it is none for an availableNow trigger."""
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         n, users = state.get if state.exists else (0, 0)
         for f in frames:
             n, users = n + len(f), users + int((f["role"] == "user").sum())
         state.update((n, users))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({"conv_id": [key[0]], "messages": [n], "user_turns": [users]})
 
-    return messages.groupBy("conv_id").applyInPandasWithState(fold, "conv_id bigint, messages bigint, user_turns bigint", "messages bigint, user_turns bigint", "update", "NoTimeout")
+    timeout = "ProcessingTimeTimeout" if idle_ms else "NoTimeout"
+    return messages.groupBy("conv_id").applyInPandasWithState(fold, "conv_id bigint, messages bigint, user_turns bigint", "messages bigint, user_turns bigint", "update", timeout)
