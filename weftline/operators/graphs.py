@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from weftline.functions import structured as S
+from weftline.operators import scan
 from weftline.scratch import materialize
 
 
@@ -20,8 +20,8 @@ def edges_from_chains(chains: DataFrame, graph: str, chain: str, nodes: str) ->
 
 def edges_from_log(log: DataFrame, graph: str, order: list[str], node: str) -> DataFrame:
     """The same from rows in order."""
-    nxt = F.lead(node).over(W.partitionBy(graph).orderBy(*order))
-    return log.select(F.col(node).alias("src"), nxt.alias("dst")).filter("dst IS NOT NULL").distinct()
+    out = scan.ordered(log, [graph], order).scan(_dst=scan.following(node)).rows
+    return out.select(F.col(node).alias("src"), F.col("_dst").alias("dst")).filter("dst IS NOT NULL").distinct()
 
 
 def walks(edges: DataFrame, least: int = 2, most: int = 5, graph: str | None = None) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from weftline.operators import scan
 
 
 def dependencies(steps: DataFrame, record: str = "uuid", step: str = "_uuid", needs: str = "dependency") -> DataFrame:
@@ -43,9 +44,8 @@ def results_with_calls(results: DataFrame, calls: DataFrame, record: str, call:
 
 def nearest_before(rows: DataFrame, record: str, name: str, order: str, is_call: Column, value: str, alias: str) -> DataFrame:
     """As-of match: for each row the `value` of the latest earlier call of the
-    same record and name. One window pass; no join."""
-    w = W.partitionBy(record, name).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    return rows.withColumn(alias, F.last(F.when(is_call, F.col(value)), ignorenulls=True).over(w))
+    same record and name. One scan; no join of rows with rows."""
+    return scan.ordered(rows, [record, name], [order]).scan(**{alias: scan.last_before(F.when(is_call, F.col(value)))}).plain()
 
 
 def zip_equal(calls: Column, results: Column) -> Column:

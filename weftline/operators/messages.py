@@ -1,74 +1,81 @@
 """Previous, next, islands, turns and running budgets over messages. Messages
-are rows (record, idx, role, text, ...); windows run inside one record."""
+are rows (record, idx, role, text, ...); scans run inside one record, which may be
+longer than a task can hold (`operators/scan.py`)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
+from weftline.operators import scan
 
-def _w(record: str, order: str) -> W:
-    return W.partitionBy(record).orderBy(order)
+
+def _logs(rows: DataFrame, record: str, order: str) -> scan.Ordered:
+    return scan.ordered(rows, [record], [order])
 
 
 def plan_segments(rows: DataFrame, record: str = "conv_id", order: str = "turn", role: str = "role", speaker: str = "assistant", tool: str = "tool", has_calls: Column | None = None) -> DataFrame:
     """Speaker rows behind a tool row, with calls, and with a later tool row."""
-    w = _w(record, order)
-    later = F.max(F.when(F.col(role) == tool, F.col(order))).over(W.partitionBy(record))
-    out = rows.withColumns({"_prev": F.lag(role).over(w), "_last": later})
+    out = _logs(rows, record, order).scan(_prev=scan.previous(role), _last=scan.largest(F.when(F.col(role) == tool, F.col(order)))).plain()
     calls = F.lit(True) if has_calls is None else has_calls
     return out.filter((F.col(role) == speaker) & (F.col("_prev") == tool) & calls & (F.col("_last") > F.col(order))).drop("_prev", "_last")
 
 
+def _islands(logs: scan.Ordered, value: str) -> scan.Ordered:
+    """The first row of a record, whose previous row is missing, opens island 1
+    like any row that differs from the one before."""
+    marked = logs.scan(_before=scan.previous(F.struct(F.col(value).alias("x"))))
+    change = F.when(F.col("_before").isNotNull() & F.col("_before.x").eqNullSafe(F.col(value)), 0).otherwise(1)
+    return marked.columns(_change=change).scan(island=scan.running_sum("_change"))
+
+
 def islands(rows: DataFrame, record: str, order: str, value: str) -> DataFrame:
     """Adds island: the number of the maximal run of equal values, from 1."""
-    w = _w(record, order)
-    change = F.when(F.lag(value).over(w).eqNullSafe(F.col(value)), 0).otherwise(1)
-    return rows.withColumn("_change", change).withColumn("island", F.sum("_change").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_change")
+    return _islands(_logs(rows, record, order), value).plain().drop("_before", "_change")
 
 
 def tool_batches(rows: DataFrame, record: str, order: str, role: str, tool: str) -> DataFrame:
     """Maximal runs of tool rows that have a follower which has a later tool
     row: record, island, first, last, n, follower."""
-    w = _w(record, order)
-    marked = islands(rows, record, order, role).withColumns({"_next": F.lead(order).over(w), "_last_tool": F.max(F.when(F.col(role) == tool, F.col(order))).over(W.partitionBy(record))})
+    marked = _islands(_logs(rows, record, order), role).scan(_next=scan.following(order), _last_tool=scan.largest(F.when(F.col(role) == tool, F.col(order)))).plain()
     runs = marked.filter(F.col(role) == tool).groupBy(record, "island").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"), F.max_by("_next", order).alias("follower"), F.max("_last_tool").alias("_last_tool"))
     return runs.filter(F.col("follower").isNotNull() & (F.col("_last_tool") > F.col("follower"))).drop("_last_tool")
 
 
 def first_exchange(rows: DataFrame, record: str, order: str, role: str, text: str) -> DataFrame:
     """The first assistant row, and the last user row before it."""
-    first = F.min(F.when(F.col(role) == "assistant", F.col(order))).over(W.partitionBy(record))
-    out = rows.withColumn("_first", first)
+    out = _logs(rows, record, order).scan(_first=scan.smallest(F.when(F.col(role) == "assistant", F.col(order)))).plain()
     user = (F.col(role) == "user") & (F.col(order) < F.col("_first"))
     return out.groupBy(record).agg(F.max_by(F.when(user, F.col(text)), F.when(user, F.col(order))).alias("query"), F.min_by(F.when(F.col(role) == "assistant", F.col(text)), F.when(F.col(role) == "assistant", F.col(order))).alias("response")).filter("response IS NOT NULL")
 
 
 def query_and_answer(rows: DataFrame, record: str, order: str, text: str) -> DataFrame:
     """Second message and last message."""
-    n = F.row_number().over(_w(record, order))
-    return rows.withColumn("_n", n).groupBy(record).agg(F.max(F.when(F.col("_n") == 2, F.col(text))).alias("query"), F.max_by(text, order).alias("answer"))
+    out = _logs(rows, record, order).scan(_n=scan.running_sum(F.lit(1))).plain()
+    return out.groupBy(record).agg(F.max(F.when(F.col("_n") == 2, F.col(text))).alias("query"), F.max_by(text, order).alias("answer"))
 
 
 def turns(rows: DataFrame, record: str, order: str, role: str) -> DataFrame:
     """Adds turn_no: a user row opens a turn; 0 before the first."""
-    return rows.withColumn("turn_no", F.sum(F.when(F.col(role) == "user", 1).otherwise(0)).over(_w(record, order).rowsBetween(W.unboundedPreceding, 0)))
+    return _logs(rows, record, order).scan(turn_no=scan.running_sum(F.when(F.col(role) == "user", 1).otherwise(0))).plain()
 
 
 def last_turns(rows: DataFrame, record: str, order: str, role: str, n: int = 400) -> DataFrame:
     """The last n user turns, and any system row."""
-    back = F.sum(F.when(F.col(role) == "user", 1).otherwise(0)).over(W.partitionBy(record).orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0))
+    out = _logs(rows, record, order).scan(_back=scan.running_sum(F.when(F.col(role) == "user", 1).otherwise(0), backward=True)).plain()
     opens = F.when(F.col(role) == "user", F.col("_back")).otherwise(F.col("_back") + 1)
-    return rows.withColumn("_back", back).filter((opens <= n) | (F.col(role) == "system")).drop("_back")
+    return out.filter((opens <= n) | (F.col(role) == "system")).drop("_back")
 
 
 def budget_suffix(rows: DataFrame, record: str, order: str, role: str, cost: str, budget: int) -> DataFrame:
     """System rows, and the newest others whose costs, summed from the end, stay
     within the budget that the system rows leave. Whole rows only."""
-    system = F.sum(F.when(F.col(role) == "system", F.col(cost)).otherwise(0)).over(W.partitionBy(record))
-    spent = F.sum(F.when(F.col(role) == "system", 0).otherwise(F.col(cost))).over(W.partitionBy(record).orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0))
-    return rows.withColumns({"_left": F.lit(budget) - system, "_spent": spent}).filter((F.col(role) == "system") | (F.col("_spent") <= F.col("_left"))).drop("_left", "_spent")
+    system = F.col(role) == "system"
+    out = _logs(rows, record, order).scan(
+        _system=scan.total(F.when(system, F.col(cost)).otherwise(0)),
+        _spent=scan.running_sum(F.when(system, 0).otherwise(F.col(cost)), backward=True),
+    )
+    return out.plain().filter(system | (F.col("_spent") <= F.lit(budget) - F.col("_system"))).drop("_system", "_spent")
 
 
 def truncate_messages(messages: Column, budget: int) -> Column:
@@ -132,15 +139,15 @@ def swap_roles(rows: DataFrame, role: str, text: str) -> DataFrame:
 def sections(lines: DataFrame, record: str, order: str, text: str) -> DataFrame:
     """Roman-numeral headings with the next heading: what a section spans."""
     heads = lines.filter(F.trim(text).rlike(r"^(I|V|X|L|C|D|M)+\."))
-    return heads.withColumn("next_heading", F.lead(text).over(_w(record, order)))
+    return _logs(heads, record, order).scan(next_heading=scan.following(text)).plain()
 
 
 def similar_size_paragraphs(elements: DataFrame, record: str, order: str, size: str, text: str, within: float = 2.0) -> DataFrame:
     """Neighbours whose font sizes differ by less than `within` are one
     paragraph."""
-    w = _w(record, order)
-    new = F.when(F.abs(F.col(size) - F.lag(size).over(w)) < within, 0).otherwise(1)
-    marked = elements.withColumn("_new", new).withColumn("paragraph", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    sized = _logs(elements, record, order).scan(_before=scan.previous(size))
+    new = F.when(F.abs(F.col(size) - F.col("_before")) < within, 0).otherwise(1)
+    marked = sized.columns(_new=new).scan(paragraph=scan.running_sum("_new")).plain()
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))), lambda x: x["t"]), "")
     return marked.groupBy(record, "paragraph").agg(F.max(size).alias(size), joined.alias(text))
 
