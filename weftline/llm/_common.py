@@ -181,6 +181,25 @@ def repeated_filter(keys: DataFrame, key: str, n: int) -> tuple[int, DataFrame]:
     return bits, materialize(bloom_build(keys, [key], bits, least=least), "bloom")
 
 
+def possible(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose `key` a filter of the distinct keys `wanted` may hold. Keys
+    that one filter can't hold are dealt to ranges of their hash, each with its
+    own; a row is tested against its range's."""
+    n = wanted.count()
+    ranges = bloom_ranges(n)
+    if ranges == 1:
+        bits = bloom_bits(n)
+        return bloom_flag(rows, [key], bits, materialize(bloom_build(wanted, [key], bits, least=1), "bloom"), "maybe").filter("maybe").drop("maybe")
+    (flag,) = fresh(rows, "maybe")
+    at = F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(ranges))
+    out = []
+    for r in range(ranges):
+        bits = bloom_bits(n // ranges)
+        bitmaps = materialize(bloom_build(wanted.filter(at == r), [key], bits, least=1), "bloom")
+        out.append(bloom_flag(rows.filter(at == r), [key], bits, bitmaps, flag).filter(F.col(flag)).drop(flag))
+    return union_all(out)
+
+
 # -- connected components ----------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import _common, conversation_repair, cotraining, exact_dedup, mixing, quality_rules, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, vector_codes, zip_warc
+from weftline.llm import _common, conversation_repair, cotraining, exact_dedup, mixing, quality_rules, sentencepiece_codec, set_sketch, sharding, simhash, suffix_dedup, token_counts, vector_codes, zip_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find(_table(spark, sf_dir, "documents"))
 
 
+def op11_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_sketch.find(_table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
 

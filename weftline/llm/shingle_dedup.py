@@ -5,15 +5,14 @@ similarity 0.8 keep: there about 10 of 64 bits differ, more than any set of
 pigeonhole blocks can serve. So candidates come from bands of min-hashes over
 the same kind of shingles: texts at similarity s agree in one of BANDS bands of
 ROWS with probability 1 - (1 - s^ROWS)^BANDS (0.992 at 0.8, 0.9999 at 0.88).
-Every candidate pair is verified by the Jaccard similarity of its whole sets of
-shingle hashes, so nothing below the limit is ever linked. Under a band key
-with up to CROWDED texts all pairs are candidates; beyond, each text is paired
-with REPS texts of its key, drawn by hash, which stays linear.
+Texts that share a key go to `near_sets`, which verifies on the whole sets of
+shingle hashes and loses no link in groups of any size.
 
 Defined cases: a text of fewer words than a shingle is one shingle; texts
 without words (null, too) have the empty shingle and are copies of each other;
-a null doc_id is never the smallest of a component that has others; an empty
-table gives an empty result; other columns are carried along."""
+a null doc_id is never the smallest of a component that has others; repeated
+rows are copies; a very long text is read as a whole, in steps; an empty table
+gives an empty result; other columns are carried along, whatever their names."""
 
 from __future__ import annotations
 
@@ -27,15 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import _common as C
-from weftline.llm import simhash
+from weftline.llm import near_sets, simhash
 
 #: Words a shingle; least similarity as a fraction.
 SHINGLE_WORDS, SIMILARITY = 5, (4, 5)
 BANDS, ROWS = 16, 6
-#: Texts under one band key up to which all pairs are candidates; partners of each text beyond that.
-CROWDED, REPS = 16, 8
 #: Shingles min-hashed at a time, which bounds memory on very long texts.
-STEP = 1 << 12
+STEP = 1 << 9
 
 _seeds = np.random.default_rng(42)
 _FACTORS, _TERMS = (_seeds.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) for _ in range(2))
@@ -57,15 +54,6 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(band.tobytes(), i) - (1 << 63) for i, band in enumerate(least.reshape(BANDS, ROWS))]
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two shingle sets have Jaccard similarity SIMILARITY or more."""
-    over, under = SIMILARITY
-    if under * min(len(a), len(b)) < over * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return under * both >= over * (len(a) + len(b) - both)
-
-
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = pa.array([band_keys(shingles(t.as_py())) for t in batch.column(1)], pa.list_(pa.int64()))
@@ -78,41 +66,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), found], ["t", "shingles"])
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x, y = (batch.column(i) for i in (2, 3))
-        good = pa.array([similar(np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)) for p, q in zip(x, y)], pa.bool_())
-        yield pa.RecordBatch.from_arrays([c.filter(good) for c in batch.columns[:2]], ["a", "b"])
-
-
-def candidates(texts: DataFrame, total: int) -> DataFrame:
-    """Distinct texts (t, keys) to pairs (a, b) that share a band key, a < b."""
-    keyed = texts.select("t", F.explode("keys").alias("key"))
-    reps = [F.min_by("t", F.xxhash64("t", F.lit(i))) for i in range(REPS)]
-    counts = keyed.groupBy("key").agg(F.count("*").alias("n"), F.array_distinct(F.array(*reps)).alias("reps")).filter("n > 1")
-    shared = C.materialize(C.lookup(keyed, counts, "key", "n", total), "bands")
-    few = shared.filter(F.col("n") <= CROWDED)
-    pairs = few.select("key", F.col("t").alias("a")).join(few.select("key", F.col("t").alias("b")), "key").select("a", "b")
-    many = shared.filter(F.col("n") > CROWDED).select(F.col("t").alias("a"), F.explode("reps").alias("b"))
-    both = pairs.filter("a < b").unionByName(many.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    return both.distinct()
-
-
-def links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of `pairs` whose texts are similar. Only texts that a Bloom filter
-    takes for members of a pair are shuffled."""
-    a_of, b_of = (pairs.groupBy(F.col(c).alias("t")).agg(F.count("*").alias(f"n_{c}")) for c in "ab")
-    need = C.materialize(a_of.join(b_of, "t", "full").na.fill(0, ["n_a", "n_b"]), "members")
-    bits = C.bloom_bits(need.count())
-    bitmaps = C.materialize(C.bloom_build(need, ["t"], bits, least=1), "bloom")
+def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """t, shingles of the texts whose hash t is wanted. Only rows that a Bloom
+    filter takes for one of them are shuffled; what it can't hold is dealt to
+    ranges, each with a filter of its own."""
     text = F.col("text").cast("string")
-    maybe = C.bloom_flag(docs.select(F.xxhash64(text).alias("t"), text.alias("text")), ["t"], bits, bitmaps, "maybe").filter("maybe")
-    whole = maybe.groupBy("t").agg(F.any_value("text").alias("text")).mapInArrow(C.lean(_sets), "t bigint, shingles binary")
-    sets = C.materialize(whole.join(need, "t"), "shingles")
-    total = max(pairs.count(), 1)
-    left = C.lookup(pairs, sets.select(F.col("t").alias("a"), F.col("shingles").alias("x"), "n_a").filter("n_a > 0"), "a", "n_a", total)
-    both = C.lookup(left, sets.select(F.col("t").alias("b"), F.col("shingles").alias("y"), "n_b").filter("n_b > 0"), "b", "n_b", total)
-    return both.select("a", "b", "x", "y").mapInArrow(C.lean(_verified), "a bigint, b bigint")
+    maybe = C.possible(docs.select(F.xxhash64(text).alias("t"), text.alias("text")), wanted, "t")
+    whole = maybe.groupBy("t").agg(F.any_value("text").alias("text")).join(wanted, "t", "left_semi")
+    return whole.mapInArrow(C.lean(_sets), "t bigint, shingles binary")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -123,8 +84,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     total = max(rows.count(), 1)
     least = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "t")).alias("first")
     texts = C.materialize(rows.groupBy("t").agg(least, F.count("*").alias("n"), F.any_value("keys").alias("keys")), "texts")
-    pairs = C.materialize(candidates(texts, total), "pairs")
-    roots = C.components(C.materialize(links(docs, pairs), "near"))
+    found = near_sets.links(texts.select("t", F.explode("keys").alias("key")), lambda wanted: shingle_sets(docs, wanted), *SIMILARITY)
+    roots = C.components(C.materialize(found, "near"))
     joined = texts.join(roots.withColumnRenamed("node", "t"), "t", "left")
     joined = C.materialize(joined.select("t", "first", "n", F.coalesce("root", "t").alias("root")), "roots")
     smallest = joined.groupBy("root").agg(F.min("first").alias("first"), F.count("*").alias("members"))
