@@ -214,11 +214,11 @@ def test_budgets(spark):
 
 
 def test_search_decision(spark):
-    chunks = chunk_rows(spark, [5, 5, 5])
-    score = spark.createDataFrame([("d", 2, 3.0)], "doc string, chunk_id int, score double")
-    ids = lambda s, b: sorted(r.chunk_id for r in retrieval.search(chunks, s, "doc", b).collect())
+    chunks = chunk_rows(spark, [5, 5, 5]).withColumn("s", F.lit(1))
+    score = spark.createDataFrame([(1, "d", 2, 3.0)], "s int, doc string, chunk_id int, score double")
+    ids = lambda s, b: sorted(r.chunk_id for r in retrieval.search_sessions(chunks, s, "s", "doc", b).collect())
     assert ids(score, 15) == [0, 1, 2] and ids(score, 8) == [0, 2]
-    assert ids(score.withColumn("score", F.lit(0.0)), 8) == [0, 1] and ids(None, 8) == [0, 1]
+    assert ids(score.withColumn("score", F.lit(0.0)), 8) == [0, 1] and ids(score.limit(0), 8) == [0, 1]
 
 
 def test_fusion_keeps_pins(spark):

@@ -4,10 +4,6 @@ tie-break; a search is rows (query, doc, chunk_id, score)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -96,49 +92,6 @@ def fuse(rankings: list[DataFrame], keys: list[str], k: int = 60) -> DataFrame:
     return every.groupBy(*keys).agg(F.sum("w").alias("score"))
 
 
-#: Vectors that are compared as one matrix with as many queries.
-VECTOR_BLOCK = 2048
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, vector) rows to blocks: ids and vectors as bytes, and how many."""
-    for batch in batches:
-        batch = batch.filter(batch.column(1).is_valid())
-        for at in range(0, batch.num_rows, VECTOR_BLOCK):
-            part = batch.slice(at, VECTOR_BLOCK)
-            ids, values = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64), np.array(part.column(1).to_pylist(), dtype=np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()]), pa.array([values.tobytes()]), pa.array([len(ids)])], ["ids", "vectors", "n"])
-
-
-def _nearest(k: int, places: int | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for q_ids, q_data, q_n, v_ids, v_data, v_n in zip(*(c.to_pylist() for c in batch.columns)):
-                ids, asked = np.frombuffer(v_ids, np.int64), np.frombuffer(q_ids, np.int64)
-                queries, vectors = np.frombuffer(q_data).reshape(q_n, -1), np.frombuffer(v_data).reshape(v_n, -1)
-                rough = (queries**2).sum(1)[:, None] + (vectors**2).sum(1) - 2 * queries @ vectors.T
-                some = min(v_n, 2 * k + 16)  # by expanded squares; the distances are then taken exactly
-                for i, near in enumerate(np.argpartition(rough, some - 1, axis=1)[:, :some]):
-                    score = np.sqrt(((vectors[near] - queries[i]) ** 2).sum(1))
-                    score = score if places is None else np.round(score, places)
-                    best = np.lexsort((ids[near], score))[:k]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), asked[i])), pa.array(ids[near][best]), pa.array(score[best])], ["query_id", "vec_id", "score"])
-
-    return run
-
-
-def knn(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", vec: str = "embedding", query_id: str = "query_id", query_vec: str = "query", places: int | None = None) -> DataFrame:
-    """query_id, vec_id, score, rank: the k nearest by L2 distance (rounded to
-    `places`), equal ones by vec_id; vectors that are null are left out. Every
-    query against every vector, exact, in blocks of VECTOR_BLOCK: what Spark
-    pairs are the blocks, and each pair leaves k rows a query."""
-    packed = "ids binary, vectors binary, n bigint"
-    asked = queries.select(query_id, query_vec).mapInArrow(_blocks, packed).toDF("q_ids", "q_vectors", "q_n")
-    pairs = materialize(asked, "queries").join(vectors.select(vec_id, vec).mapInArrow(_blocks, packed))
-    found = pairs.mapInArrow(_nearest(k, places), "query_id bigint, vec_id bigint, score double")
-    return top_k(found.toDF(query_id, vec_id, "score"), [query_id], [vec_id], k, ascending=True)
-
-
 def front_pins(chunks: DataFrame, budget: int, doc: str | None = None) -> DataFrame:
     """Chunks 0 and 1 of a single document, or of each `doc`, get an infinite
     score, as long as four times their tokens fit the budget; the first that
@@ -173,29 +126,11 @@ def front_part(chunks: DataFrame, doc: str, budget: int, text: str | None = None
     return within_budget(rows, [doc], [F.col("chunk_id")], F.col("_share"), text=text).drop("_docs", "_share")
 
 
-def search(chunks: DataFrame, scores: DataFrame | None, doc: str, budget: int) -> DataFrame:
-    """One query's context (doc, chunk_id, text, used): everything where it fits
-    the budget; the front part without a query or where no chunk scores; else
-    the best chunks within the budget. All three are planned; the totals, one
-    row, choose."""
-    front = front_part(chunks, doc, budget, "text").select(doc, "chunk_id", "text", "used")
-    total = chunks.agg(F.coalesce(F.sum("token"), F.lit(0)).alias("_total"))
-    best = F.lit(0.0).alias("_best")
-    facts = F.broadcast(total.join(scores.agg(F.coalesce(F.max("score"), F.lit(0.0)).alias("_best"))) if scores is not None else total.select("_total", best))
-    everything = chunks.select(doc, "chunk_id", "text", F.col("token").alias("used"))
-    if scores is None:
-        chosen = everything.limit(0)
-    else:
-        found = chunks.join(scores, [doc, "chunk_id"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-        chosen = within_budget(found.withColumn("_one", F.lit(0)), ["_one"], [F.desc("score"), F.col(doc), F.col("chunk_id")], budget, text="text").select(doc, "chunk_id", "text", "used")
-    fits, hit = F.col("_total") <= budget, F.col("_best") > 0
-    parts = [everything.join(facts).filter(fits), front.join(facts).filter(~fits & ~hit), chosen.join(facts).filter(~fits & hit)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("_total", "_best")
-
-
 def search_sessions(chunks: DataFrame, scores: DataFrame, session: str, doc: str, budget: int) -> DataFrame:
-    """`search` with scores for every session (never null) at once: session,
-    doc, chunk_id, text, used. Chunks and scores hold the session."""
+    """The context of every session (never null): session, doc, chunk_id, text,
+    used. Everything where it fits the budget; the front part where no chunk
+    scores; else the best chunks within the budget. Chunks and scores hold the
+    session."""
     found = chunks.join(scores, [session, doc, "chunk_id"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     facts = found.groupBy(session).agg(F.count_distinct(doc).alias("_docs"), F.sum("token").alias("_total"), F.max("score").alias("_best"))
     rows = found.join(facts, session)

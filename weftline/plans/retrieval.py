@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 
 from weftline.functions import text as T
 from weftline.operators import retrieval
+from weftline.operators import vectors as vectors_of
 from weftline.plans.registry import query
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in T.STOP_WORDS)
@@ -156,7 +157,7 @@ def retrieval_decision(t):
 def vector_knn(t):
     vectors = t("embeddings").select("vec_id", "embedding")
     queries = vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    return retrieval.knn(vectors, queries, 10, places=6)
+    return vectors_of.knn(vectors, queries, 10, places=6)
 
 
 @query(f"""
