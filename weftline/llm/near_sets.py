@@ -4,9 +4,11 @@ loss in groups of any size and without pairing a group with itself.
 Sets come with keys; sets that may be similar share one. Up to CROWDED sets of
 a key are paired and verified. A crowded key's sets are a group:
 
-1. Every set is held against one of the group. Where all are similar to it, the
-   group is one component and done; this settles most groups of copies.
-2. Otherwise the group gets a centre T: the elements that half its sets have.
+1. Every set is held against one of the group. With the links found so far, a
+   group whose sets are all in one component is done; this settles most groups of
+   copies. Of the others, those outside the component that most sets are in are
+   far; only pairs with a far set are still of interest.
+2. The group gets a centre T: the elements that half its sets have.
    Against T a set x is its residue R(x): d elements of T that it lacks and o
    elements of its own. With W(x) = under * d + over * o, two sets are similar
    exactly if
@@ -63,18 +65,18 @@ def _verdicts(over: int, under: int):
 
 
 def _residues(over: int, under: int):
-    """(g, t, set, centre) to (g, t, w, c, residue)."""
+    """(g, t, far, set, centre) to (g, t, far, w, c, residue)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w, c, residue = [], [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
+            for x, y in zip(batch.column(3), batch.column(4)):
                 own, centre = _set(x), np.array(y.as_py(), dtype=np.int64)
                 lacks, more = np.setdiff1d(centre, own, assume_unique=True), np.setdiff1d(own, centre, assume_unique=True)
                 w.append(under * len(lacks) + over * len(more))
                 c.append((under - over) * len(centre))
                 residue.append(np.concatenate([lacks, more]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(w, pa.int64()), pa.array(c, pa.int64()), pa.array(residue, pa.list_(pa.int64()))], ["g", "t", "w", "c", "residue"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(w, pa.int64()), pa.array(c, pa.int64()), pa.array(residue, pa.list_(pa.int64()))], ["g", "t", "far", "w", "c", "residue"])
 
     return run
 
@@ -118,9 +120,10 @@ def _near(pairs: DataFrame, sets: DataFrame, over: int, under: int) -> DataFrame
 
 def links(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], over: int, under: int, likely: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Links (a, b) among sets `keyed` (t, key). `sets_of` gives t and shingles
-    (sorted 64-bit integers as bytes) for a frame of ids t; `likely` may drop
-    pairs (a, b) that are surely not similar before their sets are fetched."""
-    level, found, sets = C.materialize(keyed.select("t", "key", F.lit(True).alias("u")), "keyed"), [], None
+    (64-bit integers as bytes) for a frame of ids t; `likely` may drop pairs
+    (a, b) that are surely not similar before their sets are fetched."""
+    level = C.materialize(keyed.select("t", "key", F.lit(True).alias("u")), "keyed")
+    edges, sets = None, None
     while level is not None:
         first = sets is None
         pairs, members = _groups(level, max(level.count(), 1), merge=first)
@@ -128,46 +131,54 @@ def links(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], over: int
         if first:
             wanted = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).unionByName(members.select("t"))
             sets = C.materialize(sets_of(C.materialize(wanted.distinct(), "wanted")), "shingles")
-        found.append(C.materialize(_near(pairs, sets, over, under).filter("near").select("a", "b"), "near"))
-        more, level = ([], None) if members.isEmpty() else _split(members, sets, over, under)
-        found += more
-    return C.union_all(found)
+        found = C.materialize(_near(pairs, sets, over, under).filter("near").select("a", "b"), "near")
+        edges = found if edges is None else edges.unionByName(found)
+        edges, level = (edges, None) if members.isEmpty() else _split(members, sets, over, under, edges)
+    return edges
 
 
-def _split(members: DataFrame, sets: DataFrame, over: int, under: int) -> tuple[list[DataFrame], DataFrame | None]:
-    """Links of groups (g, t, u) to one of their own, and keys for the rest."""
+def _split(members: DataFrame, sets: DataFrame, over: int, under: int, edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Links that hold all `edges` and those of groups (g, t) to one of their
+    own; keys for the pairs that are left, if there are any."""
     sizes = C.materialize(members.groupBy("g").agg(F.count("*").alias("n"), F.min("t").alias("b")), "sizes")
     rows = max(members.count(), 1)
-    star = C.lookup(members, sizes, "g", "n", rows).filter("t <> b").select(F.col("t").alias("a"), "b", "g")
-    near = C.materialize(_near(star.select("a", "b").distinct(), sets, over, under), "stars")
-    bad = star.join(near.filter("NOT near").select("a", "b"), ["a", "b"], "left_semi").select("g").distinct()
-    out = [near.filter("near").select("a", "b")]
-    open_groups = C.materialize(sizes.join(bad, "g", "left_semi").select("g", "n"), "open")
-    if open_groups.isEmpty():
-        return out, None
-    inside = C.materialize(C.lookup(members, open_groups, "g", "n", rows).join(sets, "t").select("g", "t", "shingles"), "inside")
+    star = C.lookup(members, sizes, "g", "n", rows).filter("t <> b").select(F.col("t").alias("a"), "b").distinct()
+    near = C.materialize(_near(star, sets, over, under).filter("near").select("a", "b"), "stars")
+    roots = C.materialize(C.components(edges.unionByName(near)), "components")
+    edges = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    placed = members.join(roots.withColumnRenamed("node", "t"), "t", "left").select("g", "t", F.coalesce("root", "t").alias("root"))
+    placed = C.materialize(placed, "placed")
+    shares = placed.groupBy("g", "root").agg(F.count("*").alias("k"))
+    several = shares.groupBy("g").agg(F.max_by("root", "k").alias("most"), F.count("*").alias("parts"), F.sum("k").alias("n")).filter("parts > 1").drop("parts")
+    several = C.materialize(several, "open")
+    if several.isEmpty():
+        return edges, None
+    inside = C.lookup(placed, several, "g", "n", rows).select("g", "t", (F.col("root") != F.col("most")).alias("far"))
+    inside = C.materialize(inside.join(sets, "t").select("g", "t", "far", "shingles"), "inside")
     counts = inside.select("g", "shingles").mapInArrow(C.lean(_opened), "g bigint, f bigint").groupBy("g", "f").agg(F.count("*").alias("k"))
-    common = counts.join(open_groups, "g").filter("2 * k >= n").groupBy("g").agg(F.collect_list("f").alias("centre"))
-    centres = open_groups.join(common, "g", "left").select("g", "n", F.coalesce("centre", F.array().cast("array<bigint>")).alias("centre"))
-    centred = C.lookup(inside, C.materialize(centres, "centres"), "g", "n", rows).select("g", "t", "shingles", "centre")
-    residues = C.materialize(centred.mapInArrow(C.lean(_residues(over, under)), "g bigint, t bigint, w bigint, c bigint, residue array<bigint>"), "residues")
+    common = counts.join(several, "g").filter("2 * k >= n").groupBy("g").agg(F.collect_list("f").alias("centre"))
+    centres = several.join(common, "g", "left").select("g", "n", F.coalesce("centre", F.array().cast("array<bigint>")).alias("centre"))
+    centred = C.lookup(inside, C.materialize(centres, "centres"), "g", "n", rows).select("g", "t", "far", "shingles", "centre")
+    residues = C.materialize(centred.mapInArrow(C.lean(_residues(over, under)), "g bigint, t bigint, far boolean, w bigint, c bigint, residue array<bigint>"), "residues")
     least = residues.groupBy("g").agg(F.min(F.struct("w", "t")).alias("m"), F.count("*").alias("n"))
-    bare = residues.select("g", "t", "w", "c")
-    with_m = C.lookup(bare, least, "g", "n", rows).select("g", "t", "w", "c", F.col("m.w").alias("w_m"), F.col("m.t").alias("m"), "n")
-    near_m = F.col("w") + F.col("w_m") <= F.col("c")
-    marked = C.materialize(with_m.withColumn("s", near_m), "marked")
-    out.append(marked.filter("s AND t <> m").select(F.col("t").alias("a"), F.col("m").alias("b")))
-    # For pairs that need residual elements: how many, at least.
-    far = marked.filter("NOT s").groupBy("g").agg(F.min("w").alias("w_u"), F.first("n").alias("n"))
-    need = C.lookup(marked.drop("n"), far, "g", "n", rows)
+    with_m = C.lookup(residues.drop("residue"), least, "g", "n", rows).select("g", "t", "far", "w", "c", F.col("m.w").alias("w_m"), F.col("m.t").alias("m"), "n")
+    marked = C.materialize(with_m.withColumn("s", F.col("w") + F.col("w_m") <= F.col("c")), "marked")
+    edges = edges.unionByName(marked.filter("s AND t <> m").select(F.col("t").alias("a"), F.col("m").alias("b")))
+    # Sets linked to m are near where one of them is; the others' least W tells how many elements a pair must share.
+    facts = marked.groupBy("g").agg(F.first("n").alias("n"), F.min(F.when(~F.col("s"), F.col("w"))).alias("w_u"), F.coalesce(F.bool_or(F.col("s") & ~F.col("far")), F.lit(False)).alias("joined"))
     lack = F.when(F.col("s"), F.col("w") + F.col("w_u")).otherwise(F.col("w") + F.col("w_m")) - F.col("c")
-    need = need.select(F.col("g").alias("of_g"), F.col("t").alias("of_t"), F.greatest(F.ceil(lack / (over + under)), F.lit(1)).cast("bigint").alias("need"), (~F.col("s")).alias("far"))
-    left = C.materialize(residues.join(need, F.expr("g = of_g AND t = of_t")).select("g", "t", F.col("far").alias("u"), "need", "residue"), "far")
-    opened = left.select("g", "t", F.explode("residue").alias("f"))
-    shared = opened.groupBy("g", "f").agg(F.count("*").alias("k")).filter("k > 1")
+    need = C.lookup(marked.drop("n"), facts.filter("w_u IS NOT NULL"), "g", "n", rows)
+    need = need.select(F.col("g").alias("of_g"), F.col("t").alias("of_t"), F.greatest(F.ceil(lack / (over + under)), F.lit(1)).cast("bigint").alias("need"), (F.col("far") & ~(F.col("s") & F.col("joined"))).alias("u"))
+    need = C.materialize(need, "need")
+    wanted = need.filter("u").groupBy("of_g").agg(F.count("*").alias("k"))
+    left = C.lookup(residues.select("g", "t", "residue"), wanted.withColumnRenamed("of_g", "g"), "g", "k", rows).drop("k").join(need, F.expr("g = of_g AND t = of_t")).select("g", "t", "u", "need", "residue")
+    left = C.materialize(left, "far")
+    # Elements of no far set, or of one set alone, are shared by no pair of interest: they come first in every set.
+    opened = left.select("g", "t", "u", F.explode("residue").alias("f"))
+    shared = opened.groupBy("g", "f").agg(F.count("*").alias("k"), F.max("u").alias("any_u")).filter("k > 1 AND any_u").drop("any_u")
     ranked = C.lookup(opened, shared, ["g", "f"], "k", max(left.agg(F.sum(F.size("residue"))).first()[0] or 1, 1))
     listed = ranked.groupBy(F.col("g").alias("of_g"), F.col("t").alias("of_t")).agg(F.sort_array(F.collect_list(F.struct("k", "f"))).alias("ks"))
-    prefix = F.size("residue") - F.col("need") + 1 - (F.size("residue") - F.size("ks"))  # those of one set alone come first
+    prefix = F.size("residue") - F.col("need") + 1 - (F.size("residue") - F.size("ks"))
     taken = left.join(listed, F.expr("g = of_g AND t = of_t")).select("g", "t", "u", F.slice("ks", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int")).alias("ks"))
     keys = taken.select("g", "t", "u", F.explode("ks.f").alias("f"))
-    return out, C.materialize(keys.select("t", F.xxhash64("g", "f").alias("key"), "u"), "keyed")
+    return edges, C.materialize(keys.select("t", F.xxhash64("g", "f").alias("key"), "u"), "keyed")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import _common, conversation_repair, cotraining, exact_dedup, mixing, quality_rules, sentencepiece_codec, set_sketch, sharding, simhash, suffix_dedup, token_counts, vector_codes, zip_warc
+from weftline.llm import _common, conversation_repair, cotraining, exact_dedup, mixing, oracles, quality_rules, sentencepiece_codec, set_sketch, sharding, simhash, suffix_dedup, token_counts, vector_codes, zip_warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +99,9 @@ ORACLES = {
                doc_id = min(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)
     """,
+    "op11_setsketch_near_dedup": oracles.NEAR_DEDUP,
+    "op12_vector_codes": oracles.vector_codes_sql(),
+    "op13_conversation_repair": oracles.REPAIR,
 }
 
 
