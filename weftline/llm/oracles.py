@@ -30,12 +30,12 @@ def vector_codes_sql() -> str:
     for i in range(vector_codes.ROUNDS + 1):
         parts.append(f"a{i} AS MATERIALIZED (SELECT vec_id, part, min({{'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': entry}}) AS best FROM p JOIN c{i} USING (part) GROUP BY ALL)")
         if i < vector_codes.ROUNDS:
-            parts.append(f"u{i} AS (SELECT part, best.e AS entry, unnest(x) AS x, generate_subscripts(x, 1) AS at FROM a{i} JOIN p USING (vec_id, part))")
-            parts.append(f"m{i} AS (SELECT part, entry, at, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x FROM u{i} GROUP BY ALL)")
-            parts.append(f"l{i} AS (SELECT part, entry, list(x ORDER BY at) AS c FROM m{i} GROUP BY ALL)")
+            parts.append(f"u{i} AS (SELECT part, best.e AS entry, unnest(x) AS x, generate_subscripts(x, 1) AS pos FROM a{i} JOIN p USING (vec_id, part))")
+            parts.append(f"m{i} AS (SELECT part, entry, pos, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x FROM u{i} GROUP BY ALL)")
+            parts.append(f"l{i} AS (SELECT part, entry, list(x ORDER BY pos) AS c FROM m{i} GROUP BY ALL)")
             parts.append(f"c{i + 1} AS MATERIALIZED (SELECT c{i}.part, c{i}.entry, coalesce(l{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN l{i} USING (part, entry))")
     last = vector_codes.ROUNDS
-    parts.append(f"s AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, at)) AS codebooks_sha256 FROM (SELECT part, entry, unnest(c) AS x, generate_subscripts(c, 1) AS at FROM c{last}))")
+    parts.append(f"s AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM (SELECT part, entry, unnest(c) AS x, generate_subscripts(c, 1) AS pos FROM c{last}))")
     parts.append(f"o AS (SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a{last} GROUP BY 1)")
     return f"WITH {', '.join(parts)} SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM o JOIN k USING (vec_id), s"
 
@@ -53,26 +53,26 @@ REPAIR = f"""
     WITH RECURSIVE {_CRC},
     d AS (SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role, CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
         unnest(CASE WHEN harm = 3 THEN [0, 1] ELSE [0] END) AS copy FROM h WHERE harm <> 0),
-    o AS (SELECT conv_id, turn, role, text, left(role, 1) AS ini, row_number() OVER w AS at, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS cut
+    o AS (SELECT conv_id, turn, role, text, left(role, 1) AS ini, row_number() OVER w AS pos, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS cut
         FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
-    f AS MATERIALIZED (SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(cut, '[.!?]$') THEN 'truncated' ELSE 'sound' END AS fault, lag(ini) OVER (PARTITION BY conv_id ORDER BY at) AS before FROM o),
+    f AS MATERIALIZED (SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(cut, '[.!?]$') THEN 'truncated' ELSE 'sound' END AS fault, lag(ini) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM o),
     i(s, z, ins) AS (VALUES (0, 0, 0), (0, 2, 1), (0, 3, 2), (1, 1, 0), (1, 2, 1), (1, 3, 2), (2, 2, 0), (2, 3, 1), (3, 3, 0), (3, 2, 1)),
     g(s, ini, z) AS (VALUES (0, 'u', 2), (0, 's', 1), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
     b AS (
-        SELECT conv_id, 0::BIGINT AS at, z AS s, {{'cost': 2 * ins, 'audit': repeat('I', ins)}} AS best FROM (SELECT DISTINCT conv_id FROM f), i WHERE i.s = 0
+        SELECT conv_id, 0::BIGINT AS pos, z AS s, {{'cost': 2 * ins, 'audit': repeat('I', ins)}} AS best FROM (SELECT DISTINCT conv_id FROM f), i WHERE i.s = 0
         UNION ALL
-        SELECT conv_id, at, z, min({{'cost': cost + 2 * ins, 'audit': audit || repeat('I', ins)}})
-        FROM (SELECT b.conv_id, f.at, e.z AS s, b.best.cost + e.cost + CASE WHEN f.fault = 'truncated' AND e.edit <> 'D' THEN 1 ELSE 0 END AS cost, b.best.audit || e.edit AS audit
-              FROM b JOIN f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.at = b.at + 1
+        SELECT conv_id, pos, z, min({{'cost': cost + 2 * ins, 'audit': audit || repeat('I', ins)}})
+        FROM (SELECT b.conv_id, f.pos, e.z AS s, b.best.cost + e.cost + CASE WHEN f.fault = 'truncated' AND e.edit <> 'D' THEN 1 ELSE 0 END AS cost, b.best.audit || e.edit AS audit
+              FROM b JOIN f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.pos = b.pos + 1
               JOIN (SELECT s, z, ini, 'K' AS edit, 0 AS cost FROM g UNION ALL SELECT s, z, ini, 'R', 2 FROM g WHERE ini <> 's' UNION ALL SELECT DISTINCT s, s, '', 'D', 3 FROM g) e
               ON e.s = b.s AND (e.edit = 'D' OR f.fault IN ('truncated', 'sound') AND (e.edit = 'R' OR e.ini = f.ini))) y JOIN i USING (s) GROUP BY ALL),
     n AS (SELECT conv_id, count(*) AS n, greatest(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
         count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1),
-    z AS (SELECT n.*, min(best) AS best FROM n JOIN b ON b.conv_id IS NOT DISTINCT FROM n.conv_id AND b.at = n.n AND b.s IN (0, 3) GROUP BY ALL),
+    z AS (SELECT n.*, min(best) AS best FROM n JOIN b ON b.conv_id IS NOT DISTINCT FROM n.conv_id AND b.pos = n.n AND b.s IN (0, 3) GROUP BY ALL),
     x AS (SELECT conv_id, unnest(string_split(best.audit, '')) AS edit, generate_subscripts(string_split(best.audit, ''), 1) AS j FROM z WHERE best.audit <> ''),
-    y AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS at, count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY j) AS m FROM x),
+    y AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY j) AS pos, count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY j) AS m FROM x),
     q AS (SELECT y.conv_id, y.edit, y.m, f.role, f.text, max(CASE WHEN y.edit = 'K' AND y.m = 1 AND f.ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY y.conv_id) AS s
-        FROM y LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM y.conv_id AND f.at = y.at AND y.edit <> 'I' WHERE y.edit <> 'D'),
+        FROM y LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM y.conv_id AND f.pos = y.pos AND y.edit <> 'I' WHERE y.edit <> 'D'),
     t2 AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (m - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY m) AS whole FROM q GROUP BY 1),
     c AS (SELECT DISTINCT conv_id FROM conversations)
     SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
