@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 from weftline.llm import _common as C
 
 #: Sets under one key up to which all pairs are verified.
-CROWDED = 32
+CROWDED = 8
+#: Rounds in which groups that share sets become one; not all need to.
+MERGES = 4
 
 
 def similar(a: np.ndarray, b: np.ndarray, over: int, under: int) -> bool:
@@ -93,8 +95,8 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _groups(keyed: DataFrame, total: int, merge: bool) -> tuple[DataFrame, DataFrame]:
     """Sets (t, key, u) to pairs (a, b) of the keys that are not crowded, and
     members (g, t) of the others' groups. A pair, and a group, needs a set
-    with u. Crowded keys of equal members are one group; with `merge`, those of
-    equal least member."""
+    with u. Crowded keys of equal members are one group; with `merge`, so are those
+    that share sets, so that a set is in few groups, mostly in one."""
     least, sums = F.min("t").alias("least"), F.sum(F.xxhash64("t").cast("decimal(38,0)")).alias("sums")
     counts = keyed.groupBy("key").agg(F.count("*").alias("n"), F.max("u").alias("any_u"), least, sums).filter("n > 1 AND any_u").drop("any_u")
     counts = counts.select("key", "n", (F.col("least") if merge else F.xxhash64("n", "sums")).alias("g"))
@@ -103,7 +105,22 @@ def _groups(keyed: DataFrame, total: int, merge: bool) -> tuple[DataFrame, DataF
     left, right = few.select("key", F.col("t").alias("a"), F.col("u").alias("u_a")), few.select("key", F.col("t").alias("b"), F.col("u").alias("u_b"))
     pairs = left.join(right, "key").filter("a < b AND (u_a OR u_b)").select("a", "b").distinct()
     members = shared.filter(F.col("n") > CROWDED).select("g", "t").distinct()
-    return pairs, members
+    return pairs, _merged(members) if merge else members
+
+
+def _merged(members: DataFrame) -> DataFrame:
+    """Members (g, t) of fewer, larger groups: each takes the least name that a
+    group sharing a set with it has, round by round."""
+    now, before = C.materialize(members, "members"), -1
+    rows = now.count()
+    for _ in range(MERGES):
+        if rows == before:
+            break
+        least = now.groupBy("t").agg(F.min("g").alias("least"))
+        names = now.join(least, "t").groupBy("g").agg(F.min("least").alias("name"), F.count("*").alias("n"))
+        now = C.materialize(C.lookup(now, names, "g", "n", max(rows, 1)).select(F.col("name").alias("g"), "t").distinct(), "members")
+        before, rows = rows, now.count()
+    return now
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, total: int) -> DataFrame:
