@@ -1,13 +1,14 @@
 import io
 import zipfile
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from weftline.models import provider
 from weftline.operators import codecs
-from weftline.sources import documents, readers, sinks
-from weftline.streaming import incremental
+from weftline.sources import documents, keyed, readers, sinks
+from weftline.streaming import incremental, stateful
 
 
 def rows(df):
@@ -33,10 +34,6 @@ def test_small_tables(spark, tmp_path):
     assert rows(readers.weights(spark, str(tmp_path / "w.txt"))) == [(1, 6), (2, 7)]
     (tmp_path / "base_en.md").write_text("hello {x}")
     assert rows(readers.prompt_templates(spark, str(tmp_path / "base_en.md"))) == [("base", "en", "hello {x}")]
-    store = spark.createDataFrame([("a/b", "1"), ("a/c", "2"), ("ab", "3")], "key string, value string")
-    assert rows(readers.kv_scan(store, "a")) == [("a/b", "1"), ("a/c", "2")]
-    assert rows(sinks.kv_put(store, spark.createDataFrame([("ab", "9")], "key string, value string"))) == [("a/b", "1"), ("a/c", "2"), ("ab", "9")]
-    assert sinks.kv_delete(store, readers.kv_get(store, "ab")).count() == 2
     hits = spark.createDataFrame([("q", 2, "t2", "s2", ""), ("q", 1, "t1", "s1", "d")], "query string, rank int, title string, snippet string, date string")
     assert readers.web_results(hits).first().text == '[1] "t1\ns1"\nd\n\n[2] "t2\ns2"'
     assert rows(readers.lookup_code(hits.select(F.col("title").alias("city")), spark.createDataFrame([("t1", "7")], "city string, code string"), "city", "code")) == [("t1", "7", None), ("t2", None, "no code for t2")]
@@ -158,6 +155,40 @@ def test_tools_and_agent_loop(spark, tmp_path):
     assert sorted((r.code, r.status, r.stdout) for r in ran.collect()) == [("print(1)", "ok", "1"), ("x", "exception", None)]
 
 
+def test_keyed_table(spark, tmp_path):
+    table = keyed.KeyedTable(spark, f"{tmp_path}/kv", buckets=4)
+    pairs = lambda *kv: spark.createDataFrame(kv, "key string, value string")
+    assert table.scan().count() == 0 and table.get("a").count() == 0
+    table.put(pairs(("a/b", "1"), ("a/c", "2"), ("ab", "3"), (None, "x"), ("a/b", "0")))
+    table.put(pairs(("ab", "9"), ("n", None)))
+    table.delete(pairs(("a/c", ""), ("none", "")))
+    held = [("a/b", "1"), ("ab", "9"), ("n", None)]
+    assert rows(table.scan()) == held and rows(table.scan("a/")) == [("a/b", "1")] and rows(table.get("ab", "a/c")) == [("ab", "9")]
+    assert rows(table.lookup(spark.createDataFrame([(1, "ab"), (2, "a/c"), (3, None), (4, "ab")], "i int, k string"), "k")) == [(1, "ab", "9"), (2, "a/c", None), (3, None, None), (4, "ab", "9")]
+    table.compact()
+    assert [f for f in table.folders()] == [(2, True)] and rows(table.scan()) == held
+    table.vacuum()
+    assert rows(table.scan()) == held
+    table.put(pairs(("a/c", "back")))
+    table.delete(pairs(("ab", "")))
+    assert rows(table.scan("a")) == [("a/b", "1"), ("a/c", "back")] and len(table.folders()) == 3
+    # A folder without its success mark, as a writer that died leaves it, does not count.
+    table._write(pairs(("ghost", "1")).selectExpr("key", "value", "false AS deleted"), 99)
+    (tmp_path / "kv" / "rows-99" / "_SUCCESS").unlink()
+    assert table.get("ghost").count() == 0
+
+
+def test_keyed_table_reads_only_what_it_needs(spark, tmp_path):
+    table = keyed.KeyedTable(spark, f"{tmp_path}/kv", buckets=16)
+    table.put(spark.range(4000).selectExpr("concat('k', id) AS key", "id AS value"))
+    table.compact()
+    plan = table.get("k17")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(key,k17)" in plan
+    assert "StringStartsWith(key,k1)" in table.scan("k1")._jdf.queryExecution().executedPlan().toString()
+    folders = {p.name for p in (tmp_path / "kv" / "base-0").iterdir() if p.is_dir()}
+    assert len(folders) == 16
+
+
 def test_streams(spark, tmp_path):
     schema = "conv_id bigint, role string"
     spark.createDataFrame([(1, "user"), (1, "assistant"), (2, "user"), (2, "user")], schema).coalesce(1).write.parquet(f"{tmp_path}/in")
@@ -170,9 +201,50 @@ def test_streams(spark, tmp_path):
     done = spark.createDataFrame([(4,)], "conv_id bigint")
     incremental.resumable(source, lambda df: df.withColumn("out", F.upper("role")), f"{tmp_path}/out", f"{tmp_path}/cp", "conv_id", done).awaitTermination()
     assert sorted(r.conv_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2, 3]
-    query = incremental.conversation_state(source).writeStream.outputMode("update").format("memory").queryName("state").option("checkpointLocation", f"{tmp_path}/cp2").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert rows(spark.table("state")) == [(1, 2, 1), (2, 3, 3), (3, 1, 1), (4, 1, 1)]
+
+
+def test_resumable_forgets_keys_behind_the_watermark(spark, tmp_path):
+    schema = "id bigint, ts timestamp"
+    at = lambda day: datetime(2024, 1, day)
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    for rows_of in ([(1, at(1)), (2, at(1)), (1, at(1))], [(1, at(1)), (3, at(9))], [(3, at(9)), (1, at(1)), (4, at(9))]):
+        spark.createDataFrame(rows_of, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        incremental.resumable(source, lambda df: df, f"{tmp_path}/out", f"{tmp_path}/cp", "id", time="ts", late="1 day").awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2, 3, 4]
+
+
+def test_conversation_fold(spark, tmp_path):
+    """Batches with a restart between them, a late row, open calls, and a
+    conversation that its timer closes."""
+    schema = "conv_id bigint, ts timestamp, role string, call_id string"
+    at = lambda h, m=0: datetime(2024, 1, 1, h, m)
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    batches = [
+        [(1, at(0), "user", None), (1, at(0, 5), "assistant", "a"), (2, at(0, 10), "user", None)],
+        [(1, at(0, 20), "function", "a"), (1, at(0, 25), "assistant", "b"), (1, at(0, 4), "user", None)],
+        [(3, at(9), "user", None), (2, at(0, 39), "user", None)],
+        [(3, at(9, 10), "assistant", "c"), (1, at(9, 20), "user", None)],
+    ]
+    for b in batches:
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stateful.run(stateful.conversation_sessions(source, "30 minutes", "20 minutes"), f"{tmp_path}/out", f"{tmp_path}/cp")
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != stateful._ROCKSDB
+    found = {(r.conv_id, r.start_ms // 60000 % 1440): (r.messages, r.user_turns, r.open_calls, r.closed) for r in stateful.latest_sessions(spark.read.parquet(f"{tmp_path}/out")).collect()}
+    assert found == {(1, 0): (5, 2, 1, True), (2, 10): (2, 2, 0, True), (3, 540): (2, 1, 1, False), (1, 560): (1, 1, 0, False)}
+
+
+def test_call_fragments_in_a_stream(spark, tmp_path):
+    schema = "stream bigint, call_index bigint, seq bigint, name string, arguments string"
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    for part in ([(1, 0, 0, "f", '{"a"'), (1, 0, 2, "", "1}"), (1, 1, 0, "", None)], [(1, 0, 1, None, ": "), (1, 0, 0, "g", "again"), (1, 1, 1, "h", "{}")]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stateful.run(stateful.call_fragments(source, ttl_ms=3_600_000), f"{tmp_path}/out", f"{tmp_path}/cp", endless=True)
+    out = spark.read.schema(f"{stateful._CALL}, batch_id int").parquet(f"{tmp_path}/out")
+    assert rows(out.filter("fragments = 1").drop("batch_id")) == [(1, 0, "f", '{"a"', 1, 1), (1, 1, "", "", 1, 0)]
+    assert rows(out.filter("fragments > 1").drop("batch_id")) == [(1, 0, "f", '{"a": 1}', 3, 0), (1, 1, "h", "{}", 2, 0)]
 
 
 def test_deltas_and_fragments(spark):

@@ -164,22 +164,29 @@ def test_edges_skip_unknown_tools(spark):
     assert graphs.known_chains(df, "c", "n").count() == 1
 
 
-def test_chunks():
+def test_chunks(spark):
     random.seed(1)
     word = lambda: random.choice("abcdefg") * random.randint(1, 6)
     sentence = lambda: " ".join(word() for _ in range(random.randint(3, 12)))
     paragraphs = [". ".join(sentence() for _ in range(random.randint(1, 9))) for _ in range(40)]
     paragraphs[7] = " ".join(word() for _ in range(900))
-    chunks = chunking.split([(1, paragraphs[:20]), (2, paragraphs[20:])], 100)
+
+    def split(pages, size=500):
+        table = [("u", page, i, p) for page, ps in pages for i, p in enumerate(ps)]
+        df = spark.createDataFrame(table, "path string, page_num int, paragraph int, text string")
+        return [(r.content, r.token) for r in chunking.chunk_pages(df, size=size).orderBy("chunk_id").collect()]
+
+    chunks = split([(1, paragraphs[:20]), (2, paragraphs[20:])], 100)
     assert len(chunks) > 20
     text = "\n".join(c for c, _ in chunks)
     said, wanted = (Counter("".join(c if c.isalpha() else " " for c in x).split()) for x in (text, " ".join(paragraphs)))
     assert all(said[w] >= n for w, n in wanted.items())
     assert all(n <= 100 + 60 for _, n in chunks) and all(c.startswith("[page: ") for c, _ in chunks)
-    assert chunking.split([(1, ["short", "text"])]) == [("[page: 1]\nshort\ntext", 2)]
-    assert chunking.split([(1, [])]) == []
+    assert any("\n[page: 2]\n" in c for c, _ in chunks)
+    assert split([(1, ["short", "text"])]) == [("[page: 1]\nshort\ntext", 2)]
+    assert split([]) == []
     exact = " ".join(["w"] * 100)
-    assert chunking.split([(1, [exact])], 100) == [(f"[page: 1]\n{exact}", 100)]
+    assert split([(1, [exact])], 100) == [(f"[page: 1]\n{exact}", 100)]
 
 
 def test_chunks_overlap(spark):
@@ -281,3 +288,18 @@ def test_record_rendering(spark):
     raw = spark.createDataFrame([('{"mcp_info": {"base_info": {"group_info": {"server_name": "s"}, "tool_list": [{"name": "f"}]}}, "extra": 1}',), ('{"base_info": {"group_info": {"server_name": "t"}}}',), ("bad",)], "value string")
     got = records.normalise_tools(raw).select("server_name", F.size("tools"), F.expr("try_variant_get(record, '$.extra', 'int')"))
     assert rows(got) == [("s", 1, 1), ("t", 0, None)]
+
+
+def test_order_statistics(spark, monkeypatch):
+    monkeypatch.setattr(scores, "BINS", 8)
+    monkeypatch.setattr(scores, "FEW", 4)
+    random.seed(8)
+    values = [random.choice([0.0, 1.5, -2.0]) for _ in range(60)] + [random.gauss(0, 1e-9) for _ in range(40)] + [1e308, -1e308, 1e300, 5e-324, float("inf")] + [1.5 + i * 2**-52 for i in range(9)]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan"), float("nan")]], "v double").cache()
+    expected = sorted(values)
+    for rank in (0, 1, 17, 50, 99, len(values) - 2, len(values) - 1):
+        assert scores.order_statistic(df, "v", rank) == expected[rank]
+    assert str(scores.order_statistic(df, "v", len(values))) == "nan" and scores.order_statistic(df, "v", len(values) + 2) is None
+    monkeypatch.undo()
+    rows_of = lambda xs, q: [r.v for r in scores.above_percentile(spark.createDataFrame([(float(x),) for x in xs], "v double"), "v", q).orderBy("v").collect()]
+    assert rows_of(range(11), 0.9) == [9.0, 10.0] and rows_of([1, 2], 0.5) == [2.0] and rows_of([3, 3, 3], 0.9) == [3.0] * 3 and rows_of([], 0.9) == []

@@ -1,9 +1,13 @@
 """Stems against published pairs; terms of Chinese and mixed texts; search by stems."""
 
+import math
+import random
+from collections import Counter
+
 import pytest
 
 from weftline.functions.stem import stem_word
-from weftline.operators import retrieval
+from weftline.operators import lexicon, retrieval
 
 PAIRS = """
 consigned consign consistency consist consolatory consolatori consolation consol conspirators conspir constables constabl
@@ -53,3 +57,54 @@ def test_search_by_stems(spark):
     asked = spark.createDataFrame([(1, "run"), (2, "学习"), (3, '{"keywords_zh": [], "keywords_en": ["notes"], "text": ""}')], "q int, text string")
     got = retrieval.bm25(docs, asked, ["doc_id"], "q").collect()
     assert sorted((r.q, r.doc_id) for r in got) == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_best_path_is_the_best_of_all():
+    rng = random.Random(2)
+    for _ in range(60):
+        weights = {"".join(rng.choices("甲乙丙", k=rng.randint(1, 3))): -rng.choice([1.0, 2.0, 2.5, 4.0]) for _ in range(9)}
+        run = "".join(rng.choices("甲乙丙丁", k=rng.randint(0, 8)))
+
+        def cuts(s):
+            return [[s[:k], *rest] for k in range(1, min(3, len(s)) + 1) if k == 1 or s[:k] in weights for rest in cuts(s[k:])] if s else [[]]
+
+        score = lambda words: round(sum(weights.get(w, -9.0) for w in words), 9)
+        got = lexicon.best_path(run, weights, 3, -9.0)
+        assert "".join(got) == run and score(got) == max(map(score, cuts(run)))
+    assert lexicon.best_path("研究生命", {"研究": -2, "研究生": -3, "生命": -2.5, "命": -6}, 3, -9) == ["研究", "生命"]
+
+
+def brute_lexicon(texts, longest, least, cohesion, entropy):
+    runs = [r for t in texts if t for r in "".join(c if "一" <= c <= "鿿" else " " for c in t).split()]
+    count, before, behind = Counter(), {}, {}
+    for r in runs:
+        for i in range(len(r)):
+            for k in range(1, min(longest, len(r) - i) + 1):
+                g = r[i : i + k]
+                count[g] += 1
+                before.setdefault(g, []).append(r[i - 1] if i else None)
+                behind.setdefault(g, []).append(r[i + k] if i + k < len(r) else None)
+    signs = sum(n for g, n in count.items() if len(g) == 1)
+
+    def free(side):
+        c = Counter(x if x else ("end", i) for i, x in enumerate(side))  # every end is one of its own
+        return -sum(n / len(side) * math.log(n / len(side)) for n in c.values())
+
+    out = {g: n for g, n in count.items() if len(g) == 1}
+    for g, n in count.items():
+        if len(g) > 1 and n >= least and min(math.log(n * signs / (count[g[:k]] * count[g[k:]])) for k in range(1, len(g))) >= cohesion and free(before[g]) >= entropy and free(behind[g]) >= entropy:
+            out[g] = n
+    return {(g, n, round(math.log(n / signs), 6)) for g, n in out.items()}
+
+
+def test_discovery(spark):
+    rng = random.Random(4)
+    known = ["学习", "深度", "数据库", "我", "在", "的", "好"]
+    texts = ["".join(rng.choices(known, k=rng.randint(3, 12))) + rng.choice(["", " and ", "。"]) + "".join(rng.choices(known, k=4)) for _ in range(120)] + [None, "", "none"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {(r.word, r.n, round(r.weight, 6)) for r in lexicon.discover(df, "text", 3, 5, 1.5, 0.8).collect()}
+    assert got == brute_lexicon(texts, 3, 5, 1.5, 0.8)
+    assert {w for w, _, _ in got} >= {"学习", "深度", "数据库"} and "习深" not in {w for w, _, _ in got}
+    cut = lexicon.segmenter(lexicon.discover(df, "text", 3, 5, 1.5, 0.8))
+    rows = spark.createDataFrame([(1, "我在学习 deep 深度学习的数据库"), (2, None), (3, "plain")], "id int, text string")
+    assert {k: n for k, n in found(retrieval.terms(rows, ["id"], "text", stemmed=False, cut=cut)).items() if k[0] == 1} == {(1, "学习"): 2, (1, "在"): 1, (1, "深度"): 1, (1, "数据库"): 1, (1, "deep"): 1}

@@ -61,8 +61,21 @@ def test_scores(ev):
     assert ev(lambda s: S.score_list(v(s)), ['{"tool_score_list": [1, "0.5", "x", null]}', "{}"]) == [[1.0, 0.5], None]
 
 
+JSON5 = {
+    '{"a": [1, 2.5, "x"]}': '{"a":[1,2.5,"x"]}',
+    "```json\n{a: 1, 'b': 'x' /* c */}\n```": '{"a":1,"b":"x"}',
+    "{a: [1, 2,], b: {c: 0xfF,},}": '{"a":[1,2],"b":{"c":255}}',
+    "{a: +1, b: -.5, c: 5., d: 1e3, e: -0x10}": '{"a":1,"b":-0.5,"c":5,"d":1000.0,"e":-16}',
+    "{$x_1: 'it\\'s \\x41\\u0042 \\\nline', \\u0061b: \"\\v\"}": '{"$x_1":"it\'s AB line","ab":"\\u000B"}',
+    "// only\n[null, true, /* , */ false, Infinity, NaN]": "[null,true,false,null,null]",
+    "{null: null, true: 1}": '{"null":null,"true":1}',
+    "{a: 1} x": None, "{a: b}": None, "[1,,2]": None, "[,]": None, "{,}": None, "{a 1}": None, "'open": None, "0123": None, "/* open": None, "": None,
+}
+
+
 def test_loose_json_and_arguments(ev):
-    assert ev(lambda s: S.loose_json(s, "a int, b string")["b"], ["{a: 1, 'b': 'x' /* c */}"]) == ["x"]
+    as_text = lambda s: F.to_json(S.loose_json(s))
+    assert ev(as_text, [*JSON5, None]) == [*JSON5.values(), None]
     assert ev(lambda s: S.as_string(F.try_parse_json(s)), ['"x"', '{"a":1}']) == ["x", '{"a":1}']
     assert ev(lambda s: S.call_id(s, F.lit(3)), ["id", "", None]) == ["id", "call_3", "call_3"]
     assert ev(S.null_word, ["null", "None", "", "x", None]) == [None, None, None, "x", None]

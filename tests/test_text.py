@@ -80,7 +80,9 @@ def test_search_tokens(ev):
 
 
 def test_token_count_and_truncation(ev):
-    from weftline.operators.chunking import count_tokens
+    import re
+
+    count_tokens = lambda s: len(re.findall(r"[一-鿿]|(?:(?![一-鿿])[^\W_])+|[^\s\w]|_", s))
 
     texts = ["a b, c!", "中文ab", "  x  y ", "", "a_b 1.5"]
     assert ev(T.token_count, texts) == [count_tokens(t) for t in texts] == [5, 3, 2, 0, 6]
@@ -109,3 +111,31 @@ def test_agents_texts(ev):
     assert ev(lambda s: T.date_line(F.to_date(s)), ["2024-01-05"]) == ["Current date: Friday, January 05, 2024"]
     assert ev(lambda s: T.date_line(F.to_date(s), "zh"), ["2024-01-05"]) == ["当前时间：2024年01月05日，星期五。"]
     assert ev(lambda s: T.html_sniff_type(s, F.lit("<p>x")), ["a.PDF?x", "b.htm", "c"]) == ["pdf", "html", "html"]
+
+
+PAGES = {
+    "<p>one<p>two": "one\ntwo",
+    "<div>one<p>two</div>three": "onetwo\nthree",
+    "a < b &amp; c &lt;b&gt;": "a < b & c <b>",
+    '<a title="x > y" href=\'>\'>t</a>': "t",
+    "<p it's>v</p>": "v\n",
+    "x<!-- never closed <p>": "x",
+    "x<!-->y<!--->z<!-- a -- b --!>w": "xyzw",
+    "<script>if (a<b) '</p>'</script >z<STYLE>p{}</style>y<script>open": "zy",
+    "<textarea><b>&lt;</textarea><b>c</b>": "<b><c",
+    "<title>A &amp; <b>B</title>c": "A & <b>B\nc",
+    "<ul><li>1<li>2</ul>3": "1\n23",
+    "<table><tr><td>1<tr><td>2</table>": "1\n2",
+    "&notit; &not; &copy &#128; &#x80 &apos; &CounterClockwiseContourIntegral; &unknown; &": "¬it; ¬ © € € ' ∳ &unknown; &",
+    "&amp;lt; &#0; &#xD800; &nbsp;.": "&lt; � �  .",
+    "&am<b>p;</b>": "&amp;",
+    "a<a href='": "a",
+    "</ x>y<?php z?>w<!doctype html>v": "ywv",
+    "<br/>k<BR >l</p\n>m": "\nk\nl\nm",
+    "": "",
+    "no markup": "no markup",
+}
+
+
+def test_malformed_pages(ev):
+    assert ev(T.html_to_text, [*PAGES, None]) == [*PAGES.values(), None]

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftline.functions import json5
 from weftline.functions import text as T
 
 
@@ -99,12 +100,9 @@ def score_list(v: Column, field: str = "tool_score_list") -> Column:
     return F.filter(F.transform(items, lambda x: F.try_variant_get(x, "$", "double")), lambda x: x.isNotNull())
 
 
-def loose_json(s: Column, schema: str) -> Column:
-    """JSON with single quotes, bare names or comments, by a given schema: one
-    object, with nothing behind it."""
-    options = {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true", "allowComments": "true", "mode": "PERMISSIVE"}
-    listed = F.from_json(F.concat(F.lit("["), T.strip_fences(s), F.lit("\n]")), f"array<struct<{schema}>>", options)
-    return _bound(listed, lambda x: F.when(F.size(x) == 1, F.get(x, F.lit(0))))
+def loose_json(s: Column) -> Column:
+    """A VARIANT of JSON, else of JSON5, with or without a fence around it."""
+    return json5.parse_json5(T.strip_fences(s))
 
 
 def as_string(v: Column) -> Column:
@@ -188,14 +186,22 @@ def bm25(tf: Column, idf: Column, length: Column, average: Column, k1: float = 1
     return idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / average))
 
 
+def draw(seed: int, *key: Column) -> Column:
+    """A number below 2^52 for each key, the same in every run and in any engine:
+    the first 13 hexadecimal digits of the MD5 of seed and key, parted by bars. A
+    null part is a word of its own."""
+    parts = [F.coalesce(k.cast("string"), F.lit("null")) for k in key]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 13), 16, 10).cast("bigint")
+
+
 def coin(seed: int, share: float, *key: Column) -> Column:
     """True for about `share` of the keys, the same ones in every run."""
-    return F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(1_000_000)) < int(share * 1_000_000)
+    return F.pmod(draw(seed, *key), F.lit(1_000_000)) < int(share * 1_000_000)
 
 
 def pick(seed: int, n: Column | int, *key: Column) -> Column:
     """A number from 0 to n - 1 for each key, the same in every run."""
-    return F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(n) if isinstance(n, int) else n)
+    return F.pmod(draw(seed, *key), F.lit(n) if isinstance(n, int) else n)
 
 
 def choice(options: Column, seed: int, *key: Column) -> Column:
@@ -205,7 +211,7 @@ def choice(options: Column, seed: int, *key: Column) -> Column:
 
 def call_number(arguments: Column) -> Column:
     """A stable number below 10000 for a call's arguments."""
-    return F.pmod(F.xxhash64(arguments), F.lit(10_000))
+    return F.pmod(draw(0, arguments), F.lit(10_000))
 
 
 def backoff(attempt: Column, base: float = 1.0, factor: float = 2.0, cap: float = 300.0) -> Column:

@@ -6,11 +6,12 @@ otherwise."""
 from __future__ import annotations
 
 from functools import reduce
-from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftline.functions.html import visible_text
+
 CJK = r"[一-鿿]"
 
 # -- think blocks and code fences ---------------------------------------------
@@ -205,36 +206,9 @@ def has_html_tags(s: Column) -> Column:
     return s.rlike(r"(?i)<(p|span|div|li|html|script)[^>]*?")
 
 
-#: Names of HTML entities and their signs, from the standard library; a hard blank is
-#: a blank, and the ampersand comes last, so that what it makes is not decoded again.
-ENTITIES = {f"&{name};": " " if name == "nbsp" else chr(code) for name, code in name2codepoint.items() if name != "amp"}
-
-
-def decode_entities(s: Column) -> Column:
-    """Named, decimal and hexadecimal entities, once; unknown ones stay. Texts
-    without an ampersand cost one search."""
-    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
-    hexadecimal = lambda e: F.lower(F.substring(e, 3, 1)) == "x"
-    digits = lambda e: F.when(hexadecimal(e), F.substring(e, 4, 6)).otherwise(F.conv(F.regexp_extract(e, r"\d+", 0), 10, 16))
-    number = lambda e: F.lpad(F.regexp_replace(digits(e), ";", ""), 8, "0")
-    # Surrogates, zero and numbers beyond the last sign are no signs.
-    valid = lambda e: number(e).rlike("(?i)^0000(?!0000)(?!d[89a-f])....$|^00(?:0[1-9a-f]|10)....$")
-    sign = lambda e: F.when(e.startswith("&#"), F.when(valid(e), F.decode(F.unhex(number(e)), "UTF-32"))).otherwise(F.try_element_at(names, e))
-    found = F.array_distinct(F.regexp_extract_all(s, F.lit(r"&(?:[A-Za-z][A-Za-z0-9]*|#\d{1,7}|#[xX][0-9A-Fa-f]{1,6});"), F.lit(0)))
-    # Those that make an ampersand wait, or it would begin another.
-    plain = F.filter(found, lambda e: ~F.coalesce(sign(e) == "&", e == "&amp;"))
-    decoded = F.aggregate(plain, s, lambda text, e: F.replace(text, e, F.coalesce(sign(e), e)))
-    return F.when(s.contains("&"), F.regexp_replace(decoded, "&amp;|&#0*38;|&#[xX]0*26;", "&")).otherwise(s)
-
-
 def html_to_text(html: Column) -> Column:
-    """Visible text: scripts, styles and comments go with their content; tags go;
-    entities are decoded; runs of newlines become one."""
-    bare = F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<!doctype[^>]*>", "")
-    text = F.regexp_replace(F.regexp_replace(bare, r"(?i)<(?:br|/p|/div|/h[1-6]|/li|/title|/tr)\b[^>]*>", "\n"), r"(?s)<[^>]+>", "")
-    # The text is named often: it is computed once.
-    decoded = F.get(F.transform(F.array(text), decode_entities), F.lit(0))
-    return F.regexp_replace(decoded, "\n+", "\n")
+    """Visible text of a page, however malformed: see `functions/html.py`."""
+    return visible_text(html)
 
 
 def html_title(html: Column) -> Column:
@@ -305,11 +279,16 @@ def token_count(s: Column) -> Column:
     return F.regexp_count(F.coalesce(s, F.lit("")), F.lit(COUNTED))
 
 
+def spaced_tokens(s: Column) -> Column:
+    """The tokens, each with the space before it."""
+    return F.regexp_extract_all(s, F.lit(r"(?U)\s*(?:" + COUNTED[4:] + ")"), F.lit(0))
+
+
 def truncate_tokens(s: Column, limit: Column | int, both_sides: bool = False) -> Column:
     """The first `limit` tokens with the space between them; with `both_sides`
     the first and last halves around '...'."""
     limit = F.lit(limit) if isinstance(limit, int) else limit
-    tokens = F.regexp_extract_all(s, F.lit(r"(?U)\s*(?:" + COUNTED[4:] + ")"), F.lit(0))
+    tokens = spaced_tokens(s)
     n, half = F.size(tokens), F.floor(limit / 2).cast("int")
     cut = lambda start, length: F.array_join(F.slice(tokens, start, length), "")
     head = cut(F.lit(1), F.greatest(limit, F.lit(0)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import structured as S
 from weftline.functions import text as T
+from weftline.operators import scan
 from weftline.scratch import materialize
 
 
@@ -96,3 +97,11 @@ def union_all(*frames: DataFrame) -> DataFrame:
 def distinct_files(first: Column, second: Column, kinds: list[str]) -> Column:
     """Files of both lists with a supported extension, each once, in order."""
     return F.filter(F.array_distinct(F.concat(first, second)), lambda f: F.lower(F.regexp_extract(f, r"\.([A-Za-z0-9]+)$", 1)).isin(kinds))
+
+
+def parts(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """Adds part: n parts of ceil(count / n) rows each, in order, the last ones
+    shorter or empty. Rows are numbered by ranges, not in one window."""
+    size = F.broadcast(rows.agg(F.greatest(F.ceil(F.count("*") / n), F.lit(1)).alias("_size")))
+    numbered = scan.ordered(rows.withColumn("_all", F.lit(0)), ["_all"], order).scan(_at=scan.running_sum(F.lit(1))).plain()
+    return numbered.join(size).withColumn("part", F.floor((F.col("_at") - 1) / F.col("_size"))).drop("_all", "_at", "_size")

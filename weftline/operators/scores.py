@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from weftline.functions import structured as S
 
@@ -72,22 +71,55 @@ def quality_total(*ratings: Column) -> tuple[Column, Column]:
     return total, total / F.lit(float(len(ratings)))
 
 
+#: Bins of one pass, and values that are put in order at the end.
+BINS, FEW = 4096, 4096
+
+
+def order_statistic(df: DataFrame, value: str, rank: int) -> float | None:
+    """The exact value at a rank (from 0) among the numbers that are not null,
+    NaN last. Each pass counts the values of BINS equal bins of what is left and
+    goes on in the bin that has the rank, between its least and greatest value; a
+    pass moves BINS sums a task, whatever the rows are."""
+    rows = df.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
+    infinite = float("inf")
+    plain = rows.filter(F.abs("v") < infinite)
+    least, n, most, nan = rows.agg(F.count_if(F.col("v") == -infinite), F.count_if(F.abs("v") < infinite), F.count_if(F.col("v") == infinite), F.count_if(F.isnan("v"))).first()
+    for special, times in ((-infinite, least), (None, n), (infinite, most), (float("nan"), nan)):
+        if rank < times:
+            break
+        rank -= times
+    else:
+        return None
+    if special is not None:
+        return special
+    low, high = plain.agg(F.min("v"), F.max("v")).first()
+    while low < high:
+        inside = plain.filter(F.col("v").between(low, high))
+        if n <= FEW:
+            return sorted(r.v for r in inside.collect())[rank]
+        half = 0.5 if high - low == infinite else 1.0
+        share = (F.col("v") * half - low * half) / F.lit(high * half - low * half)
+        bins = inside.groupBy(F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        for b in sorted(bins.collect()):
+            if rank < b.n:
+                n, low, high = b.n, b.low, b.high
+                break
+            rank -= b.n
+    return low
+
+
 def above_percentile(df: DataFrame, score: str, q: float = 0.9) -> DataFrame:
-    """Rows from the exact q-quantile (linear interpolation) up. A sketch brackets
-    the quantile, and only values inside the bracket (some hundred-thousandths of
-    all) are put in order; the driver sees the two values around the quantile."""
-    n = F.count(score).alias("n")
-    total = df.agg(n).first()["n"]
+    """Rows from the exact q-quantile (linear interpolation) up."""
+    total = df.agg(F.count(score)).first()[0]
     if not total:
         return df.limit(0).withColumn("threshold", F.col(score).cast("double"))
     at = q * (total - 1)
-    edges = [max(0.0, q - 3e-5 - 2 / total), min(1.0, q + 3e-5 + 2 / total)]
-    low, high = df.agg(F.percentile_approx(score, F.array(*map(F.lit, edges)), 100_000).alias("b")).first()["b"]
-    below = df.filter(F.col(score) < low).count()
-    inside = df.filter(F.col(score).between(low, high)).groupBy(F.col(score).alias("v")).agg(F.count("*").alias("n"))
-    upto = inside.select("v", (F.sum("n").over(W.orderBy("v").rowsBetween(W.unboundedPreceding, 0)) + below).alias("upto"))
-    first = lambda rank: F.min(F.when(F.col("upto") > rank, F.col("v").cast("double")))
-    a, b = upto.agg(first(int(at)), first(int(-(-at // 1)))).first()
+    a = order_statistic(df, score, int(at))
+    b = a
+    if at != int(at):
+        value = F.col(score).cast("double")
+        upto, above = df.agg(F.count_if(value <= a), F.min(F.when(value > a, value))).first()
+        b = a if upto > int(at) + 1 or above is None else above
     threshold = a if a == b else (int(at) + 1 - at) * a + (at - int(at)) * b
     return df.withColumn("threshold", F.lit(threshold)).filter(F.col(score) >= F.col("threshold"))
 

@@ -15,8 +15,8 @@ from weftline.functions import text as T
 from weftline.operators import records
 from weftline.plans.registry import query
 from weftline.scratch import scratch_path
-from weftline.sources import documents, readers, sinks
-from weftline.streaming import incremental
+from weftline.sources import documents, keyed, readers, sinks
+from weftline.streaming import incremental, stateful
 
 
 def _text_file(df: DataFrame, name: str) -> str:
@@ -131,6 +131,13 @@ def text_file_scan(t):
     return pages.filter("text <> ''").groupBy("text").agg(F.count("*").alias("n"))
 
 
+@query("SELECT doc_id::VARCHAR AS path, (generate_subscripts(string_split(text, chr(10)), 1) - 1)::INT AS paragraph, unnest(string_split(text, chr(10))) AS text FROM documents")
+def text_lines(t):
+    """Every line of a text is a paragraph, blank ones too."""
+    pages = documents.text_pages(t("documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("value")))
+    return pages.select("path", "paragraph", "text")
+
+
 @F.pandas_udf(BinaryType())
 def _office(parts: pd.Series) -> pd.Series:
     """Names and texts of an OOXML package's parts to its bytes."""
@@ -244,33 +251,74 @@ def stage_skip(t):
     SELECT event_id, CASE WHEN EXISTS (FROM events c WHERE c.event_id % 2 = 0 AND c.user_id = e.user_id AND c.event_type = e.event_type) THEN event_type || user_id END AS response FROM events e
 """)
 def response_cache(t):
-    """K8: replies by a hash of the request; a null part is no wildcard."""
+    """K8: replies by a hash of the request, looked up in a keyed table."""
     key = sinks.cache_key(F.col("event_type"), F.col("user_id"))
-    cache = t("events").filter("event_id % 2 = 0").select(key.alias("key"), F.concat("event_type", F.col("user_id").cast("string")).alias("response")).dropDuplicates(["key"])
-    return t("events").select("event_id", key.alias("key")).join(cache, "key", "left").select("event_id", "response")
+    spark = t("events").sparkSession
+    cache = keyed.KeyedTable(spark, scratch_path(spark, "cache"), buckets=8)
+    cache.put(t("events").filter("event_id % 2 = 0").select(key.alias("key"), F.concat("event_type", F.col("user_id").cast("string")).alias("value")))
+    return cache.lookup(t("events").select("event_id", key.alias("key")), "key").select("event_id", F.col("value").alias("response"))
 
 
 @query("SELECT doc_id, upper(source) AS source, n_chars FROM documents")
 def resumable_inference(t):
     """§2.15: the stream is started twice over rows that are there twice; each is
-    worked on once."""
-    docs = t("documents").select("doc_id", "source", "n_chars")
+    worked on once. Every document has the same time, so none is late."""
+    docs = t("documents").select("doc_id", "source", "n_chars", F.timestamp_seconds(F.lit(1_000_000)).alias("seen"))
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "stream")
     docs.unionByName(docs).write.parquet(f"{path}/in")
     source = spark.readStream.schema(docs.schema).parquet(f"{path}/in")
     for _ in range(2):
-        incremental.resumable(source, lambda df: df.withColumn("source", F.upper("source")), f"{path}/out", f"{path}/checkpoint", "doc_id").awaitTermination()
+        incremental.resumable(source, lambda df: df.withColumn("source", F.upper("source")), f"{path}/out", f"{path}/checkpoint", "doc_id", time="seen").awaitTermination()
     return spark.read.parquet(f"{path}/out").select("doc_id", "source", "n_chars")
 
 
-@query("SELECT conv_id, count(*) AS messages, count(*) FILTER (role = 'user') AS user_turns FROM conversations GROUP BY 1")
+@query("""
+    WITH w AS (SELECT *, CASE WHEN epoch_us(ts) // 1000 - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts)) // 1000 < 1800000 THEN 0 ELSE 1 END AS c FROM events),
+    g AS (SELECT *, sum(c) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM w)
+    SELECT user_id AS conv_id, epoch_us(min(ts)) // 1000 AS start_ms, epoch_us(max(ts)) // 1000 AS end_ms, count(*) AS messages, count(*) FILTER (event_type = 'click') AS user_turns FROM g GROUP BY user_id, s
+""")
 def conversation_state(t):
-    """§2.15: one fold a conversation, in a stream's state."""
-    rows = t("conversations").select("conv_id", "role")
-    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "conversations")
-    rows.write.parquet(f"{path}/in")
-    state = incremental.conversation_state(spark.readStream.schema(rows.schema).parquet(f"{path}/in"))
-    # One batch reads all there is: its rows are the last of each conversation.
-    write = state.writeStream.outputMode("update").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-    write.foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{path}/out/batch_id={n}")).start().awaitTermination()
-    return spark.read.parquet(f"{path}/out").groupBy("conv_id").agg(F.max("messages").alias("messages"), F.max("user_turns").alias("user_turns"))
+    """§2.15: a fold a conversation in a stream's state: sessions of users, whose
+    clicks count as user turns. The log comes in three parts, with a restart
+    before the last."""
+    log = t("events").select(F.col("user_id").alias("conv_id"), F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("event_type") == "click", "user").otherwise(F.col("event_type")).alias("role"), F.lit(None).cast("string").alias("call_id"))
+    spark, path = log.sparkSession, scratch_path(log.sparkSession, "conversations")
+    # Files are taken in order of their time.
+    source = lambda: spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    for part, more in enumerate((False, True, True)):
+        days = F.greatest(F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)), F.lit(0))
+        log.filter(days == part).coalesce(1).write.mode("append" if part else "overwrite").parquet(f"{path}/in")
+        if more:
+            stateful.run(stateful.conversation_sessions(source()), f"{path}/out", f"{path}/checkpoint")
+    return stateful.latest_sessions(spark.read.parquet(f"{path}/out")).select("conv_id", "start_ms", "end_ms", "messages", "user_turns")
+
+
+_PIECES = "p AS (SELECT conv_id AS stream, turn AS call_index, role, unnest(string_split(text, '. ')) AS a, generate_subscripts(string_split(text, '. '), 1) - 1 AS seq FROM conversations)"
+_CALLS = f"WITH {_PIECES} SELECT stream, call_index, any_value(role) AS name, string_agg(a, '' ORDER BY seq) AS arguments FROM p GROUP BY ALL"
+
+
+def _fragments(t):
+    """Messages as calls: the role is the name, sentences are the fragments."""
+    rows = t("conversations").select(F.col("conv_id").alias("stream"), F.col("turn").alias("call_index"), "role", F.posexplode(F.split("text", r"\. ")).alias("seq", "arguments"))
+    return rows.select("stream", "call_index", F.col("seq").cast("bigint").alias("seq"), F.when(F.col("seq") == 0, F.col("role")).otherwise("").alias("name"), "arguments")
+
+
+@query(_CALLS)
+def call_fragments(t):
+    """§2.15: fragments of each call, joined in one pass."""
+    return incremental.join_call_fragments(_fragments(t))
+
+
+@query(_CALLS)
+def streamed_call_fragments(t):
+    """§2.15: the same from a stream in which every third fragment comes late, a
+    batch after those behind it, and some come twice; restarted in between."""
+    rows = _fragments(t)
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "fragments")
+    late = F.pmod(F.xxhash64("stream", "call_index", "seq"), F.lit(3)) == 0
+    for part in (rows.filter(~late), rows.filter(late | (F.col("seq") == 1))):
+        part.write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+        stateful.run(stateful.call_fragments(source), f"{path}/out", f"{path}/checkpoint")
+    done = spark.read.parquet(f"{path}/out").groupBy("stream", "call_index").agg(F.max_by(F.struct("name", "arguments"), "fragments").alias("x"))
+    return done.select("stream", "call_index", "x.*")

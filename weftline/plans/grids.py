@@ -73,16 +73,31 @@ def distinct_values(t):
     return rows.select("user_id", F.concat(F.lit("["), F.array_join("k", ", "), F.lit("]")).alias("kinds"))
 
 
-@query("SELECT count(*) AS n, TRUE AS stable, TRUE AS share, TRUE AS other_seed, 10 AS picks, 10 AS numbers FROM documents")
+_DRAW = "('0x' || substr(md5({}), 1, 13))::BIGINT"
+
+
+@query(f"""
+    SELECT doc_id, CASE WHEN {_DRAW.format("'1|' || doc_id")} % 1000000 < 200000 THEN 'zh' ELSE 'en' END AS language, {_DRAW.format("'2|' || doc_id || '|' || coalesce(lang, 'null')")} % 1000000 < 500000 AS masked,
+           {_DRAW.format("'3|' || doc_id")} % 7 AS persona, {_DRAW.format("'4|' || doc_id")} % 1000000 < 500000 AS use_query, list_sort(list_distinct(string_split(text, ' ')))[1 + {_DRAW.format("'42|' || doc_id")} % len(list_distinct(string_split(text, ' ')))] AS question,
+           {_DRAW.format("'0|' || text")} % 10000 AS call_number FROM documents
+""")
 def seeded_choice(t):
-    """The same answer twice, about the share asked for, another
-    one by another seed, every option taken; a call number in its range."""
-    rows = t("documents").select(S.coin(1, 0.2, F.col("doc_id")).alias("a"), S.coin(1, 0.2, F.col("doc_id")).alias("b"), S.coin(2, 0.2, F.col("doc_id")).alias("c"), S.pick(1, 10, F.col("doc_id")).alias("p"), S.call_number(F.col("text")).alias("n"))
-    return rows.agg(
-        F.count("*").alias("n"),
-        F.bool_and((F.col("a") == F.col("b")) & F.col("n").between(0, 9999)).alias("stable"),
-        F.avg(F.col("a").cast("int")).between(0.1, 0.3).alias("share"),
-        F.bool_or(F.col("a") != F.col("c")).alias("other_seed"),
-        F.count_distinct("p").cast("int").alias("picks"),
-        F.count_distinct(F.when(F.col("n") >= 0, F.pmod("n", F.lit(10)))).cast("int").alias("numbers"),
-    )
+    """Weighted language, masked example, persona, coin, one of
+    the words as a question by seed 42, call number."""
+    doc, words = F.col("doc_id"), F.array_sort(F.array_distinct(F.split("text", " ")))
+    return t("documents").select(
+        "doc_id", F.when(S.coin(1, 0.2, doc), "zh").otherwise("en").alias("language"), S.coin(2, 0.5, doc, F.col("lang")).alias("masked"), S.pick(3, 7, doc).alias("persona"),
+        S.coin(4, 0.5, doc).alias("use_query"), S.choice(words, 42, doc).alias("question"), S.call_number(F.col("text")).alias("call_number"),
+    )
+
+
+@query("SELECT event_id, ((row_number() OVER (ORDER BY event_id) - 1) // (SELECT ceil(count(*) / 8)::BIGINT FROM events))::BIGINT AS part FROM events")
+def process_split(t):
+    """Eight parts of ceil(n / 8) rows, in order."""
+    return generators.parts(t("events").select("event_id"), ["event_id"], 8)
+
+
+@query("SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 20")
+def debug_limit(t):
+    """T5: the first rows, for a look at what a job would do."""
+    return t("documents").select("doc_id", "source").orderBy("doc_id").limit(20)

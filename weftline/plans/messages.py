@@ -29,16 +29,52 @@ def tool_batch_islands(t):
 
 
 @query("""
-    WITH n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations),
+    WITH c AS (SELECT conv_id, turn, CASE WHEN conv_id % 3 = 0 AND turn % 2 = 1 THEN '答案是中文' || turn WHEN conv_id % 5 = 0 AND turn % 2 = 1 THEN '42' ELSE text END AS text FROM conversations),
+    n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM c),
     q AS (SELECT conv_id, max(text) FILTER (n = 2) AS query, arg_max(text, turn) AS answer FROM n GROUP BY 1),
-    l AS (SELECT *, length(regexp_replace(coalesce(query, ''), '\\P{L}', '', 'g')) AS a, length(regexp_replace(coalesce(answer, ''), '\\P{L}', '', 'g')) AS b FROM q)
-    SELECT conv_id, query, answer, CASE WHEN a = 0 THEN 'unknown' ELSE 'en' END AS query_language, TRUE AS consistent FROM l
+    l AS (SELECT *, length(regexp_replace(coalesce(query, ''), '[^一-鿿]', '', 'g')) AS qh, length(regexp_replace(coalesce(query, ''), '[一-鿿]|\\P{L}', '', 'g')) AS qo,
+                 length(regexp_replace(coalesce(answer, ''), '[^一-鿿]', '', 'g')) AS ah, length(regexp_replace(coalesce(answer, ''), '[一-鿿]|\\P{L}', '', 'g')) AS ao FROM q),
+    k AS (SELECT *, CASE WHEN qh + qo = 0 THEN 'unknown' WHEN qh > 0.6 * (qh + qo) THEN 'zh' WHEN qo > 0.7 * (qh + qo) THEN 'en' ELSE 'mixed' END AS a,
+                    CASE WHEN ah + ao = 0 THEN 'unknown' WHEN ah > 0.6 * (ah + ao) THEN 'zh' WHEN ao > 0.7 * (ah + ao) THEN 'en' ELSE 'mixed' END AS b FROM l)
+    SELECT conv_id, query, answer, a AS query_language, a = 'unknown' OR b = 'unknown' OR a = b AS consistent FROM k
 """)
 def query_answer_pair(t):
-    pairs = messages.query_and_answer(t("conversations"), "conv_id", "turn", "text")
+    """every third conversation answers in Chinese, some with a number alone."""
+    odd = F.col("turn") % 2 == 1
+    text = F.when((F.col("conv_id") % 3 == 0) & odd, F.concat(F.lit("答案是中文"), F.col("turn").cast("string"))).when((F.col("conv_id") % 5 == 0) & odd, "42").otherwise(F.col("text"))
+    pairs = messages.query_and_answer(t("conversations").withColumn("text", text), "conv_id", "turn", "text")
     return pairs.select("conv_id", "query", "answer", T.language(F.col("query")).alias("query_language"), T.same_language(F.col("query"), F.col("answer")).alias("consistent"))
 
 
+#: Tokens with the space before them, as the library counts them.
+_SPACED = r"regexp_extract_all(text, '\s*(?:[\p{L}\p{N}]+|[^\s\p{L}\p{N}])')"
+
+
+@query(f"""
+    WITH RECURSIVE m AS (SELECT conv_id, turn, CASE WHEN turn % 4 = 3 THEN 'function' ELSE role END AS role, text, {_SPACED} AS k, turn = max(turn) OVER (PARTITION BY conv_id) AS newest FROM conversations),
+    o AS (SELECT *, len(k) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS pos FROM m WHERE role <> 'system'),
+    r AS (
+        SELECT c.conv_id, 0::BIGINT AS pos, 150 - coalesce(sum(len(k)) FILTER (role = 'system'), 0)::BIGINT AS room, false AS done, NULL::VARCHAR AS said FROM m c GROUP BY 1
+        UNION ALL
+        SELECT conv_id, pos, CASE WHEN n <= room THEN room - n ELSE room END, n > room AND role <> 'function',
+               CASE WHEN n <= room THEN role || ':' || text WHEN role = 'function' THEN 'function:' || CASE WHEN room // 2 > 0 THEN array_to_string(k[1:room // 2], '') || '...' || array_to_string(k[-(room // 2):], '') ELSE '...' END
+                    WHEN role = 'user' AND NOT newest THEN 'user:' || array_to_string(k[1:room], '') END
+        FROM (SELECT o.*, r.room FROM r JOIN o ON o.conv_id = r.conv_id AND o.pos = r.pos + 1 WHERE NOT r.done)),
+    s AS (SELECT conv_id, -turn - 1000000 AS pos, 'system:' || text AS said, turn FROM m WHERE role = 'system'),
+    u AS (SELECT conv_id, -pos AS pos, said FROM r WHERE said IS NOT NULL UNION ALL SELECT conv_id, -2000000 + turn, said FROM s)
+    SELECT conv_id, count(said) AS kept, coalesce(string_agg(said, chr(10) ORDER BY u.pos), '') AS said FROM (SELECT DISTINCT conv_id FROM m) LEFT JOIN u USING (conv_id) GROUP BY 1
+""")
+def message_truncate_exact(t):
+    """W7, the exact rule: newest first within 150 tokens; a user message that does
+    not fit is cut and ends it, a function message is cut on both sides and the
+    walk goes on, any other ends it. Every fourth message is one of a function."""
+    role = F.when(F.col("turn") % 4 == 3, "function").otherwise(F.col("role"))
+    rows = t("conversations").select("conv_id", "turn", role.alias("role"), F.col("text").alias("content"), T.token_count(F.col("text")).alias("tokens"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "content", "tokens"))), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), m["tokens"].alias("tokens")))
+    kept = rows.groupBy("conv_id").agg(listed.alias("m")).select("conv_id", messages.truncate_messages(F.col("m"), 150).alias("m"))
+    return kept.select("conv_id", F.size("m").cast("bigint").alias("kept"), F.array_join(F.transform("m", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n").alias("said"))
+
+
 @query("""
     WITH f AS (SELECT conv_id, min(turn) AS t FROM conversations WHERE role = 'assistant' GROUP BY 1)
     SELECT f.conv_id, (SELECT arg_max(c.text, c.turn) FROM conversations c WHERE c.conv_id = f.conv_id AND c.role = 'user' AND c.turn < f.t) AS query,

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from weftline.functions import structured as S
 from weftline.functions import text as T
-from weftline.models import provider
+from weftline.models import provider, tools
 from weftline.operators import codecs, generators, joins, messages, records, retrieval, scores
 from weftline.plans.registry import query
-from weftline.sources import readers, sinks
+from weftline.scratch import materialize, scratch_path
+from weftline.sources import keyed, readers
 
 
 @query("""
@@ -127,13 +128,26 @@ def token_truncation(t):
 
 
 @query("""
-    SELECT event_id, (json_extract(props, '$.k'))::BIGINT AS k, 1.5::DOUBLE AS mean, 'call_' || (event_id % 7) AS call_id, user_id = 3 AS nothing FROM events
+    SELECT event_id, (json_extract(props, '$.k'))::BIGINT AS k, 1.5::DOUBLE AS mean, 'call_' || (event_id % 7) AS call_id, user_id = 3 AS nothing,
+           event_id AS hex, -user_id AS signed, event_type || chr(39) || 's "A" ' || event_id AS said, [user_id, event_id]::BIGINT[] AS list, event_id % 3 <> 0 AS ok FROM events
 """)
 def reply_fields(t):
-    """A12, N11, N14, N16 and null words"""
-    loose = F.regexp_replace("props", '"', "'")
+    """A12, N11, N14, N16 and null words. The reply is JSON5: comments, bare and
+    single-quoted names, escapes, hexadecimal and signed numbers, commas behind
+    the last member; every third has one too many."""
+    text = lambda c: F.col(c).cast("string")
+    reply = F.concat(
+        F.lit("```json\n{// note\nprops: "), F.regexp_replace("props", '"', "'"), F.lit(", 'hex': 0x"), F.hex("event_id"), F.lit(", signed: -"), text("user_id"),
+        F.lit(", said: '"), "event_type", F.lit("\\'s \\x22\\u0041\\x22 "), text("event_id"), F.lit("', /* list */ list: [+"), text("user_id"), F.lit(", "), text("event_id"), F.lit(".,],"),
+        F.when(F.col("event_id") % 3 == 0, ",").otherwise(""), F.lit("}\n```"),
+    )
+    fixed = S.loose_json(F.replace(reply, F.lit(",,}"), F.lit(",}")))
+    get = lambda path, kind: F.try_variant_get(fixed, path, kind)
     listed = S.score_list(S.strict_json(F.lit('{"tool_score_list": [1, "2", "x", null]}')))
-    return t("events").select("event_id", S.loose_json(loose, "k bigint")["k"].alias("k"), S.mean(listed).alias("mean"), S.call_id(F.lit(""), F.col("event_id") % 7).alias("call_id"), S.null_word(F.when(F.col("user_id") == 3, "None").otherwise("x")).isNull().alias("nothing"))
+    return t("events").select(
+        "event_id", get("$.props.k", "bigint").alias("k"), S.mean(listed).alias("mean"), S.call_id(F.lit(""), F.col("event_id") % 7).alias("call_id"), S.null_word(F.when(F.col("user_id") == 3, "None").otherwise("x")).isNull().alias("nothing"),
+        get("$.hex", "bigint").alias("hex"), get("$.signed", "bigint").alias("signed"), get("$.said", "string").alias("said"), get("$.list", "array<bigint>").alias("list"), S.loose_json(reply).isNotNull().alias("ok"),
+    )
 
 
 @query("""
@@ -188,16 +202,40 @@ def sandbox_replay(t):
     return provider.sandbox(rows.drop("lang"), table).select("doc_id", "status", "stdout")
 
 
-@query("""
+_KEPT = """
     SELECT 'c/' || c_custkey AS key, CASE WHEN c_custkey % 5 = 0 THEN 'new' ELSE c_name END AS value FROM customer WHERE c_custkey % 7 <> 0
-""")
+"""
+
+
+def _customers(t):
+    """A log of four folders: two puts, a put over some of their keys, a delete."""
+    name = F.concat(F.lit("c/"), F.col("c_custkey").cast("string")).alias("key")
+    spark = t("customer").sparkSession
+    table = keyed.KeyedTable(spark, scratch_path(spark, "keyed"), buckets=8)
+    table.put(t("customer").select(name, F.col("c_name").alias("value")))
+    table.put(t("supplier").select(F.concat(F.lit("s/"), F.col("s_suppkey").cast("string")).alias("key"), F.col("s_name").alias("value")))
+    table.put(t("customer").filter("c_custkey % 5 = 0").select(name, F.lit("new").alias("value")))
+    table.delete(t("customer").filter("c_custkey % 7 = 0").select(name))
+    return table
+
+
+@query(_KEPT)
 def kv_store(t):
     """Put, delete, and a scan below a prefix."""
-    name = F.concat(F.lit("c/"), F.col("c_custkey").cast("string")).alias("key")
-    store = t("customer").select(name, F.col("c_name").alias("value"))
-    other = t("supplier").select(F.concat(F.lit("s/"), F.col("s_suppkey").cast("string")).alias("key"), F.col("s_name").alias("value"))
-    put = sinks.kv_put(store.unionByName(other), t("customer").filter("c_custkey % 5 = 0").select(name, F.lit("new").alias("value")))
-    return readers.kv_scan(sinks.kv_delete(put, t("customer").filter("c_custkey % 7 = 0").select(name)), "c")
+    return _customers(t).scan("c/")
+
+
+@query(_KEPT)
+def kv_store_compacted(t):
+    """The same after compaction, with what is deleted then and put back later."""
+    table = _customers(t)
+    some = table.scan("c/").filter(F.length("key") % 2 == 0)
+    table.delete(some)
+    table.compact()
+    table.put(materialize(_customers(t).scan("c/"), "again"))
+    table.compact()
+    table.vacuum()
+    return table.scan("c/")
 
 
 @query("""
@@ -248,3 +286,37 @@ def files_and_mentions(t):
     """U5, U7, J20"""
     files = generators.distinct_files(F.array(F.concat("lang", F.lit(".txt")), F.lit("x.pdf"), F.lit("y.exe")), F.array(F.lit("x.pdf")), ["txt", "pdf"])
     return t("documents").select("doc_id", F.array_join(files, ",").alias("files"), F.array_join(joins.mentioned(F.concat(F.lit("hello @"), "lang"), ["fr", "xx"]), ",").alias("mentioned"))
+
+
+@query("SELECT event_type AS tool, user_id, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
+def dynamic_tools(t):
+    """§2.16: a tool a kind of event, registered from rows of a catalogue and
+    called by SQL, its calls dealt out by user."""
+    spark = t("events").sparkSession
+    rules = '{"type": "object", "properties": {"user_id": {"type": "integer"}, "value": {"type": "number"}}, "required": ["user_id", "value"], "additionalProperties": false}'
+    kinds = t("events").select("event_type").distinct().filter("event_type IS NOT NULL")
+    catalogue = kinds.select(F.concat(F.lit("tool_"), "event_type").alias("name"), F.concat(F.lit("Sums up "), "event_type").alias("description"), F.lit(rules).alias("parameters"), F.lit("totals").alias("function"), F.lit("user_id bigint, n bigint, total double").alias("returns"))
+    found = []
+    for name in tools.register(spark, catalogue):
+        kind = name.removeprefix("tool_")
+        calls = t("events").filter(F.col("event_type") == kind).select("user_id", "value")
+        found.append(spark.sql(f"SELECT '{kind}' AS tool, * FROM {name}(TABLE({{calls}}) PARTITION BY (user_id), 'user_id', 'value')", calls=calls))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.withColumn("total", F.round("total", 6))
+
+
+@query("""
+    WITH c AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS chunk_id FROM documents),
+    s AS (SELECT doc_id, chunk_id::INT AS chunk_id, len(list_intersect(list_distinct(regexp_split_to_array(lower(text), '[ ]+')), ['the', 'and', 'der', 'la']))::DOUBLE AS score FROM c),
+    r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id, chunk_id) AS rank FROM s WHERE score > 0)
+    SELECT doc_id, chunk_id, score FROM r WHERE rank <= 50
+""")
+def searcher_plugin(t):
+    """§2.16: a searcher called by its name; the 50 best chunks of all documents."""
+    spark = t("documents").sparkSession
+    tools.searcher(spark, "by_overlap", "overlap")
+    chunks = t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("chunk_id", "text"))
+    scores = spark.sql("SELECT * FROM by_overlap(TABLE({chunks}) PARTITION BY (doc_id) ORDER BY (chunk_id), 'the and der la')", chunks=chunks)
+    return scores.orderBy(F.desc("score"), "doc_id", "chunk_id").limit(50)

@@ -23,3 +23,8 @@ def query(oracle: str | None = None):
         return f
 
     return keep
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows in as many partitions as shuffles have, by key."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from weftline.functions import text as T
-from weftline.operators import retrieval
+from weftline.operators import lexicon, retrieval
 from weftline.operators import vectors as vectors_of
 from weftline.plans.registry import query
+from weftline.scratch import materialize
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in T.STOP_WORDS)
 _PUNCTUATION = T.PUNCTUATION.replace("'", "''")
@@ -26,16 +26,22 @@ def token_stats(t):
     return retrieval.corpus_stats(retrieval.terms(t("documents"), ["doc_id"], "text", stemmed=False), ["doc_id"])[0]
 
 
+#: A lexicon in which the greedy cut (longest word first) is not the best one.
+_LEXICON = [("研究", -2.0), ("研究生", -3.0), ("生命", -2.5), ("命", -6.0), ("研", -7.0), ("究", -7.0), ("生", -6.0), ("命研", -9.0)]
+
+
 @query(rf"""
-    WITH zh AS (SELECT doc_id AS id, regexp_replace(text, '[ \n]', '中文', 'g') AS text FROM documents WHERE doc_id % 2 = 0),
+    WITH zh AS (SELECT doc_id AS id, regexp_replace(text, '[ \n]', '研究生命', 'g') AS text FROM documents WHERE doc_id % 2 = 0),
     src AS (SELECT id, regexp_replace(text, '[一-鿿]+', ' ', 'g') AS text FROM zh UNION ALL SELECT doc_id, text FROM documents WHERE doc_id % 2 = 1), {_TOKENS},
-    runs AS (SELECT id, unnest(regexp_extract_all(text, '[一-鿿]+')) AS r FROM zh), pairs AS (SELECT id, substr(r, i, 2) AS term FROM (SELECT id, r, unnest(range(1, length(r))) AS i FROM runs))
-    SELECT term, count(*) AS df, sum(tf)::BIGINT AS tf FROM (FROM tf UNION ALL SELECT id, term, count(*) FROM pairs GROUP BY ALL) GROUP BY 1
+    w AS (SELECT id, unnest(['研究', '生命']) AS term, (length(text) - length(replace(text, '研究生命', ''))) // 4 AS tf FROM zh)
+    SELECT term, count(*) AS df, sum(tf)::BIGINT AS tf FROM (FROM tf UNION ALL FROM w WHERE tf > 0) GROUP BY 1
 """)
 def chinese_terms(t):
-    """half the texts with Chinese words for blanks; the others as they are."""
-    text = F.when(F.col("doc_id") % 2 == 0, F.regexp_replace("text", "[ \n]", "中文")).otherwise(F.col("text"))
-    tf = retrieval.terms(t("documents").select("doc_id", text.alias("text")), ["doc_id"], "text", stemmed=False)
+    """half the texts with Chinese for blanks, cut by a fixed lexicon; the
+    others as they are."""
+    text = F.when(F.col("doc_id") % 2 == 0, F.regexp_replace("text", "[ \n]", "研究生命")).otherwise(F.col("text"))
+    cut = lexicon.segmenter(t("documents").sparkSession.createDataFrame(_LEXICON, "word string, weight double"))
+    tf = retrieval.terms(t("documents").select("doc_id", text.alias("text")), ["doc_id"], "text", stemmed=False, cut=cut)
     return tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
 
 
@@ -44,8 +50,7 @@ def stemmed_search(t):
     """the ten best documents by stems; every second item is a keyword
     request. Stemming is no SQL; tests hold it against published pairs."""
     request = F.when(F.col("item_id") % 2 == 0, F.to_json(F.struct(F.array(F.lit("作者")).alias("keywords_zh"), F.slice(F.split("text", " "), 1, 3).alias("keywords_en"), "text"))).otherwise(F.col("text"))
-    scores = retrieval.bm25(t("documents"), t("benchmark").select("item_id", request.alias("text")), ["doc_id"], "item_id")
-    return retrieval.top_k(scores.withColumn("score", F.round("score", 6)), ["item_id"], ["doc_id"], 10)
+    return retrieval.bm25_top(t("documents"), t("benchmark").select("item_id", request.alias("text")), ["doc_id"], "item_id", 10)
 
 
 @query(rf"""
@@ -71,27 +76,22 @@ _BM25 = f"""
 """
 
 
-def _bm25(t):
-    scores = retrieval.bm25(t("documents"), t("benchmark"), ["doc_id"], "item_id", stemmed=False)
-    return retrieval.ranked(scores.withColumn("score", F.round("score", 6)), ["item_id"], ["doc_id"])
-
-
 @query(_BM25 + "SELECT item_id, doc_id, score, rank::INT AS rank FROM r WHERE rank <= 10")
 def bm25_topk(t):
-    return _bm25(t).filter("rank <= 10")
+    return retrieval.bm25_top(t("documents"), t("benchmark"), ["doc_id"], "item_id", 10, stemmed=False)
 
 
 @query(_BM25 + """, l AS (SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS rank FROM documents),
-    fu AS (SELECT item_id, doc_id, 1.0::DOUBLE / (rank + 60) AS w FROM r UNION ALL SELECT item_id, doc_id, 1.0::DOUBLE / (l.rank + 60) FROM benchmark, l WHERE l.rank <= 50),
+    fu AS (SELECT item_id, doc_id, 1.0::DOUBLE / (rank + 60) AS w FROM r UNION ALL SELECT item_id, doc_id, 1.0::DOUBLE / (l.rank + 60) FROM benchmark, l),
     g AS (SELECT item_id, doc_id, round(sum(w), 9) AS score FROM fu GROUP BY ALL)
     SELECT item_id, doc_id, score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM g) WHERE rank <= 10
 """)
 def rrf_fusion(t):
-    # Items of the benchmark are few by design; the second ranking is 50 rows long.
-    longest = t("documents").select("doc_id", F.col("n_chars").alias("score")).orderBy(F.desc("score"), "doc_id").limit(50)
-    longest = retrieval.ranked(longest.withColumn("all", F.lit(0)), ["all"], ["doc_id"]).select("doc_id", "rank")
-    other = t("benchmark").select("item_id").join(F.broadcast(longest))
-    fused = retrieval.fuse([_bm25(t).select("item_id", "doc_id", "rank"), other], ["item_id", "doc_id"])
+    """Two rankings of all documents: by BM25 and, the same for every item, by length."""
+    scores = retrieval.bm25(t("documents"), t("benchmark"), ["doc_id"], "item_id", stemmed=False).withColumn("score", F.round("score", 6))
+    by_words = retrieval.rank_all(scores, ["item_id"], ["doc_id"])
+    by_length = retrieval.rank_all(t("documents").select("doc_id", F.col("n_chars").cast("double").alias("score"), F.lit(0).alias("all")), ["all"], ["doc_id"])
+    fused = retrieval.fuse_with_common(by_words, materialize(by_length, "lengths"), t("benchmark"), "item_id", "doc_id", 10)
     return retrieval.top_k(fused.withColumn("score", F.round("score", 9)), ["item_id"], ["doc_id"], 10)
 
 

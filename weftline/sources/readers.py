@@ -95,15 +95,6 @@ def files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return raw.select("path", T.html_sniff_type(F.col("path"), decode_text(F.col("content"))).alias("kind"), "content", F.sha2("path", 256).alias("key"))
 
 
-def kv_get(store: DataFrame, key: str) -> DataFrame:
-    return store.filter(F.col("key") == key)
-
-
-def kv_scan(store: DataFrame, prefix: str) -> DataFrame:
-    """Entries below a path-like prefix."""
-    return store.filter((F.col("key") == prefix.rstrip("/")) | F.col("key").startswith(prefix.rstrip("/") + "/"))
-
-
 def lookup_code(rows: DataFrame, codes: DataFrame, name: str, code: str) -> DataFrame:
     """Exact name to code; an error text without one."""
     found = rows.join(codes.select(name, code), name, "left")

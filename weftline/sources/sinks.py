@@ -1,5 +1,5 @@
 """Sinks: JSONL in overwrite and append forms, two results of one pass, a file
-a case, key-value upserts, stage skips, response caches."""
+a case, stage skips, keys of response caches (see `keyed` for the tables)."""
 
 from __future__ import annotations
 
@@ -31,15 +31,6 @@ def write_cases(df: DataFrame, path: str, case: str) -> None:
     df.write.mode("overwrite").partitionBy(case).json(path)
 
 
-def kv_put(store: DataFrame, new: DataFrame) -> DataFrame:
-    """key, value: new entries replace old ones."""
-    return store.join(new.select("key"), "key", "left_anti").unionByName(new)
-
-
-def kv_delete(store: DataFrame, keys: DataFrame) -> DataFrame:
-    return store.join(keys.select("key"), "key", "left_anti")
-
-
 def stage_done(spark: SparkSession, path: str) -> bool:
     """Whether a stage's folder has its success mark, on any file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")

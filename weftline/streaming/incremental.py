@@ -1,20 +1,22 @@
 """Streaming forms: resumable inference over a growing folder, token deltas,
-conversation state, event-time windows."""
+event-time windows. Folds with state of their own are in `stateful`."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def resumable(source: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str, done: DataFrame | None = None) -> StreamingQuery:
+def resumable(source: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str, done: DataFrame | None = None, time: str | None = None, late: str = "1 day") -> StreamingQuery:
     """Every key goes through `work` once, in the micro-batch that first has it.
     Keys are kept in the stream's state, so that a batch costs its own rows and
-    not all earlier ones (use the RocksDB state store for many). A batch is a
+    not all earlier ones (use the RocksDB state store for many). With an event
+    `time`, state is bounded: a key is forgotten once the watermark, `late` behind
+    the latest time, has passed it, and rows behind the watermark are left out;
+    otherwise keys are kept for ever. A batch is a
     folder `batch_id=n` of `out`, written anew if it is repeated after a failure.
     Rows whose key is in `done`, the output of an earlier job, are left out."""
 
@@ -22,7 +24,8 @@ def resumable(source: DataFrame, work: Callable[[DataFrame], DataFrame], out: st
         todo = rows if done is None else rows.join(done.select(key), key, "left_anti")
         work(todo).write.mode("overwrite").parquet(f"{out}/batch_id={number}")
 
-    return source.dropDuplicates([key]).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    once = source.withWatermark(time, late).dropDuplicatesWithinWatermark([key]) if time else source.dropDuplicates([key])
+    return once.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def join_deltas(deltas: DataFrame, stream: str = "stream", seq: str = "seq", delta: str = "delta") -> DataFrame:
@@ -47,25 +50,3 @@ def windowed_counts(events: DataFrame, length: str = "10 minutes", slide: str |
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Sessions of a user: events no further apart than the gap."""
     return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "user_id", "n")
-
-
-def conversation_state(messages: DataFrame, idle_ms: int | None = None) -> DataFrame:
-    """Stateful fold over a stream of (conv_id, role): after each micro-batch,
-    one row for each conversation in it with its messages and user turns so far.
-    A conversation without messages for `idle_ms` is forgotten; such a stream
-    goes on without data, so it is none for an availableNow trigger."""
-
-    def fold(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        n, users = state.get if state.exists else (0, 0)
-        for f in frames:
-            n, users = n + len(f), users + int((f["role"] == "user").sum())
-        state.update((n, users))
-        if idle_ms:
-            state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame({"conv_id": [key[0]], "messages": [n], "user_turns": [users]})
-
-    timeout = "ProcessingTimeTimeout" if idle_ms else "NoTimeout"
-    return messages.groupBy("conv_id").applyInPandasWithState(fold, "conv_id bigint, messages bigint, user_turns bigint", "messages bigint, user_turns bigint", "update", timeout)
