@@ -74,7 +74,8 @@ def run(spark, texts, over, under):
 
 
 @pytest.mark.parametrize("shape", ["template", "copies", "mixed", "chain"])
-def test_no_link_is_lost(spark, shape):
+def test_no_link_is_lost(spark, shape, monkeypatch):
+    monkeypatch.setattr(near_sets, "CROWDED_LATER", 24)  # so that groups of this size take several levels
     rng = random.Random(9)
     base = [f"b{rng.randrange(9000)}" for _ in range(200)]
 

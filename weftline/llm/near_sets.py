@@ -19,7 +19,7 @@ a key are paired and verified. A crowded key's sets are a group:
 3. Any other pair must share a number of residual elements that is known from W.
    By the prefix filter it shares one among the rarest |R| - number + 1 elements
    of each, so these become the keys of the next level. An element of a residue
-   belongs to half the group at most, so groups shrink to CROWDED within
+   belongs to half the group at most, so groups shrink to CROWDED_LATER within
    log2(size) levels.
 
 Nothing is dropped on the way: for all pairs that share a key of the first
@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 
 from weftline.llm import _common as C
 
-#: Sets under one key up to which all pairs are verified.
-CROWDED = 8
+#: Sets under one key up to which all pairs are verified: at the first level, and at
+#: the later ones, where only pairs with a far set count.
+CROWDED, CROWDED_LATER = 32, 128
 #: Rounds in which groups that share sets become one; not all need to.
 MERGES = 4
 
@@ -92,20 +93,21 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(some.column(0).to_numpy(), [len(s) for s in sets])), pa.array(np.concatenate(sets))], ["g", "f"])
 
 
-def _groups(keyed: DataFrame, total: int, merge: bool) -> tuple[DataFrame, DataFrame]:
+def _groups(keyed: DataFrame, total: int, first: bool) -> tuple[DataFrame, DataFrame]:
     """Sets (t, key, u) to pairs (a, b) of the keys that are not crowded, and
     members (g, t) of the others' groups. A pair, and a group, needs a set
-    with u. Crowded keys of equal members are one group; with `merge`, so are those
-    that share sets, so that a set is in few groups, mostly in one."""
+    with u. Crowded keys of equal members are one group; at the `first` level, so
+    are those that share sets, so that a set is in few groups, mostly in one."""
+    crowded = CROWDED if first else CROWDED_LATER
     least, sums = F.min("t").alias("least"), F.sum(F.xxhash64("t").cast("decimal(38,0)")).alias("sums")
     counts = keyed.groupBy("key").agg(F.count("*").alias("n"), F.max("u").alias("any_u"), least, sums).filter("n > 1 AND any_u").drop("any_u")
-    counts = counts.select("key", "n", (F.col("least") if merge else F.xxhash64("n", "sums")).alias("g"))
+    counts = counts.select("key", "n", (F.col("least") if first else F.xxhash64("n", "sums")).alias("g"))
     shared = C.materialize(C.lookup(keyed, counts, "key", "n", total), "keys")
-    few = shared.filter(F.col("n") <= CROWDED)
+    few = shared.filter(F.col("n") <= crowded)
     left, right = few.select("key", F.col("t").alias("a"), F.col("u").alias("u_a")), few.select("key", F.col("t").alias("b"), F.col("u").alias("u_b"))
     pairs = left.join(right, "key").filter("a < b AND (u_a OR u_b)").select("a", "b").distinct()
-    members = shared.filter(F.col("n") > CROWDED).select("g", "t").distinct()
-    return pairs, _merged(members) if merge else members
+    members = shared.filter(F.col("n") > crowded).select("g", "t").distinct()
+    return pairs, _merged(members) if first else members
 
 
 def _merged(members: DataFrame) -> DataFrame:
@@ -143,7 +145,7 @@ def links(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], over: int
     edges, sets = None, None
     while level is not None:
         first = sets is None
-        pairs, members = _groups(level, max(level.count(), 1), merge=first)
+        pairs, members = _groups(level, max(level.count(), 1), first)
         pairs, members = C.materialize(likely(pairs) if first and likely else pairs, "pairs"), C.materialize(members, "members")
         if first:
             wanted = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).unionByName(members.select("t"))
