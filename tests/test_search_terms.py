@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.functions.stem import stem_word
 from weftline.operators import lexicon, retrieval
@@ -108,3 +109,36 @@ def test_discovery(spark):
     cut = lexicon.segmenter(lexicon.discover(df, "text", 3, 5, 1.5, 0.8))
     rows = spark.createDataFrame([(1, "我在学习 deep 深度学习的数据库"), (2, None), (3, "plain")], "id int, text string")
     assert {k: n for k, n in found(retrieval.terms(rows, ["id"], "text", stemmed=False, cut=cut)).items() if k[0] == 1} == {(1, "学习"): 2, (1, "在"): 1, (1, "深度"): 1, (1, "数据库"): 1, (1, "deep"): 1}
+
+
+def test_pruned_search_equals_the_full_ranking(spark):
+    """The same rows and scores, with fewer postings joined and pairs completed."""
+    rng = random.Random(11)
+    common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(900)]
+    words = lambda n: rng.choices(common, k=2 * n) + rng.choices(rare, k=n)
+    docs = [(i, " ".join(words(rng.randint(3, 12)))) for i in range(400)] + [(400 + i, " ".join(common)) for i in range(20)] + [(500, ""), (501, None)]
+    asked = [(q, " ".join(words(4) + docs[q][1].split()[-4:])) for q in range(15)] + [(90, "c1 c2"), (91, "nothing known"), (92, "the of"), (93, None)]
+    d = spark.createDataFrame(docs, "doc_id int, text string").repartition(3)
+    q = spark.createDataFrame(asked, "q int, text string")
+    full = retrieval.bm25(d, q, ["doc_id"], "q", stemmed=False).withColumn("score", F.round("score", 6))
+    expected = retrieval.top_k(full, ["q"], ["doc_id"], 5).collect()
+    read = {}
+    got = retrieval.bm25_top(d, q, ["doc_id"], "q", 5, stemmed=False, read=read).collect()
+    assert sorted((r.q, r.doc_id, r.score, r["rank"]) for r in got) == sorted((r.q, r.doc_id, r.score, r["rank"]) for r in expected)
+    assert read["postings"] < 0.7 * read["all_postings"] and read["completed"] < 0.35 * full.count(), (read, full.count())
+
+
+def test_ranks_of_all_and_fusion_with_a_common_ranking(spark):
+    rng = random.Random(3)
+    scores = [(q, d, float(rng.randrange(6))) for q in range(4) for d in rng.sample(range(40), 25)]
+    common = [(d, i + 1) for i, d in enumerate(rng.sample(range(40), 40))]
+    ranked = retrieval.rank_all(spark.createDataFrame(scores, "q int, d int, score double"), ["q"], ["d"])
+    by = {q: [d for _, d in sorted((-s, d) for p, d, s in scores if p == q)] for q in range(4)}
+    assert {(r.q, r.d): r["rank"] for r in ranked.collect()} == {(q, d): i + 1 for q, ds in by.items() for i, d in enumerate(ds)}
+    fused = retrieval.fuse_with_common(ranked, spark.createDataFrame(common, "d int, rank int"), spark.createDataFrame([(q,) for q in range(4)], "q int"), "q", "d", 5)
+    got = {(r.q, r.d): round(r.score, 9) for r in retrieval.top_k(fused, ["q"], ["d"], 5).collect()}
+    want = {}
+    for q in range(4):
+        total = {d: 1 / (60 + r) + (1 / (61 + by[q].index(d)) if d in by[q] else 0.0) for d, r in common}
+        want |= {(q, d): round(total[d], 9) for d in sorted(total, key=lambda d: (-total[d], d))[:5]}
+    assert got == want
