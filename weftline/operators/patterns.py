@@ -10,11 +10,11 @@ neither way pairs texts with patterns that have nothing in common."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,7 +79,7 @@ def _searched(shared: _Shared):
 
 
 def _bit(prefix: str, size: int) -> int:
-    return xxhash.xxh64_intdigest(prefix.encode("utf-8", "surrogatepass")) % size
+    return int.from_bytes(blake2b(prefix.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") % size
 
 
 def _begun(bitmap: _Shared, longest: int):
