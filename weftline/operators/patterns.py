@@ -9,12 +9,14 @@ neither way pairs texts with patterns that have nothing in common."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from hashlib import blake2b
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,34 +28,19 @@ AUTOMATON_BYTES = 4 << 20
 PREFIX, BITS, BITMAP_BYTES = 8, 16, 16 << 20
 
 _FOUND = "pattern string, n bigint, first bigint"
-_automata: dict[int, ahocorasick.Automaton] = {}
+_automata: dict[str, ahocorasick.Automaton] = {}
 
 
-def _automaton(patterns) -> ahocorasick.Automaton:
-    """Built once a worker; the worker keeps the last one."""
-    if patterns.id not in _automata:
+def _automaton(name: str, patterns: Broadcast) -> ahocorasick.Automaton:
+    """Built once a worker, which keeps the last one."""
+    if name not in _automata:
         _automata.clear()
         a = ahocorasick.Automaton()
         for p in patterns.value:
             a.add_word(p, p)
         a.make_automaton()
-        _automata[patterns.id] = a
-    return _automata[patterns.id]
-
-
-class _Shared:
-    """A broadcast with a number of its own, by which workers know it again."""
-
-    def __init__(self, spark, value):
-        self._of = spark.sparkContext.broadcast(value)
-        self.id = self._of._jbroadcast.id() if hasattr(self._of, "_jbroadcast") else id(value)
-
-    @property
-    def value(self):
-        return self._of.value
-
-    def __getstate__(self):
-        return {"_of": self._of, "id": self.id}
+        _automata[name] = a
+    return _automata[name]
 
 
 def _rows(key: pa.Array, kind: pa.DataType, hits: list[tuple]) -> pa.RecordBatch:
@@ -62,9 +49,11 @@ def _rows(key: pa.Array, kind: pa.DataType, hits: list[tuple]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([key.take(pa.array(row, pa.int64())).cast(kind), pa.array(rest[0], pa.string()), pa.array(rest[1], pa.int64()), pa.array(rest[2], pa.int64())], ["key", "pattern", "n", "first"])
 
 
-def _searched(shared: _Shared):
+def _searched(patterns: Broadcast):
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(shared)
+        automaton = _automaton(name, patterns)
         for batch in batches:
             hits = []
             for row, text in enumerate(batch.column(1).to_pylist()):
@@ -82,7 +71,7 @@ def _bit(prefix: str, size: int) -> int:
     return int.from_bytes(blake2b(prefix.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") % size
 
 
-def _begun(bitmap: _Shared, longest: int):
+def _begun(bitmap: Broadcast, longest: int):
     """(key, text) to the places where a pattern may begin: key, prefix, what
     follows as far as the longest pattern reaches, position."""
 
@@ -119,22 +108,29 @@ def occurrences(texts: DataFrame, key: str, text: str, patterns: DataFrame, patt
     """key, pattern, n (how often, overlaps included), first (position of the
     first, from 0) of every pattern in every text that holds it. Null and empty
     patterns occur nowhere; repeated ones count once."""
-    spark = texts.sparkSession
+    context = texts.sparkSession.sparkContext
     known = materialize(patterns.select(F.col(pattern).cast("string").alias("pattern")).filter("pattern <> ''").distinct(), "patterns")
     rows = texts.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).filter("text IS NOT NULL")
-    kind = rows.schema["key"].dataType.simpleString()
-    size = known.agg(F.sum(F.octet_length("pattern") + 8)).first()[0] or 0
-    if size <= limit:
-        shared = _Shared(spark, [r.pattern for r in known.collect()])  # `limit` bytes at most
-        return rows.mapInArrow(_searched(shared), f"key {kind}, {_FOUND}").withColumnRenamed("key", key)
-    long = known.filter(F.length("pattern") >= PREFIX).withColumn("prefix", F.substring("pattern", 1, PREFIX))
-    facts = long.agg(F.count_distinct("prefix").alias("n"), F.max(F.length("pattern")).alias("longest")).first()
-    bits = min(BITMAP_BYTES * 8, max(1 << 16, 1 << (facts.n * BITS - 1).bit_length()))
-    parts = [np.frombuffer(r.bits, np.uint8) for r in long.select("prefix").distinct().coalesce(8).mapInArrow(_marked(bits), "bits binary").collect()]
-    bitmap = _Shared(spark, np.bitwise_or.reduce(parts).tobytes() if parts else bytes(bits // 8))
-    begun = rows.mapInArrow(_begun(bitmap, facts.longest or PREFIX), f"key {kind}, prefix string, rest string, at bigint")
-    here = begun.join(long, "prefix").filter(F.col("rest").startswith(F.col("pattern")))
-    found = here.groupBy("key", "pattern").agg(F.count("*").alias("n"), F.min("at").alias("first"))
-    short = known.filter(F.length("pattern") < PREFIX)
-    more = occurrences(texts, key, text, short, "pattern", limit=max(limit, 1 << 62)).withColumnRenamed(key, "key")
-    return found.unionByName(more).withColumnRenamed("key", key)
+    schema = f"key {rows.schema['key'].dataType.simpleString()}"
+    size = F.coalesce(F.sum(F.octet_length("pattern") + 8), F.lit(0))
+    fits = known.agg(size).first()[0] <= limit
+    short = known if fits else known.filter(F.length("pattern") < PREFIX)
+    # One automaton; more only for that many patterns shorter than a prefix.
+    packs = max(1, -(-short.agg(size).first()[0] // limit))
+    found = []
+    for r in range(packs):
+        some = short.filter(F.pmod(F.xxhash64("pattern"), F.lit(packs)) == r)
+        found.append(rows.mapInArrow(_searched(context.broadcast([x.pattern for x in some.collect()])), f"{schema}, {_FOUND}"))
+    if not fits:
+        long = known.filter(F.length("pattern") >= PREFIX).withColumn("prefix", F.substring("pattern", 1, PREFIX))
+        facts = long.agg(F.count_distinct("prefix").alias("n"), F.max(F.length("pattern")).alias("longest")).first()
+        bits = min(BITMAP_BYTES * 8, max(1 << 16, 1 << (facts.n * BITS).bit_length()))
+        marks = [np.frombuffer(x.bits, np.uint8) for x in long.select("prefix").distinct().coalesce(8).mapInArrow(_marked(bits), "bits binary").collect()]
+        bitmap = context.broadcast(np.bitwise_or.reduce([np.zeros(bits // 8, np.uint8), *marks]).tobytes())
+        begun = rows.mapInArrow(_begun(bitmap, facts.longest or PREFIX), f"{schema}, prefix string, rest string, at bigint")
+        here = begun.join(long, "prefix").filter(F.col("rest").startswith(F.col("pattern")))
+        found.append(here.groupBy("key", "pattern").agg(F.count("*").alias("n"), F.min("at").alias("first")))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.withColumnRenamed("key", key)
