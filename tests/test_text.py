@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.functions import text as T
+from weftline.plans import catalogue
 
 
 @pytest.fixture(scope="module")
@@ -139,3 +140,14 @@ PAGES = {
 
 def test_malformed_pages(ev):
     assert ev(T.html_to_text, [*PAGES, None]) == [*PAGES.values(), None]
+
+
+def test_paragraphs_of_pages_with_a_cut_title(spark, tmp_path):
+    """html_to_paragraphs counts as its SQL does where a title ends within an entity."""
+    duckdb = pytest.importorskip("duckdb")
+    pages = [(i, f"<html><title>a &amp; b{cut}</title><p>one {cut}</p><p>&lt;two&gt;<br>&amp;amp</html>") for i, cut in enumerate(("&amp", "&am", "&lt", "&#3", "&#39", "&copy", "&", ""))]
+    spark.createDataFrame(pages, "page_id bigint, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = catalogue.QUERIES["html_to_paragraphs"](spark, str(tmp_path)).select("page_id", "n", "chars").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(map(tuple, got)) == sorted(con.execute(catalogue.ORACLES["html_to_paragraphs"]).fetchall())

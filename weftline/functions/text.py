@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weftline.functions.html import visible_text
+from weftline.functions.html import visible_text, visible_text_closed
 
 CJK = r"[一-鿿]"
 
@@ -206,9 +206,10 @@ def has_html_tags(s: Column) -> Column:
     return s.rlike(r"(?i)<(p|span|div|li|html|script)[^>]*?")
 
 
-def html_to_text(html: Column) -> Column:
-    """Visible text of a page, however malformed: see `functions/html.py`."""
-    return visible_text(html)
+def html_to_text(html: Column, closed: bool = False) -> Column:
+    """Visible text of a page, however malformed: see `functions/html.py`. With
+    `closed`, entities count only with their semicolon."""
+    return visible_text_closed(html) if closed else visible_text(html)
 
 
 def html_title(html: Column) -> Column:

@@ -28,9 +28,10 @@ def text_pages(docs: DataFrame) -> DataFrame:
     return _counted(docs.select("path", F.lit("").alias("title"), F.lit(1).alias("page_num"), F.posexplode(F.split("value", "\n")).alias("paragraph", "text")).withColumn("kind", F.lit("text")))
 
 
-def html_pages(docs: DataFrame, path: str = "path", html: str = "value") -> DataFrame:
-    """Visible, cleaned, non-blank paragraphs on one page, and the title."""
-    paragraphs = F.filter(F.transform(F.split(T.html_to_text(F.col(html)), "\n"), T.clean_paragraph), lambda p: T.strip_space(p) != "")
+def html_pages(docs: DataFrame, path: str = "path", html: str = "value", closed: bool = False) -> DataFrame:
+    """Visible, cleaned, non-blank paragraphs on one page, and the title. With
+    `closed`, entities count only with their semicolon."""
+    paragraphs = F.filter(F.transform(F.split(T.html_to_text(F.col(html), closed), "\n"), T.clean_paragraph), lambda p: T.strip_space(p) != "")
     return _counted(docs.select(F.col(path).alias("path"), T.html_title(F.col(html)).alias("title"), F.lit(1).alias("page_num"), F.posexplode(paragraphs).alias("paragraph", "text")).withColumn("kind", F.lit("text")))
 
 
