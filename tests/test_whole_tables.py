@@ -115,3 +115,11 @@ def test_union_with_variations_all(spark):
     want = sorted((r.doc_id, v, q) for r in texts(spark) for v, q in enumerate((r.text, f"en {r.lang}", f"src {r.source}")))
     got = catalogue.QUERIES["union_with_variations"](spark, DATA).collect()
     assert sorted(map(tuple, got)) == want
+
+
+def test_office_files_are_made_once_and_dealt_out(spark):
+    """One small file of parts must not make one task of all packages, nor each parser build all of them again."""
+    df = catalogue.QUERIES["office_documents"](spark, DATA)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_office(") == 3
+    assert df.rdd.getNumPartitions() >= 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql.types import BinaryType
 
 from weftline.functions import text as T
 from weftline.operators import records
-from weftline.plans.registry import query
+from weftline.plans.registry import dealt, query
 from weftline.scratch import scratch_path
 from weftline.sources import documents, keyed, readers, sinks
 from weftline.streaming import incremental, stateful
@@ -174,9 +175,10 @@ def office_documents(t):
     pptx = F.array(*[_part(f"ppt/slides/slide{i}.xml", a + "<a:p><a:t>", c, "</a:t></a:p></a:s>") for i, c in ((10, "p_brand"), (9, "p_name"))])
     xlsx = F.array(_part("xl/sharedStrings.xml", f"<sst {s}><si><t>", "p_name", "</t></si></sst>"), _part("xl/worksheets/sheet1.xml", f'<worksheet {s}><sheetData><row><c r="A1" t="s"><v>0</v></c><c r="C1"><v>', "p_size", "</v></c></row></sheetData></worksheet>"))
     csv = F.encode(F.concat(F.lit("x,y\n"), "p_name", F.lit(","), F.col("p_size").cast("string"), F.lit("\n1,2,3\n")), "UTF-8")
-    parts = t("part").withColumn("p_size", F.col("p_size").cast("string"))
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("content")) for k, c in (("docx", _office(docx)), ("pptx", _office(pptx)), ("xlsx", _office(xlsx)), ("csv", csv))])
-    found = parts.select("p_partkey", F.explode(kinds).alias("f")).select(F.concat(F.col("p_partkey").cast("string"), F.lit("."), "f.kind").alias("path"), "f.kind", "f.content")
+    # A table of one row group is dealt out to all cores; with a plan a kind, no file is made again for parsers of other kinds.
+    parts = dealt(t("part"), "p_partkey").withColumn("p_size", F.col("p_size").cast("string"))
+    kinds = (("docx", _office(docx)), ("pptx", _office(pptx)), ("xlsx", _office(xlsx)), ("csv", csv))
+    found = reduce(DataFrame.unionByName, [parts.select(F.concat(F.col("p_partkey").cast("string"), F.lit(f".{k}")).alias("path"), F.lit(k).alias("kind"), c.alias("content")) for k, c in kinds])
     return documents.parse(found).select("path", "page_num", "paragraph", "kind", "text")
 
 
