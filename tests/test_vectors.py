@@ -1,6 +1,7 @@
 """Nearest neighbours over the inverted file against a full search."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from weftline.operators import vectors
@@ -62,3 +63,23 @@ def test_reads_a_share_of_the_pairs(spark, monkeypatch):
 
 def test_empty(spark):
     assert found(spark, [(1, None)], [(1, [0.0])], 3) == set()
+
+
+def test_a_query_gets_k_rows_a_split_and_not_a_block(spark, monkeypatch):
+    """Vectors without clusters: nearly every block is read, but what leaves the tasks stays small."""
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    monkeypatch.setattr(vectors, "ASKED", 64, raising=False)
+    monkeypatch.setattr(vectors, "HELD", 400, raising=False)
+    rng = np.random.default_rng(8)
+    rows = [(i, np.float32(rng.normal(size=24))) for i in range(1200)]
+    queries = rows[::10]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], SCHEMA)
+    asked = spark.createDataFrame([(q, [float(x) for x in v]) for q, v in queries], "query_id bigint, query array<float>")
+    read = {}
+    out = vectors.knn(df, asked, 10, places=6, read=read)
+    assert {(r.query_id, r.vec_id, r.score, r.rank) for r in out.collect()} == brute(rows, queries, 10, 6) and read["read"] > 0.5 * read["all"]
+    assert "FlatMapCoGroupsInArrow" in out._jdf.queryExecution().toString()
+    nearest, data = vectors._nearest(np.zeros((1, 24)), 10, 6), np.array([v for _, v in rows], dtype=np.float64)
+    packs = pa.table({"ids": [np.arange(5).tobytes()], "vectors": [data[:5].tobytes()], "reach": [np.full(5, np.inf).tobytes()]})
+    blocks = pa.table({"cell": [0] * 50, "r_low": [0.0] * 50, "r_high": [99.0] * 50, "ids": [np.arange(i, i + 16).tobytes() for i in range(0, 800, 16)], "vectors": [data[i : i + 16].tobytes() for i in range(0, 800, 16)]})
+    assert nearest(packs, blocks).num_rows == 50  # 5 queries, 10 each; not 10 of each of 50 blocks
