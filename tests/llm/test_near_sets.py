@@ -152,3 +152,11 @@ def test_sketches_merge_and_estimate():
         assert abs(found.mean() - s) < 0.01 and np.abs(found - s).max() < 0.2
         keep = set_sketch.plausible(a, b, n_a, n_b)
         assert keep.all() if s >= 0.85 else keep.mean() < (0.01 if s == 0.3 else 0.35)
+
+
+def test_groups_that_fit_one_call_are_not_opened(spark, monkeypatch):
+    """200 pages of one template: neither their pairs nor what differs from a centre become rows."""
+    monkeypatch.setattr(near_sets, "_split", None)
+    texts = template_pages(200, 14, 50, 5)
+    expected, _ = components(list(enumerate(texts)), 4, 5)
+    assert run(spark, texts, 4, 5) == dict(enumerate(expected))

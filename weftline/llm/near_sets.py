@@ -2,7 +2,9 @@
 loss in groups of any size and without pairing a group with itself.
 
 Sets come with keys; sets that may be similar share one. Up to CROWDED sets of
-a key are paired and verified. A crowded key's sets are a group:
+a key are paired and verified; up to CROWDED_LATER sets meet in one call, which
+counts what all of them share and links each to one of its component, no pairs.
+The sets of a key with more are a group:
 
 1. Every set is held against one of the group. With the links found so far, a
    group whose sets are all in one component is done; this settles most groups of
@@ -37,9 +39,11 @@ from pyspark.sql import functions as F
 
 from weftline.llm import _common as C
 
-#: Sets under one key up to which all pairs are verified: at the first level, and at
-#: the later ones, where only pairs with a far set count.
-CROWDED, CROWDED_LATER = 32, 128
+#: Sets under one key up to which pairs are made, at the first level; and up to which
+#: a key's sets are compared in one call, at any level.
+CROWDED, CROWDED_LATER = 32, 512
+#: Elements that are counted at a time, which bounds memory.
+COUNTED = 4096
 #: Rounds in which groups that share sets become one; not all need to.
 MERGES = 4
 
@@ -67,6 +71,57 @@ def _verdicts(over: int, under: int):
     return run
 
 
+def tree(sets: list[np.ndarray], over: int, under: int) -> list[tuple[int, int]]:
+    """Links (i, j), i the first of its component, that join all of the sets which a
+    chain of similar ones joins."""
+    m, sizes = len(sets), np.array([len(s) for s in sets], dtype=np.int64)
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, several = np.repeat(np.arange(m), sizes), times[at] > 1
+    row, at = row[several], np.unique(at[several], return_inverse=True)[1]
+    by = np.argsort(at, kind="stable")
+    row, at = row[by], at[by]
+    shared = np.zeros((m, m), dtype=np.float64)
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, COUNTED):
+        low, high = np.searchsorted(at, [start, start + COUNTED])
+        holds = np.zeros((m, COUNTED), dtype=np.float32)
+        holds[row[low:high], at[low:high] - start] = 1
+        shared += holds @ holds.T
+    near = under * shared >= over * (sizes[:, None] + sizes - shared)
+    out, waiting = [], np.ones(m, dtype=bool)
+    for i in range(m):
+        reached = [i] if waiting[i] else []
+        waiting[i] = False
+        for j in reached:
+            fresh = np.flatnonzero(near[j] & waiting)
+            waiting[fresh] = False
+            out += [(i, int(x)) for x in fresh]
+            reached += fresh.tolist()
+    return out
+
+
+def _trees(over: int, under: int):
+    """(g, t, set), sorted by g, to links (a, b) of each group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def linked() -> pa.RecordBatch:
+            found = [sorted((ids[i], ids[j])) for i, j in tree([np.frombuffer(s, np.int64) for s in sets], over, under)]
+            return pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)], ["a", "b"])
+
+        now, ids, sets = None, [], []
+        for batch in batches:
+            for g, t, s in zip(*(c.to_pylist() for c in batch.columns)):
+                if g != now and ids:
+                    yield linked()
+                    ids, sets = [], []
+                now = g
+                ids.append(t)
+                sets.append(s)
+        if ids:
+            yield linked()
+
+    return run
+
+
 def _residues(over: int, under: int):
     """(g, t, far, set, centre) to (g, t, far, w, c, residue)."""
 
@@ -93,21 +148,23 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(some.column(0).to_numpy(), [len(s) for s in sets])), pa.array(np.concatenate(sets))], ["g", "f"])
 
 
-def _groups(keyed: DataFrame, total: int, first: bool) -> tuple[DataFrame, DataFrame]:
-    """Sets (t, key, u) to pairs (a, b) of the keys that are not crowded, and
-    members (g, t) of the others' groups. A pair, and a group, needs a set
-    with u. Crowded keys of equal members are one group; at the `first` level, so
-    are those that share sets, so that a set is in few groups, mostly in one."""
-    crowded = CROWDED if first else CROWDED_LATER
+def _groups(keyed: DataFrame, total: int, first: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets (t, key, u) to pairs (a, b) of keys with few sets, at the `first`
+    level; members (g, t) of groups that fit one call; and members of larger
+    ones. All need a set with u. Keys of equal members are one group; at the
+    first level, so are crowded ones that share sets, so that a set is in few
+    groups, mostly in one."""
+    few, crowded = (CROWDED, max(CROWDED, CROWDED_LATER)) if first else (1, CROWDED_LATER)
     least, sums = F.min("t").alias("least"), F.sum(F.xxhash64("t").cast("decimal(38,0)")).alias("sums")
     counts = keyed.groupBy("key").agg(F.count("*").alias("n"), F.max("u").alias("any_u"), least, sums).filter("n > 1 AND any_u").drop("any_u")
-    counts = counts.select("key", "n", (F.col("least") if first else F.xxhash64("n", "sums")).alias("g"))
+    equal = F.xxhash64("n", "sums")
+    counts = counts.select("key", "n", (F.when(F.col("n") > crowded, F.col("least")).otherwise(equal) if first else equal).alias("g"))
     shared = C.materialize(C.lookup(keyed, counts, "key", "n", total), "keys")
-    few = shared.filter(F.col("n") <= crowded)
-    left, right = few.select("key", F.col("t").alias("a"), F.col("u").alias("u_a")), few.select("key", F.col("t").alias("b"), F.col("u").alias("u_b"))
-    pairs = left.join(right, "key").filter("a < b AND (u_a OR u_b)").select("a", "b").distinct()
+    some = shared.filter(F.col("n") <= few)
+    pairs = some.select("key", F.col("t").alias("a")).join(some.select("key", F.col("t").alias("b")), "key").filter("a < b").select("a", "b").distinct()
+    fits = shared.filter((F.col("n") > few) & (F.col("n") <= crowded)).select("g", "t").distinct()
     members = shared.filter(F.col("n") > crowded).select("g", "t").distinct()
-    return pairs, _merged(members) if first else members
+    return pairs, fits, _merged(members) if first else members
 
 
 def _merged(members: DataFrame) -> DataFrame:
@@ -145,13 +202,15 @@ def links(keyed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], over: int
     edges, sets = None, None
     while level is not None:
         first = sets is None
-        pairs, members = _groups(level, max(level.count(), 1), first)
-        pairs, members = C.materialize(likely(pairs) if first and likely else pairs, "pairs"), C.materialize(members, "members")
+        pairs, fits, members = _groups(level, max(level.count(), 1), first)
+        fits, members = C.materialize(fits, "fits"), C.materialize(members, "members")
         if first:
-            wanted = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).unionByName(members.select("t"))
+            pairs = C.materialize(likely(pairs) if likely else pairs, "pairs")
+            wanted = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).unionByName(fits.select("t")).unionByName(members.select("t"))
             sets = C.materialize(sets_of(C.materialize(wanted.distinct(), "wanted")), "shingles")
-        found = C.materialize(_near(pairs, sets, over, under).filter("near").select("a", "b"), "near")
-        edges = found if edges is None else edges.unionByName(found)
+            edges = C.materialize(_near(pairs, sets, over, under).filter("near").select("a", "b"), "near")
+        trees = fits.join(sets, "t").select("g", "t", "shingles").repartition("g").sortWithinPartitions("g").mapInArrow(C.lean(_trees(over, under)), "a bigint, b bigint")
+        edges = edges.unionByName(C.materialize(trees, "trees").distinct())
         edges, level = (edges, None) if members.isEmpty() else _split(members, sets, over, under, edges)
     return edges
 
