@@ -39,7 +39,9 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of texts whose five-word shingles have
-    Jaccard similarity 0.8 or more; texts without words are copies of each other."""
+    Jaccard similarity 0.8 or more, found by SimHash fingerprints and, for pairs too
+    far apart for their blocks, min-hash bands; texts without words are copies of
+    each other."""
     _settled(spark)
     return shingle_dedup.drop(docs)
 

@@ -24,7 +24,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import _common as C
@@ -63,6 +63,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), text, F.xxhash64(text)).mapInArrow(_fingerprints, "doc_id bigint, t bigint, fp bigint")
 
 
+def block_keys(fp: str) -> Column:
+    """The six keys of a fingerprint: which two blocks, and their 32 bits."""
+    block = [f"(shiftrightunsigned({fp}, {48 - 16 * i}) & 65535)" for i in range(4)]
+    both = [(block[i], block[j]) for i in range(4) for j in range(i + 1, 4)]
+    return F.array(*[F.expr(f"{k}L << 32 | {p} << 16 | {q}") for k, (p, q) in enumerate(both)])
+
+
 def _keyed(fps: DataFrame) -> DataFrame:
     """Six rows a fingerprint: key (which two blocks, and their 32 bits) and
     rest (the other 32 bits)."""
