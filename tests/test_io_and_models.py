@@ -235,6 +235,12 @@ def test_conversation_fold(spark, tmp_path):
     assert found == {(1, 0): (5, 2, 1, True), (2, 10): (2, 2, 0, True), (3, 540): (2, 1, 1, False), (1, 560): (1, 1, 0, False)}
 
 
+@pytest.mark.parametrize("closed", [[False, True], [True, False]])
+def test_a_session_that_closes_without_a_row(spark, closed):
+    updates = spark.createDataFrame([(2, 10, 39, 2, 2, 0, c) for c in closed], stateful._SESSION).coalesce(1)
+    assert rows(stateful.latest_sessions(updates)) == [(2, 10, 39, 2, 2, 0, True)]
+
+
 def test_call_fragments_in_a_stream(spark, tmp_path):
     schema = "stream bigint, call_index bigint, seq bigint, name string, arguments string"
     (tmp_path / "in").mkdir()
